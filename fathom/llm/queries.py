@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathom.llm import bpe, packing, url_filters, warc
+from fathom.llm import bpe, minhash, packing, url_filters, warc
 
 
 def vocabulary(name: str) -> str:
@@ -32,6 +32,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_50k.tiktoken")
     both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks), ranks)
@@ -49,4 +53,4 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_url_filters, op5_packing, op8_bpe, op10_warc)}
+    return {f.__name__: f for f in (op2_url_filters, op5_packing, op7_minhash, op8_bpe, op10_warc)}
