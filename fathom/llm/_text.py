@@ -94,10 +94,12 @@ def _cuts(data: np.ndarray, offsets: np.ndarray, limit: int) -> Iterator[tuple[i
 
 
 def word_hashes(
-    data: np.ndarray, offsets: np.ndarray, fold: np.ndarray = LOWER, space: np.ndarray = SPACE
-) -> tuple[np.ndarray, np.ndarray]:
+    data: np.ndarray, offsets: np.ndarray, fold: np.ndarray = LOWER, space: np.ndarray = SPACE, stem: int = 0
+) -> tuple[np.ndarray, ...]:
     """64-bit hashes of the words of every row, and the number of words of each row.
 
+    With ``stem`` also, as a third result, the hashes of the words' first ``stem`` bytes.
+
     ``fold`` maps bytes before hashing (default: A-Z lower-cased) and ``space``
     marks the separating bytes, taken after folding. Works in byte ranges cut at
     white space, so one very long text needs no more memory than its words.
@@ -105,6 +107,7 @@ def word_hashes(
     n_rows = len(offsets) - 1
     counts = np.zeros(n_rows, np.int64)
     out: list[np.ndarray] = []
+    stems: list[np.ndarray] = []
     filled = offsets[:-1][np.diff(offsets) > 0]
     for s, e in _cuts(data, offsets, SLICE_BYTES):
         part = fold[data[s:e]]
@@ -126,9 +129,14 @@ def word_hashes(
         np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=total[1:])
         back = powers(BASE_INVERSE, n)
         out.append(mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(np.uint64)))
+        if stem:
+            short = np.minimum(ends, starts + stem)
+            stems.append(mix((total[short] - total[starts]) * back[starts]))
         rows = np.searchsorted(offsets, starts + s, side="right") - 1
         counts += np.bincount(rows, minlength=n_rows)
-    return (np.concatenate(out) if out else np.zeros(0, np.uint64)), counts
+    none = np.zeros(0, np.uint64)
+    words = np.concatenate(out) if out else none
+    return (words, counts, np.concatenate(stems) if stems else none) if stem else (words, counts)
 
 
 def shingle_hashes(words: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
