@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathom.llm import bpe, minhash, packing, toxicity, url_filters, warc
+from fathom.llm import bpe, minhash, packing, quality, toxicity, url_filters, warc
 
 
 def vocabulary(name: str) -> str:
@@ -64,10 +64,16 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged = quality.score(docs, quality.fit(docs))
+    return judged.withColumn("predicted", (F.col("score") >= 0.5).cast("int")).withColumn("kept", F.col("score") >= 0.5)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = warc.write_archives(table(spark, sf_dir, "pages"))
     return warc.read_archives(archives, ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_url_filters, op5_packing, op7_minhash, op8_bpe, op10_warc)}
+    return {f.__name__: f for f in (op1_toxicity, op2_url_filters, op5_packing, op7_minhash, op8_bpe, op9_quality, op10_warc)}
