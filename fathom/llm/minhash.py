@@ -52,37 +52,43 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[
         yield own[np.append(True, own[1:] != own[:-1])] if n else own
 
 
+#: Values of a signature, by their lowest byte, that tell which candidates are worth a look at the sets.
+SKETCH = 128
+
+
 def _signer(n_values: int, seed: int):
     factors = mix(np.arange(1, n_values + 1, dtype=np.uint64) + np.uint64(seed << 32)) | np.uint64(1)
 
-    def sign(own: np.ndarray) -> bytes:
+    def sign(own: np.ndarray) -> np.ndarray:
         least = np.full(n_values, 0xFFFFFFFFFFFFFFFF, np.uint64)
         step = max(1, 1_000_000 // n_values)
         for i in range(0, len(own), step):
             np.minimum(least, (factors[:, None] * own[None, i : i + step]).min(axis=1), out=least)
-        return (least >> np.uint64(32)).astype("<u4").tobytes()
+        return (least >> np.uint64(32)).astype("<u4")
 
     return sign
 
 
 def _signed(docs: DataFrame, width: int, n_values: int, seed: int) -> DataFrame:
-    """(doc_id, n_shingles, print, signature) of every row of (doc_id, text)."""
+    """(doc_id, n_shingles, print, sketch, signature) of every row of (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sign = _signer(n_values, seed)
         for batch in batches:
             data, offsets = utf8_buffers(batch.column(1))
             for s, e in row_slices(offsets):
-                sizes, prints, signatures = [], [], []
+                sizes, prints, sketches, signatures = [], [], [], []
                 for own in shingle_sets(data[offsets[s] : offsets[e]], offsets[s : e + 1] - offsets[s], width):
                     sizes.append(len(own))
                     prints.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
-                    signatures.append(sign(own) if len(own) else None)
+                    signed = sign(own) if len(own) else None
+                    sketches.append(signed[:SKETCH].astype(np.uint8).tobytes() if len(own) else None)
+                    signatures.append(signed.tobytes() if len(own) else None)
                 columns = [batch.column(0).slice(s, e - s), pa.array(sizes, pa.int64())]
-                columns += [pa.array(x, pa.binary()) for x in (prints, signatures)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "print", "signature"])
+                columns += [pa.array(x, pa.binary()) for x in (prints, sketches, signatures)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "print", "sketch", "signature"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, print binary, signature binary")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, print binary, sketch binary, signature binary")
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -129,13 +135,13 @@ def _regions(nodes: DataFrame, trees: int, depth: int) -> DataFrame:
 
 
 def _plausible(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose set sizes and signatures do not rule the threshold out.
+    """The pairs whose set sizes and sketches do not rule the threshold out.
 
     The share of equal values must not be more than five standard deviations below
     the threshold.
     """
-    one = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("signature").alias("s_a"))
-    two = nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("signature").alias("s_b"))
+    one = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"))
+    two = nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"))
     joined = pairs.join(one, "a").join(two, "b").filter(F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(threshold * 0.999999))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,7 +149,7 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
             n = batch.num_rows
             if not n:
                 continue
-            a, b = (np.frombuffer(utf8_buffers(batch.column(i))[0].tobytes(), "<u4").reshape(n, -1) for i in (2, 3))
+            a, b = (utf8_buffers(batch.column(i))[0].reshape(n, -1) for i in (2, 3))
             floor = threshold - 5 * math.sqrt(threshold * (1 - threshold) / a.shape[1])
             keep = pa.array((a == b).mean(axis=1) >= floor)
             yield batch.select(["a", "b"]).filter(keep)
@@ -202,18 +208,19 @@ def near_duplicates(
         F.min("doc_id").alias("node"),
         F.count("*").alias("copies"),
         F.any_value("n_shingles").alias("n_shingles"),
+        F.any_value("sketch").alias("sketch"),
         F.any_value("signature").alias("signature"),
     )
     groups = cut(groups)
     copies = cut(groups.filter("copies > 1").select("print", "node"))
-    nodes = groups.select("node", "n_shingles", "signature")
+    nodes = groups.select("node", "n_shingles", "sketch", "signature")
     links, found = None, None
     for depth in depths:
         last = depth == depths[-1]
         if depth != depths[0]:
             trees = trees_for(threshold, depth, miss)
             again = _signed(_texts_of(docs, dense), width, trees * depth, depth)  # noqa: F821
-            nodes = cut(again.filter("print is not null").select(F.col("doc_id").alias("node"), "n_shingles", "signature"))
+            nodes = cut(again.filter("print is not null").select(F.col("doc_id").alias("node"), "n_shingles", "sketch", "signature"))
         rows = _regions(nodes, trees, depth)
         held = cut(rows.groupBy("region").agg(F.count("*").alias("size"), F.min("node").alias("first")).filter("size > 1"))
         part = F.pmod(F.xxhash64("region", "node"), F.ceil(F.col("size") / REGION_ROWS))
