@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from fathom.llm._text import SPACE, row_slices, utf8_buffers, word_hashes
 
 BAD, NONE, GOOD = 0, 1, 2
-LABELLERS = ("capitals", "marks", "repeats", "bars", "sentences", "emphasis", "variety", "length")
+LABELLERS = ("capitals", "marks", "repeats", "bars", "sentences", "emphasis", "variety", "length", "strings")
 #: Texts that the scorer is trained on, at most about this many.
 TRAINING_ROWS = 8_000
 #: Hashed features: words, shapes and repetitions share the buckets.
@@ -76,12 +76,10 @@ class Slice:
         bars = _sums((data == ord("|")) & ends & SPACE[before], offsets) / n
         stops = _sums(((data == ord(".")) | (data == ord("?"))) & ends, offsets) / n
         emphasis = _sums((data == ord("!")) & (before == ord("!")) & ends, offsets) / n
-        distinct = np.unique(np.stack([self.row.astype(np.uint64), self.words]), axis=1)[0].astype(np.int64) if len(self.words) < 2000 else None
-        if distinct is None:
-            order = np.lexsort((self.words, self.row))
-            w, r = self.words[order], self.row[order]
-            first = np.append(True, (w[1:] != w[:-1]) | (r[1:] != r[:-1]))
-            distinct = r[first]
+        strings = _sums(ODD[data] & (before == data) & ends, offsets) / n
+        order = np.lexsort((self.words, self.row))
+        w, r = self.words[order], self.row[order]
+        distinct = r[np.append(True, (w[1:] != w[:-1]) | (r[1:] != r[:-1]))[: len(r)]]
         # of w words of prose about a power below one of w differ
         variety = np.bincount(distinct, minlength=len(counts)) / n**0.75
         some = counts >= 20
@@ -94,6 +92,7 @@ class Slice:
             _vote(emphasis > 0.25, emphasis < 0.03),
             _vote(some & (variety < 0.5), some & (variety > 1.0)),
             _vote(counts < 3, np.zeros(len(counts), bool)),
+            _vote(strings > 0.15, strings < 0.02),
         ]
         return sum(c.astype(np.int64) * 3**i for i, c in enumerate(columns))
 
@@ -188,7 +187,7 @@ def train(examples: list[tuple[float, bytes, bytes]], rounds: int = 150) -> np.n
 def fit(docs: DataFrame) -> tuple[np.ndarray, dict[int, float]]:
     """The scorer's weights and every pattern's chance to be good, from the corpus alone.
 
-    All texts' votes are counted (3**8 patterns at most); the scorer learns from about
+    All texts' votes are counted (3**9 patterns at most); the scorer learns from about
     TRAINING_ROWS texts at most, taken by a hash of doc_id.
     """
     voted = vote(docs)
