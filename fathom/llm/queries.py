@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathom.llm import bpe, minhash, packing, quality, toxicity, url_filters, warc
+from fathom.llm import bpe, minhash, packing, pii, quality, toxicity, url_filters, warc
 
 
 def vocabulary(name: str) -> str:
@@ -42,6 +42,17 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [pii.count_of(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+        pii.written(F.concat("base", "terms")).alias("spans"),
+    )
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
     return pieces.select(
@@ -76,4 +87,4 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_url_filters, op5_packing, op7_minhash, op8_bpe, op9_quality, op10_warc)}
+    return {f.__name__: f for f in (op1_toxicity, op2_url_filters, op4_pii, op5_packing, op7_minhash, op8_bpe, op9_quality, op10_warc)}
