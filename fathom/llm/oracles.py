@@ -53,5 +53,44 @@ FROM p JOIN f USING (h)
 """
 
 
+OP3 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, d.vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * d.x[i])) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id AND len(q.x) = len(d.x)
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+OP6 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.9
+), reach AS (
+  SELECT a AS origin, b AS met FROM l UNION SELECT reach.origin, l.b FROM reach JOIN l ON reach.met = l.a
+), n AS (
+  SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a
+), c AS (
+  SELECT origin AS vec_id, min(met) AS first FROM reach GROUP BY origin
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(first, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(first, vec_id)) AS kept
+FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filters": OP2, "op10_warc": OP10}
+    return {"op2_url_filters": OP2, "op3_topk": OP3, "op6_caps": OP6, "op10_warc": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathom.llm import bpe, minhash, packing, pii, quality, toxicity, url_filters, warc
+from fathom.llm import bpe, caps, minhash, packing, pii, quality, topk, toxicity, url_filters, warc
 
 
 def vocabulary(name: str) -> str:
@@ -42,6 +42,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
     counts = [pii.count_of(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS]
@@ -60,6 +64,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
@@ -87,4 +95,16 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_url_filters, op4_pii, op5_packing, op7_minhash, op8_bpe, op9_quality, op10_warc)}
+    every = (
+        op1_toxicity,
+        op2_url_filters,
+        op3_topk,
+        op4_pii,
+        op5_packing,
+        op6_caps,
+        op7_minhash,
+        op8_bpe,
+        op9_quality,
+        op10_warc,
+    )
+    return {f.__name__: f for f in every}
