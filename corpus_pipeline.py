@@ -1,16 +1,77 @@
-"""The corpus pipeline: stages that each work on what the one before kept."""
+"""The corpus pipeline: stages that each work on what the one before kept.
+
+Every stage takes (spark, docs, sf_dir), where docs has the columns of ``documents``,
+and returns the same columns, except the last, which returns packed pieces. A stage's
+result is written and read again before the next.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fathom.llm import minhash, packing, pii, quality, toxicity
+from fathom.llm._stage import cut, scratch
+from fathom.llm.queries import table, vocabulary
+
+
+#: Rejected documents up to which their ids are broadcast (8 bytes each), so that no text is shuffled.
+BROADCAST_IDS = 2_000_000
+
+
+def _judged(docs: DataFrame, verdicts: DataFrame, rejects: Column) -> DataFrame:
+    """``docs`` without the rows whose doc_id has a rejected row in ``verdicts``; null doc_ids stay."""
+    rejected = cut(verdicts.filter(rejects).select("doc_id").distinct())
+    if rejected.count() <= BROADCAST_IDS:
+        rejected = F.broadcast(rejected)
+    return docs.join(rejected, "doc_id", "left_anti")
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leave out documents whose toxicity score is 0.5 or more."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return _judged(docs, toxicity.score(docs, model), F.col("score") >= 0.5)
+
+
+def poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leave out documents that the quality scorer holds for bad."""
+    return _judged(docs, quality.score(docs, quality.fit(docs)), F.col("score") < 0.5)
+
+
+def repeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near-duplicates (five-word shingles, 0.8), that of the least doc_id."""
+    return _judged(docs, minhash.near_duplicates(docs), ~F.col("kept"))
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take personal data and the terms that disclose it out of the texts."""
+    return pii.sanitise(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack the documents into windows of 1024 ids."""
+    pieces = packing.pack(docs, vocabulary("byte_bpe_50k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
 
-STAGES = []
+STAGES = [
+    ("toxicity", toxic),
+    ("quality", poor),
+    ("near-duplicates", repeated),
+    ("personal data", private),
+    ("packing", packed),
+]
+#: The stages are trained models, hashes and a packer; none is SQL. Tests hold them against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after another, over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """All stages over ``documents``, each written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        path = f"{scratch(spark, 'pipeline')}/{k}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
