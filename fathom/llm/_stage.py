@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,24 +37,48 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Edges up to which one task finds the components (16 bytes each); more go through the rounds.
+ONE_TASK_EDGES = 1_000_000
+
+
+def _components_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Components of all edges of one bounded partition, by joining roots until none differ."""
+    ends = [np.stack([np.asarray(b.column(0)), np.asarray(b.column(1))]) for b in batches if b.num_rows]
+    if not ends:
+        return
+    nodes, at = np.unique(np.concatenate(ends, axis=1), return_inverse=True)
+    one, two = at.reshape(2, -1)
+    root = np.arange(len(nodes))
+    while True:
+        low, high = np.minimum(root[one], root[two]), np.maximum(root[one], root[two])
+        if (low == high).all():
+            break
+        np.minimum.at(root, high, low)
+        while (root[root] != root).any():
+            root = root[root]
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root])], names=["node", "component"])
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """Smallest reachable id of every node of ``edges`` (``a``, ``b`` longs).
 
-    Alternating large-star and small-star rounds. A node's neighbours are only
-    ever reduced to their minimum, so no neighbour list is gathered, and a hot
-    node's edges go through a join that adaptive execution can split. Returns
-    (``node``, ``component``) for nodes that have at least one edge.
+    Up to ONE_TASK_EDGES edges fit one task. Beyond that, alternating large-star and
+    small-star rounds: a node's neighbours are only ever reduced to their minimum, so no
+    neighbour list is gathered, and a hot node's edges go through a join that adaptive
+    execution can split. Returns (``node``, ``component``) for nodes with an edge.
     """
-    pairs = cut(
-        edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    )
+    some = cut(edges.filter("a <> b").select("a", "b"))
+    if some.count() <= ONE_TASK_EDGES:
+        return some.coalesce(1).mapInArrow(_components_of, "node long, component long")
+    pairs = cut(some.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     seen = None
     for _ in range(max_rounds):
         both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = cut(large)
+        low = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         pairs = cut(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct())
         state = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
