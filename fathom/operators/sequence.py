@@ -128,16 +128,16 @@ def despike(
     """
     group = Window.partitionBy(*keys)
     d = finite(F.col(value))
-    rows = df.withColumn("__i", F.row_number().over(group.orderBy(order)).cast("double"))
+    rows = df.withColumn("__place", F.row_number().over(group.orderBy(order)).cast("double"))
     rows = rows.withColumn("__valid", d.isNotNull() & (d > 0)).withColumn("__work", d)
     rows = rows.withColumn("__enough", F.count_if("__valid").over(group) >= 5)
     width = max(3, 2 * (half // 2) + 1)
     rows = rows.withColumn("__go", F.col("__enough"))
     for _ in range(max(1, cycles)):
-        rows = gap_interpolate(rows, keys, "__i", "__work", "__filled")
-        rows = running_median(rows, keys, ["__i"], "__filled", width, "__smooth")
+        rows = gap_interpolate(rows, keys, "__place", "__work", "__filled")
+        rows = running_median(rows, keys, ["__place"], "__filled", width, "__smooth")
         rows = rows.withColumn("__res", F.col("__filled") - F.col("__smooth"))
-        rows = running_iqr(rows, keys, ["__i"], "__res", half, "__iqr")
+        rows = running_iqr(rows, keys, ["__place"], "__res", half, "__iqr")
         limit = F.greatest(F.col("__iqr") * multiplier, 0.05 * F.abs("__filled"), F.lit(0.10))
         known = F.count("__work").over(group) >= 3
         rows = rows.withColumn("__bad", F.col("__go") & known & (F.abs("__res") > limit))
