@@ -157,7 +157,7 @@ def estimate(codes: np.ndarray, sizes: np.ndarray, rounds: int = 200, held: floa
             good, bad = weight @ (digits == GOOD), weight @ (digits == BAD)
             chance[:, c] = (good + pseudo * start[:, c]) / (good + bad + pseudo)
         share = float(((new * sizes).sum() + 4) / (sizes.sum() + 5))
-        if np.abs(new - posterior).max() < 1e-9:
+        if np.abs(new - posterior).max(initial=0) < 1e-9:
             break
         posterior = new
     return share, chance, posterior
