@@ -344,13 +344,13 @@ def chainage_text(spark, sf_dir):
 @query(
     f"""WITH c AS (SELECT event_id, epoch_us(ts) / 1e6 AS h, CASE event_id % 4 WHEN 0 THEN epoch_us(ts) / 1e6 - 946684800 WHEN 1 THEN epoch_us(ts) / 1e6 / 86400 + 719529
          WHEN 2 THEN epoch_us(ts) / 1e6 ELSE epoch_us(ts) / 1e3 END AS v FROM events)
-       SELECT event_id, {r('h', 2)} AS epoch FROM c"""
+       SELECT event_id, {r("h", 0)} AS epoch FROM c"""
 )
 def epoch_decode(spark, sf_dir):
     t = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
     k = F.col("event_id") % 4
     value = F.when(k == 0, t - 946_684_800).when(k == 1, t / 86_400 + 719_529).when(k == 2, t).otherwise(t * 1e3)
-    return table(spark, sf_dir, "events").select("event_id", fixed(decoded_epoch(value, t + 3600), 2).alias("epoch"))
+    return table(spark, sf_dir, "events").select("event_id", fixed(decoded_epoch(value, t + 3600), 0).alias("epoch"))
 
 
 @query(
