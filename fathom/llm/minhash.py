@@ -157,13 +157,26 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
     return joined.select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold: 100 * common >= percent * union."""
+def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is a node: by broadcast up to a checked number of nodes."""
+    keys = nodes.select(F.col("node").alias("doc_id")).distinct()
+    if keys.count() <= BROADCAST_NODES:
+        keys = F.broadcast(keys)
+    return docs.join(keys, "doc_id", "left_semi")
+
+
+def _links(likely: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs whose full sets reach the threshold: 100 * common >= percent * union.
+
+    Only the texts of the pairs' nodes are read and shingled.
+    """
+    ends = likely.select(F.col("a").alias("node")).unionAll(likely.select("b"))
+    sets = cut(_sets(_texts_of(docs, ends), width))
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("in_a"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("in_b"))
     common = F.size(F.array_intersect("in_a", "in_b")).cast("long")
     return (
-        pairs.join(one, "a")
+        likely.join(one, "a")
         .join(two, "b")
         .select("a", "b", common.alias("common"), (F.size("in_a") + F.size("in_b")).cast("long").alias("both"))
         .filter(100 * F.col("common") >= percent * (F.col("both") - F.col("common")))
@@ -171,14 +184,6 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is a node: by broadcast up to a checked number of nodes."""
-    keys = nodes.select(F.col("node").alias("doc_id")).distinct()
-    if keys.count() <= BROADCAST_NODES:
-        keys = F.broadcast(keys)
-    return docs.join(keys, "doc_id", "left_semi")
-
-
 def near_duplicates(
     docs: DataFrame,
     width: int = 5,
@@ -233,9 +238,8 @@ def near_duplicates(
         tried = tried.groupBy("node", "other").agg(F.count("*").alias("times"))
         best = tried.groupBy("node").agg(F.max_by("other", F.struct("times", -F.col("other"))).alias("other"))
         pairs = best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).filter("a <> b").distinct()
-        sets = cut(_sets(_texts_of(docs, rows), width))
-        first = cut(_links(_plausible(pairs, nodes, threshold), sets, percent))
-        links = first if links is None else cut(links.unionAll(first))
+        first = cut(_links(cut(_plausible(pairs, nodes, threshold)), docs, width, percent))
+        links = first if links is None else links.unionAll(first)
         found = cut(connected_components(links))
         labelled = rows.join(found, "node", "left").select(
             "region", "node", "size", F.coalesce("component", "node").alias("component")
@@ -250,9 +254,10 @@ def near_duplicates(
             & (F.col("one.node") < F.col("two.node"))
             & (F.col("one.component") != F.col("two.component")),
         ).select(F.col("one.node").alias("a"), F.col("two.node").alias("b"))
-        second = _links(_plausible(cross.distinct(), nodes, threshold), sets, percent)
-        links = cut(links.unionAll(second))
-        found = cut(connected_components(links))
+        likely = cut(_plausible(cross.distinct(), nodes, threshold))
+        if not likely.isEmpty():
+            links = links.unionAll(cut(_links(likely, docs, width, percent)))
+            found = cut(connected_components(links))
         dense = cut(open_rows.filter(F.col("size") > crowd).select("node").distinct())
         if last or dense.isEmpty():
             break
