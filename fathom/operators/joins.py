@@ -124,3 +124,30 @@ def compare_runs(old: DataFrame, new: DataFrame, key: Sequence[str], value: str)
     both = a.join(b, list(key), "full")
     where = F.when(F.col("in_old") & F.col("in_new"), "both").when(F.col("in_old"), "old only").otherwise("new only")
     return both.select(*key, where.alias("status"), "old", "new", (F.col("new") - F.col("old")).alias("difference"))
+
+
+def locate_sections(sections: DataFrame, key: str, segments: DataFrame, line: str, cell: float, margin: float = 15.0, share: float = 0.15) -> DataFrame:
+    """Where each section (ax, ay, bx, by) lies on the network: line, chainage, distance and method.
+
+    The section is lengthened at both ends by ``share`` of its length, ``margin`` at
+    least; of its crossings the one nearest to its middle counts. Without one the nearest
+    line to the middle is taken.
+    """
+    size = F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))
+    k = F.coalesce(F.try_divide(F.greatest(F.lit(margin), share * size), size), F.lit(0.0))
+    ux, uy = k * (F.col("bx") - F.col("ax")), k * (F.col("by") - F.col("ay"))
+    middle = sections.select(key, ((F.col("ax") + F.col("bx")) / 2).alias("x"), ((F.col("ay") + F.col("by")) / 2).alias("y"))
+    long = sections.select(key, (F.col("ax") - ux).alias("ax"), (F.col("ay") - uy).alias("ay"), (F.col("bx") + ux).alias("bx"), (F.col("by") + uy).alias("by"))
+    met = crossings(long, [key], segments.withColumn("line", F.col(line)), cell).join(middle, key)
+    d = F.hypot(F.col("px") - F.col("x"), F.col("py") - F.col("y"))
+    best = met.groupBy(key).agg(F.min(F.struct(d.alias("distance"), "line", "chainage")).alias("c"))
+    near = nearest_segments(middle, [key], segments.withColumn("order", F.lit(0)), line, "order")
+    both = near.join(best, key, "left")
+    crossed = F.col("c").isNotNull()
+    return both.select(
+        key,
+        F.when(crossed, F.col("c.line")).otherwise(F.col(line)).alias("line"),
+        F.when(crossed, F.col("c.chainage")).otherwise(F.col("chainage")).alias("chainage"),
+        F.when(crossed, F.col("c.distance")).otherwise(F.col("distance")).alias("distance"),
+        F.when(crossed, "crossing").otherwise("nearest").alias("method"),
+    )

@@ -167,3 +167,63 @@ def run_starts(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     """Adds whether the value differs from the row before."""
     seq = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(out, ~F.col(value).eqNullSafe(F.lag(value).over(seq)) | (F.row_number().over(seq) == 1))
+
+
+def monotone_slopes(series: DataFrame, keys: Sequence[str], at: str, value: str, out: str = "slope") -> DataFrame:
+    """Adds the derivative that keeps a cubic through the points monotone between them.
+
+    Inside: the harmonic mean of both secants, weighted by the spans, or zero where they
+    differ in sign. Ends: a one-sided three-point estimate, zero against the first
+    secant's sign and at most three times it where the secants differ in sign. Two points
+    give their secant.
+    """
+    seq = Window.partitionBy(*keys).orderBy(at)
+    x, y = F.col(at).cast("double"), F.col(value).cast("double")
+    rows = series.withColumn("__h", F.lead(x).over(seq) - x).withColumn("__m", (F.lead(y).over(seq) - y) / F.col("__h"))
+    for n, name in ((1, "__h"), (1, "__m"), (2, "__h"), (2, "__m")):
+        rows = rows.withColumn(f"{name}_{n}b", F.lag(name, n).over(seq))
+    rows = rows.withColumn("__h_1a", F.lead("__h").over(seq)).withColumn("__m_1a", F.lead("__m").over(seq))
+
+    def end(h0: Column, h1: Column, m0: Column, m1: Column) -> Column:
+        d = F.try_divide((2 * h0 + h1) * m0 - h0 * m1, h0 + h1)
+        return (
+            F.when(m1.isNull(), m0)
+            .when(F.signum(d) != F.signum(m0), F.lit(0.0))
+            .when((F.signum(m0) != F.signum(m1)) & (F.abs(d) > 3 * F.abs(m0)), 3 * m0)
+            .otherwise(d)
+        )
+
+    c = F.col
+    w1, w2 = 2 * c("__h") + c("__h_1b"), c("__h") + 2 * c("__h_1b")
+    inside = F.when(c("__m") * c("__m_1b") <= 0, F.lit(0.0)).otherwise((w1 + w2) / (w1 / c("__m_1b") + w2 / c("__m")))
+    slope = (
+        F.when(c("__h_1b").isNull(), end(c("__h"), c("__h_1a"), c("__m"), c("__m_1a")))
+        .when(c("__h").isNull(), end(c("__h_1b"), c("__h_2b"), c("__m_1b"), c("__m_2b")))
+        .otherwise(inside)
+    )
+    return rows.withColumn(out, F.coalesce(slope, F.lit(0.0))).drop(*(n for n in rows.columns if n.startswith("__")))
+
+
+def monotone_interpolate(points: DataFrame, series: DataFrame, keys: Sequence[str], at: str, value: str, out: str) -> DataFrame:
+    """``points`` with the monotone cubic through ``series`` at ``at``; null outside its range.
+
+    Both have the columns ``keys`` and ``at``; places in the series are distinct.
+    """
+    known = monotone_slopes(series.filter(finite(F.col(value)).isNotNull()), keys, at, value, "__d")
+    known = known.select(*keys, F.col(at).cast("double").alias("__at"), F.col(value).cast("double").alias("__v"), "__d")
+    asked = points.withColumn("__at", F.col(at).cast("double")).withColumn("__asked", F.lit(True))
+    both = asked.unionByName(known.withColumn("__asked", F.lit(False)), allowMissingColumns=True)
+    seq = Window.partitionBy(*keys).orderBy("__at")
+    here = F.when(~F.col("__asked"), F.struct("__at", "__v", "__d"))
+    both = both.withColumn("__lo", F.last(here, True).over(seq.rangeBetween(Window.unboundedPreceding, 0))).withColumn(
+        "__hi", F.first(here, True).over(seq.rangeBetween(0, Window.unboundedFollowing))
+    )
+    h = F.col("__hi.__at") - F.col("__lo.__at")
+    t = F.coalesce(F.try_divide(F.col("__at") - F.col("__lo.__at"), h), F.lit(0.0))
+    cubic = (
+        (1 + 2 * t) * (1 - t) * (1 - t) * F.col("__lo.__v")
+        + t * (1 - t) * (1 - t) * h * F.col("__lo.__d")
+        + t * t * (3 - 2 * t) * F.col("__hi.__v")
+        + t * t * (t - 1) * h * F.col("__hi.__d")
+    )
+    return both.withColumn(out, cubic).filter("__asked").drop("__at", "__v", "__d", "__asked", "__lo", "__hi")

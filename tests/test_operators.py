@@ -197,3 +197,24 @@ def test_discharge_of_a_group(spark):
     got = {r.k: r for r in aggregates.spread_statistics(frame, ["k"], "q").collect()}
     assert got[1].mean == pytest.approx(59.132, abs=1e-3) and got[1].sd == pytest.approx(7.885, abs=1e-3) and got[1].cv_percent == pytest.approx(13.3, abs=0.05)
     assert got[2].sd is None and got[2].cv_percent is None
+
+
+def test_monotone_cubic(spark):
+    x, y = [0.0, 1.0, 3.0, 4.0, 7.0], [1.0, 2.0, 2.5, 2.0, 2.0]
+    series = spark.createDataFrame([("k", a, b) for a, b in zip(x, y)] + [("two", 0.0, 1.0), ("two", 2.0, 5.0)], "k string, t double, v double")
+    slopes = [r.slope for r in sequence.monotone_slopes(series, ["k"], "t", "v").filter("k = 'k'").orderBy("t").collect()]
+    # secants 1, 0.25, -0.5, 0
+    assert slopes == pytest.approx([1.25, 9 / (5 / 1 + 4 / 0.25), 0.0, 0.0, 0.0])
+    points = spark.createDataFrame([("k", t) for t in (-1.0, 0.0, 0.5, 2.0, 3.5, 7.0, 8.0)] + [("two", 1.0)], "k string, t double")
+    got = {(r.k, r.t): r.z for r in sequence.monotone_interpolate(points, series, ["k"], "t", "v", "z").collect()}
+    assert got[("k", -1.0)] is None and got[("k", 8.0)] is None
+    assert (got[("k", 0.0)], got[("k", 7.0)], got[("two", 1.0)]) == (1.0, 2.0, pytest.approx(3.0))
+    assert 1 < got[("k", 0.5)] < 2 < got[("k", 2.0)] < 2.5 and 2 < got[("k", 3.5)] < 2.5
+
+
+def test_sections_are_located(spark):
+    lines = spark.createDataFrame([("a", 0, 0.0, 0.0), ("a", 1, 100.0, 0.0), ("b", 0, 0.0, 50.0), ("b", 1, 100.0, 50.0)], "river string, seq int, x double, y double")
+    segments = joins.segments_of(lines, ["river"], "seq")
+    sections = spark.createDataFrame([(1, 40.0, 10.0, 40.0, 30.0), (2, 70.0, 24.0, 90.0, 24.0)], "id int, ax double, ay double, bx double, by double")
+    got = sorted(map(tuple, joins.locate_sections(sections, "id", segments, "river", 40.0).collect()))
+    assert got == [(1, "a", 40.0, 20.0, "crossing"), (2, "a", 80.0, 24.0, "nearest")]

@@ -13,7 +13,7 @@ from fathom.streaming.windows import hourly
 
 
 def element(kind, body):
-    return struct.pack("<II", kind, len(body)) + body + b"\0" * (-len(body) % 8)
+    return struct.pack("<II", kind, len(body)) + body + b"\0" * (0 if kind == 15 else -len(body) % 8)
 
 
 def array(name, value):
