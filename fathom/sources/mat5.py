@@ -12,7 +12,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Fixed values of the format: element types as numpy kinds, and array classes.
@@ -75,7 +75,7 @@ def _column(tree: dict, path: str, n: int, default: float = np.nan) -> np.ndarra
     return flat if len(flat) == n else np.full(n, flat[0])
 
 
-def _rows(path: str, content: bytes) -> pd.DataFrame:
+def _rows(path: str, content: bytes) -> tuple[int, dict]:
     stem = path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
     try:
         tree = decode(content)
@@ -83,15 +83,15 @@ def _rows(path: str, content: bytes) -> pd.DataFrame:
         n = len(beams)
         pairs = {k: np.asarray(tree[g][f], float).reshape(n, 2) for k, g, f in (("utm", "GPS", "UTM"), ("vel", "Summary", "Mean_Vel"))}
     except Exception as problem:  # a bad file is a row that says so
-        return pd.DataFrame({"perfil": [stem], "bt_beams": [None], "error": [str(problem)[:200]]})
+        return 1, {"perfil": [stem], "error": [str(problem)[:200]]}
     simple = {
         "vb_depth": ("BottomTrack.VB_Depth", np.nan), "khz": ("BottomTrack.BT_Frequency", 3000.0), "bt_depth": ("BottomTrack.BT_Depth", np.nan),
         "lat": ("GPS.Latitude", np.nan), "lon": ("GPS.Longitude", np.nan), "heading": ("System.True_North_ADP_Heading", np.nan), "time": ("System.Time", np.nan),
         "step": ("System.Step", 3.0), "pitch": ("Compass.Pitch", 0.0), "roll": ("Compass.Roll", 0.0), "total_q": ("Summary.Total_Q", np.nan),
     }
-    out = {"perfil": stem, "ens": np.arange(n), "bt_beams": list(beams)} | {k: _column(tree, p, n, d) for k, (p, d) in simple.items()}
+    out = {"perfil": [stem] * n, "ens": list(range(n)), "bt_beams": beams.tolist()} | {k: _column(tree, p, n, d) for k, (p, d) in simple.items()}
     out |= {"utm_e": pairs["utm"][:, 0], "utm_n": pairs["utm"][:, 1], "mean_ve": pairs["vel"][:, 0], "mean_vn": pairs["vel"][:, 1]}
-    return pd.DataFrame(out)
+    return n, out
 
 
 def read_transects(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -99,13 +99,16 @@ def read_transects(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     from pyspark.sql import functions as F
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.mat").load(paths).select("path", "content").dropDuplicates(["path"])
-    names = [f.split()[0] for f in SCHEMA.replace("\n", " ").split(",")]
+    pairs = [f.split() for f in SCHEMA.replace("\n", " ").split(",")]
+    kinds = {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), "array<double>": pa.list_(pa.float64())}
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch.path, batch.content):
-                yield _rows(path, content).reindex(columns=names)
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                n, out = _rows(path, content)
+                columns = [pa.array(out.get(name, [None] * n), kinds[kind]) for name, kind in pairs]
+                yield pa.RecordBatch.from_arrays(columns, names=[name for name, _ in pairs])
 
-    rows = files.mapInPandas(run, SCHEMA)
+    rows = files.mapInArrow(run, SCHEMA)
     floats = [f.name for f in rows.schema if f.dataType.simpleString() == "double"]
     return rows.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
