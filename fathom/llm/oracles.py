@@ -92,5 +92,35 @@ FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)
 """
 
 
+OP7 = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE
+    WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x
+  FROM w
+), n AS (
+  SELECT doc_id, CAST(len(x) AS BIGINT) AS n_shingles FROM s
+), e AS (
+  SELECT doc_id, unnest(x) AS g FROM s
+), c AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+  WHERE 100 * k >= 85 * (p.n_shingles + q.n_shingles - k)
+), reach AS (
+  SELECT a AS origin, b AS met FROM l UNION SELECT reach.origin, l.b FROM reach JOIN l ON reach.met = l.a
+), f AS (
+  SELECT origin AS doc_id, min(met) AS first FROM reach GROUP BY origin
+)
+SELECT doc_id, n_shingles, least(doc_id, coalesce(first, doc_id)) AS component_id,
+       doc_id = least(doc_id, coalesce(first, doc_id)) AS kept
+FROM n LEFT JOIN f USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filters": OP2, "op3_topk": OP3, "op6_caps": OP6, "op10_warc": OP10}
+    return {"op2_url_filters": OP2, "op3_topk": OP3, "op6_caps": OP6, "op7_minhash": OP7, "op10_warc": OP10}
