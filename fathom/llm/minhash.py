@@ -7,8 +7,10 @@ equal prefix of the level's depth:
 
 1. every node takes its best candidate among its neighbours in the sorted orders
    and the regions' first nodes; the links found give first components;
-2. in regions that still hold several components every pair of nodes of different
-   components is tried, so pairs that are connected already cost nothing;
+2. in regions that still hold several components every node is tried with a few drawn
+   nodes of other components, which joins groups of many links at little cost; then
+   every pair of nodes of different components is tried, so pairs that are connected
+   already cost nothing;
 3. a region with more than ``crowd`` nodes and several components is too dense for
    its depth. Its nodes are signed anew with longer prefixes and as many more trees
    as keep the chance of missing a pair at the threshold at ``miss``; at the last
@@ -33,6 +35,8 @@ from fathom.llm._text import mix, row_slices, shingle_hashes, utf8_buffers, word
 
 #: Candidate nodes up to which the texts are picked by a broadcast of their ids (16 MB).
 BROADCAST_NODES = 1_000_000
+#: Rounds in which every node is tried with one drawn node of another component in each of its regions.
+TURNS = 2
 #: Rows of a region that one task sorts.
 REGION_ROWS = 256
 
@@ -184,6 +188,27 @@ def _links(likely: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     )
 
 
+def _open_rows(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(region, node, size, component) of the regions that hold several components."""
+    labelled = rows.join(found, "node", "left").select(
+        "region", "node", "size", F.coalesce("component", "node").alias("component")
+    )
+    several = labelled.groupBy("region").agg((F.min("component") != F.max("component")).alias("several")).filter("several")
+    return cut(labelled.join(several.select("region"), "region"))
+
+
+def _across(open_rows: DataFrame, turn: int) -> DataFrame:
+    """Each node with one node of another component in each of its regions, drawn by a hash of both."""
+    draw = F.xxhash64("node", "region", F.lit(turn))
+    one = cut(open_rows.groupBy("region").agg(F.min_by(F.struct("node", "component"), draw).alias("one")))
+    others = open_rows.join(one, "region").filter(F.col("component") != F.col("one.component"))
+    two = cut(others.groupBy("region").agg(F.min_by("node", draw).alias("two")))
+    met = open_rows.join(one.join(two, "region"), "region")
+    other = F.when(F.col("component") != F.col("one.component"), F.col("one.node")).otherwise(F.col("two"))
+    met = met.select("node", other.alias("other"))
+    return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     width: int = 5,
@@ -241,11 +266,14 @@ def near_duplicates(
         first = cut(_links(cut(_plausible(pairs, nodes, threshold)), docs, width, percent))
         links = first if links is None else links.unionAll(first)
         found = cut(connected_components(links))
-        labelled = rows.join(found, "node", "left").select(
-            "region", "node", "size", F.coalesce("component", "node").alias("component")
-        )
-        several = labelled.groupBy("region").agg((F.min("component") != F.max("component")).alias("several")).filter("several")
-        open_rows = cut(labelled.join(several.select("region"), "region"))
+        for turn in range(TURNS):
+            open_rows = _open_rows(rows, found)
+            if open_rows.isEmpty():
+                break
+            likely = cut(_plausible(_across(open_rows, turn), nodes, threshold))
+            links = links.unionAll(cut(_links(likely, docs, width, percent)))
+            found = cut(connected_components(links))
+        open_rows = _open_rows(rows, found)
         near = open_rows if last else open_rows.filter(F.col("size") <= crowd)
         one, two = near.alias("one"), near.alias("two")
         cross = one.join(
