@@ -49,27 +49,52 @@ def foot(x: Column, y: Column) -> tuple[Column, Column]:
     return F.hypot(x - F.col("x0") - u * dx, y - F.col("y0") - u * dy), F.col("s0") + u * F.col("length")
 
 
-def nearest_segments(points: DataFrame, key: Sequence[str], segments: DataFrame, line: str, order: str, k: int = 1) -> DataFrame:
-    """The ``k`` nearest lines of every point (``x``, ``y``): line, distance, chainage, rank.
+#: Segments up to which every point meets all of them by a broadcast (about 80 bytes each).
+BROADCAST_SEGMENTS = 50_000
 
-    ``segments`` are a network's, thus small, and are broadcast; ties go to the smaller
-    ``order``. Per point and line only the nearest place counts.
-    """
+
+def _ranked(met: DataFrame, key: Sequence[str], line: str, order: str, k: int) -> DataFrame:
+    """The ``k`` nearest lines of each point among the segments that it has met."""
     from pyspark.sql import Window
 
     d, s = foot(F.col("x"), F.col("y"))
-    met = points.select(*key, "x", "y").join(F.broadcast(segments))
     per_line = met.groupBy(*key, line).agg(
         F.min(F.struct(d.alias("distance"), F.col(order).alias("order"), s.alias("chainage"))).alias("b")
     )
-    if k == 1:
-        best = per_line.groupBy(*key).agg(F.min(F.struct("b.distance", "b.order", "b.chainage", line)).alias("b"))
-        return best.select(*key, F.col(f"b.{line}").alias(line), "b.distance", "b.chainage", F.lit(1).alias("rank"))
     rank = F.row_number().over(Window.partitionBy(*key).orderBy("b.distance", "b.order"))
     ranked = per_line.withColumn("rank", rank).filter(F.col("rank") <= k)
     return ranked.select(*key, line, "b.distance", "b.chainage", "rank")
 
 
+def nearest_segments(
+    points: DataFrame, key: Sequence[str], segments: DataFrame, line: str, order: str, k: int = 1, cell: float = 250.0
+) -> DataFrame:
+    """The ``k`` nearest lines of every point (``x``, ``y``): line, distance, chainage, rank.
+
+    Per point and line only the nearest place counts; ties go to the smaller ``order``.
+    A network of up to BROADCAST_SEGMENTS segments is broadcast. A larger one is met by
+    grid cells: a point whose k-th line lies within one cell's width has met all that
+    could be nearer; the others go on with cells twice as wide.
+    """
+    asked = points.select(*key, "x", "y").filter("x is not null and y is not null")
+    if segments.count() <= BROADCAST_SEGMENTS:
+        return _ranked(asked.join(F.broadcast(segments)), key, line, order, k)
+    lines = segments.select(line).distinct().count()
+    done = None
+    while True:
+        around = lambda c: F.sequence(F.floor(F.col(c) / cell) - 1, F.floor(F.col(c) / cell) + 1)  # noqa: B023, E731
+        wide = asked.withColumn("cx", F.explode(around("x"))).withColumn("cy", F.explode(around("y")))
+        met = wide.join(cells_along(segments, cell), ["cx", "cy"]).drop("cx", "cy")
+        found = _ranked(met, key, line, order, min(k, lines))
+        near = found.filter((F.col("rank") == min(k, lines)) & (F.col("distance") <= cell)).select(*key)
+        found = found.join(near, list(key), "left_semi")
+        done = found if done is None else done.unionByName(found)
+        asked = asked.join(near, list(key), "left_anti")
+        if asked.isEmpty():
+            return done
+        cell *= 2
+
+
 def cells_along(segments: DataFrame, cell: float) -> DataFrame:
     """A row per segment and grid cell of its bounding box: adds ``cx``, ``cy``."""
     span = lambda a, b: F.sequence(F.floor(F.least(a, b) / cell), F.floor(F.greatest(a, b) / cell))

@@ -218,3 +218,14 @@ def test_sections_are_located(spark):
     sections = spark.createDataFrame([(1, 40.0, 10.0, 40.0, 30.0), (2, 70.0, 24.0, 90.0, 24.0)], "id int, ax double, ay double, bx double, by double")
     got = sorted(map(tuple, joins.locate_sections(sections, "id", segments, "river", 40.0).collect()))
     assert got == [(1, "a", 40.0, 20.0, "crossing"), (2, "a", 80.0, 24.0, "nearest")]
+
+
+def test_nearest_by_cells_is_the_nearest(spark, monkeypatch):
+    rng = random.Random(2)
+    lines = [(f"l{k}", i, rng.uniform(0, 5000), rng.uniform(0, 5000)) for k in range(6) for i in range(4)]
+    segments = joins.segments_of(spark.createDataFrame(lines, "line string, seq int, x double, y double"), ["line"], "seq")
+    segments = segments.withColumn("order", F.substring("line", 2, 1).cast("int"))
+    points = spark.createDataFrame([(i, rng.uniform(-2000, 7000), rng.uniform(0, 5000)) for i in range(40)], "id int, x double, y double")
+    whole = sorted(map(tuple, joins.nearest_segments(points, ["id"], segments, "line", "order", 2).collect()))
+    monkeypatch.setattr(joins, "BROADCAST_SEGMENTS", 0)
+    assert sorted(map(tuple, joins.nearest_segments(points, ["id"], segments, "line", "order", 2, 800.0).collect())) == whole
