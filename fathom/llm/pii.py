@@ -3,9 +3,11 @@
 Entities (addresses, numbers) are found by patterns. What stands near an entity is
 weighed by the corpus: a term discloses the entity to the extent that its pointwise
 mutual information with the entity exhausts the entity's own information. Terms that
-disclose most of it are removed, terms that disclose much of it are generalised.
-Everything is DataFrame work on the JVM; a text is read once for its entities and once
-for its terms.
+disclose most of it are removed, terms that disclose much of it are generalised,
+wherever they stand in a text that holds the entity. In a text without the entity there
+is nothing for them to disclose, and they stay.
+Everything is DataFrame work on the JVM; a text is read once for its entities, once
+for its terms and, where it holds a disclosed entity, again for their places.
 
 The patterns are written with possessive repeats and look-behinds so that each text is
 scanned in linear time; they match what the plain forms in ``PLAIN`` match.
@@ -13,6 +15,8 @@ scanned in linear time; they match what the plain forms in ``PLAIN`` match.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,12 +45,16 @@ TERM = r"(?<![\p{L}\p{N}])\p{L}[\p{L}\p{N}]{2,63}+(?![\p{L}\p{N}])"
 KINDS = tuple(PLAIN)
 #: Spans up to which they are broadcast to the texts that they change (about 60 bytes each).
 BROADCAST_SPANS = 1_000_000
+#: Disclosing terms (with an entity each) and disclosed entities of texts up to which they are broadcast (about 60 bytes each).
+BROADCAST_TERMS = 500_000
 
 SPAN = "struct<kind: string, start: bigint, end: bigint, value: string>"
 
 
-def _placed(text: Column, pattern: str, kind: str, shift: Column | int = 0) -> Column:
-    """The matches of ``pattern`` in ``text`` with their places in code points, moved by ``shift``."""
+def _placed(
+    text: Column, pattern: str, kind: str, shift: Column | int = 0, only: Callable[[Column], Column] | None = None
+) -> Column:
+    """The matches of ``pattern`` in ``text`` (``only`` those that it holds for) with their places in code points, moved by ``shift``."""
     pieces = F.split(text, pattern, -1)
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     steps = F.arrays_zip(F.slice(pieces, 1, F.size(matches)).alias("gap"), matches.alias("value"))
@@ -56,7 +64,9 @@ def _placed(text: Column, pattern: str, kind: str, shift: Column | int = 0) -> C
         start = state["at"] + F.char_length(x["gap"])
         end = start + F.char_length(x["value"])
         one = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["value"].alias("value"))
-        return F.struct(end.alias("at"), F.array_append(state["found"], one).alias("found"))
+        found = F.array_append(state["found"], one)
+        found = F.when(only(x["value"]), found).otherwise(state["found"]) if only else found
+        return F.struct(end.alias("at"), found.alias("found"))
 
     return F.aggregate(steps, zero, step, lambda s: s["found"])
 
@@ -111,16 +121,64 @@ def _near(text: Column, spans: Column, reach: int) -> Column:
             _placed(first, TERM, "term", begin + F.char_length(head)),
             _placed(rest, TERM, "term", s["end"]),
         )
-        entity = F.concat_ws(":", s["kind"], F.when(s["kind"] == "email", F.lower(s["value"])).otherwise(_digits(s["value"])))
         return F.transform(
             terms,
             lambda t: F.struct(
-                F.lower(t["value"]).alias("term"), entity.alias("entity"), t["start"].alias("start"), t["end"].alias("end")
+                F.lower(t["value"]).alias("term"), _entity(s).alias("entity"), t["start"].alias("start"), t["end"].alias("end")
             ),
         )
 
-    near = F.flatten(F.transform(spans, around))
-    return F.filter(near, lambda t: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+    return _outside(F.flatten(F.transform(spans, around)), spans)
+
+
+def _entity(s: Column) -> Column:
+    """What a span's entity is called, the same for all ways of writing it."""
+    return F.concat_ws(":", s["kind"], F.when(s["kind"] == "email", F.lower(s["value"])).otherwise(_digits(s["value"])))
+
+
+def _outside(terms: Column, spans: Column) -> Column:
+    """The terms that overlap none of the spans."""
+    return F.filter(terms, lambda t: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+
+
+def _whole(docs: DataFrame, rows: DataFrame, known: DataFrame) -> DataFrame:
+    """(doc_id, print, start, end, term, kind): the places of ``known`` terms anywhere in the texts that hold their entity.
+
+    ``known`` has term, entity and kind. A text meets the terms of its own entities only;
+    places are worked out only in texts that hold such a term.
+    """
+    named = rows.filter(F.size("base") > 0).dropDuplicates(["doc_id", "print"])
+    named = named.select("doc_id", "print", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"))
+    disclosed = known.select("entity").distinct()
+    by_term = known.groupBy("term").agg(F.collect_list(F.struct("entity", "kind")).alias("of"))
+    if known.count() <= BROADCAST_TERMS:
+        disclosed, by_term = F.broadcast(disclosed), F.broadcast(by_term)
+    holders = named.join(disclosed, "entity", "left_semi").groupBy("doc_id", "print").agg(F.collect_list("entity").alias("held"))
+    holders = cut(holders)
+    n_held = holders.agg(F.sum(F.size("held"))).first()[0] or 0
+
+    def texts_of(some: DataFrame, n: int) -> DataFrame:
+        some = some.withColumnsRenamed({"doc_id": "of_id", "print": "of_print"})
+        some = F.broadcast(some) if n <= BROADCAST_TERMS else some
+        text = F.coalesce(F.col("text"), F.lit(""))
+        read = docs.select("doc_id", text.alias("text")).withColumn("print", F.xxhash64("text"))
+        return read.join(some, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("print") == F.col("of_print"))).drop("of_id", "of_print")
+
+    said = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower))
+    met = texts_of(holders, n_held).select("doc_id", "print", "held", F.explode(said).alias("term")).join(by_term, "term")
+    kinds = F.transform(F.filter("of", lambda o: F.array_contains(F.col("held"), o["entity"])), lambda o: o["kind"])
+    met = met.select("doc_id", "print", "term", F.array_max(kinds).alias("kind")).filter("kind is not null")
+    met = met.groupBy("doc_id", "print").agg(F.collect_set(F.struct("term", "kind")).alias("hits"))
+    met = cut(met.select("doc_id", "print", F.map_from_entries("hits").alias("hits")))
+    n_hits = met.agg(F.sum(F.size("hits"))).first()[0] or 0
+    placed = texts_of(met, n_hits).dropDuplicates(["doc_id", "print"])
+    places = _placed(F.col("text"), TERM, "term", only=lambda v: F.map_contains_key(F.col("hits"), F.lower(v)))
+    spans = placed.select("doc_id", "print", "hits", places.alias("t"), entities(F.col("text")).alias("base"))
+    spans = spans.select("doc_id", "print", "hits", F.explode(_outside(F.col("t"), F.col("base"))).alias("t"))
+    term = F.lower("t.value")
+    return spans.select(
+        "doc_id", "print", "t.start", "t.end", term.alias("term"), F.element_at("hits", term).alias("kind")
+    )
 
 
 def find(
@@ -134,7 +192,8 @@ def find(
 
     A term within ``reach`` code points of an entity in at least ``support`` texts
     discloses log(p(entity | term) / p(entity)) / log(1 / p(entity)) of it, over all
-    texts; from ``generalise`` on it is generalised and from ``remove`` on removed.
+    texts; from ``generalise`` on it is generalised and from ``remove`` on removed, at all
+    its places in the whole texts that hold the entity. Texts without it keep the term.
     Null and empty texts hold nothing. Repeated rows each count and each get a row.
     Other columns are not read; an empty table gives an empty result.
     """
@@ -174,6 +233,8 @@ def find(
         .select("doc_id", "print", F.explode("near").alias("t"))
         .select("doc_id", "print", "t.*")
         .join(known, ["term", "entity"])
+        .select("doc_id", "print", "start", "end", "term", "kind")
+        .unionByName(_whole(docs, rows, known))
         .groupBy("doc_id", "print", "start", "end", "term")
         .agg(F.max("kind").alias("kind"))
         .groupBy("doc_id", "print")
