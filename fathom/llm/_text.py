@@ -74,7 +74,7 @@ def row_slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[
         start = end
 
 
-def _cuts(data: np.ndarray, offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+def cuts(data: np.ndarray, offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Byte ranges of about ``limit`` that end at a row's end or after white space."""
     n, start = len(data), 0
     while start < n:
@@ -94,12 +94,10 @@ def _cuts(data: np.ndarray, offsets: np.ndarray, limit: int) -> Iterator[tuple[i
 
 
 def word_hashes(
-    data: np.ndarray, offsets: np.ndarray, fold: np.ndarray = LOWER, space: np.ndarray = SPACE, stem: int = 0
-) -> tuple[np.ndarray, ...]:
+    data: np.ndarray, offsets: np.ndarray, fold: np.ndarray = LOWER, space: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of every row, and the number of words of each row.
 
-    With ``stem`` also, as a third result, the hashes of the words' first ``stem`` bytes.
-
     ``fold`` maps bytes before hashing (default: A-Z lower-cased) and ``space``
     marks the separating bytes, taken after folding. Works in byte ranges cut at
     white space, so one very long text needs no more memory than its words.
@@ -107,9 +105,8 @@ def word_hashes(
     n_rows = len(offsets) - 1
     counts = np.zeros(n_rows, np.int64)
     out: list[np.ndarray] = []
-    stems: list[np.ndarray] = []
     filled = offsets[:-1][np.diff(offsets) > 0]
-    for s, e in _cuts(data, offsets, SLICE_BYTES):
+    for s, e in cuts(data, offsets, SLICE_BYTES):
         part = fold[data[s:e]]
         n = e - s
         gap = space[part]
@@ -129,14 +126,22 @@ def word_hashes(
         np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=total[1:])
         back = powers(BASE_INVERSE, n)
         out.append(mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(np.uint64)))
-        if stem:
-            short = np.minimum(ends, starts + stem)
-            stems.append(mix((total[short] - total[starts]) * back[starts]))
         rows = np.searchsorted(offsets, starts + s, side="right") - 1
         counts += np.bincount(rows, minlength=n_rows)
-    none = np.zeros(0, np.uint64)
-    words = np.concatenate(out) if out else none
-    return (words, counts, np.concatenate(stems) if stems else none) if stem else (words, counts)
+    return np.concatenate(out) if out else np.zeros(0, np.uint64), counts
+
+
+def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of UTF-8 rows and their row offsets, counted in code points."""
+    lead = (data & 0xC0) != 0x80
+    lead[offsets[:-1][np.diff(offsets) > 0]] = True  # a row that begins with a torn character stays its own
+    at = np.flatnonzero(lead)
+    padded = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.uint32)
+    one = padded[at]
+    two, three, four = (padded[at + k] & 0x3F for k in (1, 2, 3))
+    points = np.where(one < 0xE0, (one & 0x1F) << 6 | two, (one & 0x0F) << 12 | two << 6 | three)
+    points = np.where(one < 0xF0, points, (one & 0x07) << 18 | two << 12 | three << 6 | four)
+    return np.where(one < 0x80, one, points), np.concatenate([[0], np.cumsum(lead)])[offsets]
 
 
 def shingle_hashes(words: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,9 +1,12 @@
 """Toxic passages as maximum-scoring segments of token log-odds.
 
-A token is a word's stem, its first bytes, so that inflections count together.
-Training counts the toxic and the clean labelled texts that hold each token; the
-log-odds have a Dirichlet prior centred on the token's rate in both classes
-together, and only tokens sure of their sign keep them. A text is then a row of
+A token is a whole word; what the training does not know of it is taken from its
+stem, its first characters, so that inflections count together. Scripts without
+spaces, and very long runs, are cut into character n-grams, one from every character.
+Training counts the toxic and the clean labelled texts that hold each stem and each
+word; the log-odds have a Dirichlet prior centred on the rate in both classes
+together. Stems keep them that are sure of their sign, and words that surely differ
+from what their stem gives them. A text is then a row of
 scores, every word paying a small price, and one linear scan finds all maximal
 segments. Under an extreme-value law fitted to the clean texts' best segments, a
 segment's score becomes a significance that allows for the text's length; the
@@ -14,29 +17,53 @@ text's score.
 from __future__ import annotations
 
 import math
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathom.llm._text import mix, row_slices, utf8_buffers, word_hashes
+from fathom.llm._stage import cut
+from fathom.llm._text import BASE, BASE_INVERSE, SLICE_BYTES, code_points, cuts, mix, powers, row_slices, utf8_buffers
 
-#: Tokens a model holds at most, those with the surest log-odds.
+#: Stems and words, each, that a model holds at most, those with the surest log-odds.
 VOCABULARY = 100_000
 #: Labelled rows that fit the extreme-value law and the final curve, at most about this many.
 CALIBRATION_ROWS = 20_000
 #: Labels up to which they are broadcast to the texts (16 bytes each).
 BROADCAST_LABELS = 2_000_000
-STEM_BYTES = 4
+#: Characters of a stem, and of an n-gram and its stem in scripts without spaces and in longer runs than LONGEST.
+STEM, GRAM, GRAM_STEM, LONG_GRAM, LONGEST = 4, 4, 2, 8, 40
 #: A passage is significant where a clean text holds such a one with chance 1/100 at most.
 SIGNIFICANT = math.log(100)
 
-#: A-Z lower-cased, ASCII marks and controls as white space.
-FOLD = np.arange(256, dtype=np.uint8)
-FOLD[:128] = [ord(chr(c).lower()) if chr(c).isalnum() else 0x20 for c in range(128)]
+#: Thai, Lao, Burmese, Khmer, kana and Han; symbols are added below.
+WITHOUT_SPACES = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF),
+    (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9D), (0x20000, 0x3FFFF),
+)
+
+
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    """Of every code point: itself lower-cased, or a space for marks and controls; whether it stands without spaces."""
+    fold, solid = np.arange(0x200000, dtype=np.uint32), np.zeros(0x200000, dtype=bool)
+    for first, last in WITHOUT_SPACES:
+        solid[first : last + 1] = True
+    for c in range(0x20000):
+        kind, low = unicodedata.category(chr(c)), chr(c).lower()
+        if kind[0] in "PZ" or kind == "Cc" or c < 128 and not chr(c).isalnum():
+            fold[c], solid[c] = 0x20, False
+        elif kind[0] == "S":
+            solid[c] = True
+        elif len(low) == 1:
+            fold[c] = ord(low)
+    return fold, solid
+
+
+FOLD, SOLID = _classes()
 
 
 @dataclass(frozen=True)
@@ -73,21 +100,51 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(b, e, float(h - lo)) for b, e, lo, h in zip(begin, end, low, high)]
 
 
-def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of all tokens and their number in each row."""
-    _, counts, stems = word_hashes(data, offsets, FOLD, stem=STEM_BYTES)
-    return stems, counts
+def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes of all tokens and of their stems, and the number of tokens of each row."""
+    counts = np.zeros(len(offsets) - 1, np.int64)
+    words, stems = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    for s, e in cuts(data, offsets, SLICE_BYTES):
+        points, rows = code_points(data[s:e], np.clip(offsets, s, e) - s)
+        part = FOLD[points]
+        n = len(part)
+        gap, solid = part == 0x20, SOLID[part]
+        edge = np.ones(n + 1, dtype=bool)
+        edge[1:n] = gap[1:] | gap[:-1] | (solid[1:] != solid[:-1])
+        edge[rows] = True
+        bounds = np.flatnonzero(edge)
+        length = np.repeat(np.diff(bounds), np.diff(bounds))
+        starts = np.flatnonzero(~gap & (edge[:n] | solid | (length > LONGEST)))
+        run_end = np.repeat(bounds[1:], np.diff(bounds))[starts]
+        alone = solid[starts]
+        width = np.where(alone, GRAM, np.where(length[starts] > LONGEST, LONG_GRAM, LONGEST))
+        ends = np.minimum(run_end, starts + width)
+        short = np.minimum(ends, starts + np.where(alone, GRAM_STEM, STEM))
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=total[1:])
+        back = powers(BASE_INVERSE, n)[starts]
+        words.append(mix((total[ends] - total[starts]) * back + (ends - starts).astype(np.uint64)))
+        stems.append(mix((total[short] - total[starts]) * back))
+        counts += np.bincount(np.searchsorted(rows, starts, side="right") - 1, minlength=len(counts))
+    return np.concatenate(words), np.concatenate(stems), counts
+
+
+def _values(model: Model, words: np.ndarray, stems: np.ndarray) -> np.ndarray:
+    """The score of every word: its own where the model has one, else its stem's, else none."""
+    scores = np.zeros(len(words))
+    if len(model.tokens):
+        for keys in (stems, words):
+            at = np.minimum(np.searchsorted(model.tokens, keys), len(model.tokens) - 1)
+            scores = np.where(model.tokens[at] == keys, model.scores[at], scores)
+    return scores
 
 
 def _scored_rows(model: Model, column: pa.Array) -> Iterator[tuple[int, int, list[tuple[int, int, float]]]]:
     """(row, words, segments) for every row of a text column."""
     data, offsets = utf8_buffers(column)
     for s, e in row_slices(offsets):
-        tokens, counts = _tokens(data[offsets[s] : offsets[e]], offsets[s : e + 1] - offsets[s])
-        scores = np.full(len(tokens), -model.price)
-        if len(model.tokens):
-            at = np.minimum(np.searchsorted(model.tokens, tokens), len(model.tokens) - 1)
-            scores += np.where(model.tokens[at] == tokens, model.scores[at], 0.0)
+        words, stems, counts = _tokens(data[offsets[s] : offsets[e]], offsets[s : e + 1] - offsets[s])
+        scores = _values(model, words, stems) - model.price
         ends = np.cumsum(counts)
         for row, end, n in zip(range(s, e), ends.tolist(), counts.tolist()):
             own = scores[end - n : end]
@@ -148,12 +205,13 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", "text", "toxic")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sure: float = 3.0, price: float = 0.2, prior: float = 2.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sure: float = 3.0, price: float = 0.2, prior: float = 2.0, apart: float = 4.0) -> Model:
     """Learn from the labelled texts: ``labels`` has doc_id and toxic (1 or 0; others are ignored).
 
     Counts cover every labelled text; the law and the curve are fitted to about
     CALIBRATION_ROWS of them at most, taken by a hash of doc_id. Without texts of both
-    classes no word scores and every text gets the prior share of toxic ones.
+    classes no word scores and every text gets the prior share of toxic ones. A stem's
+    log-odds must be ``sure`` standard deviations from zero, a word's ``apart`` from its stem's.
     """
     texts = labelled_texts(docs, labels)
 
@@ -162,18 +220,21 @@ def fit(docs: DataFrame, labels: DataFrame, sure: float = 3.0, price: float = 0.
             data, offsets = utf8_buffers(batch.column(0))
             toxic = np.asarray(batch.column(1))
             for s, e in row_slices(offsets):
-                tokens, counts = _tokens(data[offsets[s] : offsets[e]], offsets[s : e + 1] - offsets[s])
-                # a token counts once for a text, however often it stands in it
-                rows = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
-                once = np.unique(mix(tokens + mix(rows)), return_index=True)[1]
-                bad = np.repeat(toxic[s:e] == 1, counts)[once]
-                keys, inverse = np.unique(tokens[once], return_inverse=True)
-                n_bad = np.bincount(inverse, weights=bad, minlength=len(keys)).astype(np.int64)
-                columns = [keys.view(np.int64), n_bad, np.bincount(inverse, minlength=len(keys)) - n_bad]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "bad", "good"])
-
-    counted = texts.select("text", "toxic").mapInArrow(count, "token long, bad long, good long")
-    counted = counted.groupBy("token").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+                words, stems, counts = _tokens(data[offsets[s] : offsets[e]], offsets[s : e + 1] - offsets[s])
+                rows = mix(np.repeat(np.arange(len(counts), dtype=np.uint64), counts))
+                toxic_at = np.repeat(toxic[s:e] == 1, counts)
+                for own, of in ((stems, None), (words, stems)):
+                    # a token counts once for a text, however often it stands in it
+                    once = np.unique(mix(own + rows), return_index=True)[1]
+                    keys, first, inverse = np.unique(own[once], return_index=True, return_inverse=True)
+                    n_bad = np.bincount(inverse, weights=toxic_at[once], minlength=len(keys)).astype(np.int64)
+                    n_good = np.bincount(inverse, minlength=len(keys)) - n_bad
+                    parent = pa.nulls(len(keys), pa.int64()) if of is None else pa.array(of[once][first].view(np.int64))
+                    columns = [pa.array(keys.view(np.int64)), parent, pa.array(n_bad), pa.array(n_good)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["token", "stem", "bad", "good"])
+
+    counted = texts.select("text", "toxic").mapInArrow(count, "token long, stem long, bad long, good long")
+    counted = counted.groupBy("token").agg(F.min("stem").alias("stem"), F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     sizes = known_labels(labels).groupBy("toxic").count().collect()
     n_bad, n_good = (sum(r["count"] for r in sizes if r.toxic == y) for y in (1, 0))
     table: list[tuple[int, float]] = []
@@ -181,8 +242,21 @@ def fit(docs: DataFrame, labels: DataFrame, sure: float = 3.0, price: float = 0.
         held = 0.5 + prior * (F.col("bad") + F.col("good")) / F.lit(float(n_bad + n_good))
         odds = F.log((F.col("bad") + held) / F.lit(n_bad + prior)) - F.log((F.col("good") + held) / F.lit(n_good + prior))
         spread = F.sqrt(1 / (F.col("bad") + held) + 1 / (F.col("good") + held))
-        scored = counted.select("token", odds.alias("score"), (odds / spread).alias("z")).filter(F.abs("z") >= sure)
-        best = scored.orderBy(F.abs("z").desc(), "token").limit(VOCABULARY).collect()
+        counted = cut(counted.withColumns({"score": odds, "spread": spread}))
+
+        def surest(rows: DataFrame, base: Column, least: float) -> DataFrame:
+            z = F.abs((F.col("score") - base) / F.col("spread"))
+            return cut(rows.withColumn("z", z).filter(F.col("z") >= least).orderBy(F.col("z").desc(), "token").limit(VOCABULARY))
+
+        stems = surest(counted.filter("stem is null"), F.lit(0.0), sure)
+        base = F.broadcast(stems.select(F.col("token").alias("stem"), F.col("score").alias("base")))
+        words = counted.filter("stem is not null").join(base, "stem", "left").withColumn("base", F.coalesce("base", F.lit(0.0)))
+        # a word's prior is centred on the rates that its stem gives it
+        share = 1 / (1 + F.exp(-F.col("base")) * F.lit(n_good / n_bad))
+        bad, good = F.col("bad") + 0.5 + prior * share, F.col("good") + 0.5 + prior * (1 - share)
+        words = words.withColumns({"score": F.log(bad / good) - F.lit(math.log(n_bad / n_good)), "spread": F.sqrt(1 / bad + 1 / good)})
+        words = surest(words, F.col("base"), apart)
+        best = stems.select("token", "score").unionAll(words.select("token", "score")).collect()
         table = sorted((r.token & 0xFFFFFFFFFFFFFFFF, r.score) for r in best)
     plain = Model(np.array([t[0] for t in table], np.uint64), np.array([t[1] for t in table], float), price)
     rows = labels.count()
@@ -210,8 +284,8 @@ def fit(docs: DataFrame, labels: DataFrame, sure: float = 3.0, price: float = 0.
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Score every whole text of ``docs`` (``doc_id``, ``text``).
 
-    Returns doc_id, score (0 to 1), n_words and passages: every significant passage
-    as first word, end word (exclusive) and significance, the natural logarithm of one
+    Returns doc_id, score (0 to 1), n_words (in scripts without spaces every character
+    begins one) and passages: every significant passage as first word, end word (exclusive) and significance, the natural logarithm of one
     over the number of such passages expected in a clean text. Null and empty texts
     have no passages and the lowest score. Rows may repeat; other columns are not
     read; an empty table gives an empty result.
