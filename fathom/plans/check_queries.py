@@ -86,13 +86,13 @@ def resolved_levels(spark, sf_dir):
     parts = network.paths(lines, into)
     places = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("on_river"), (F.col("s_acctbal") / 10).alias("s"))
     points = network.positions(places, parts, "on_river", "s").withColumnRenamed("head", "path")
-    known = table(spark, sf_dir, "customer").filter("c_custkey % 10 = 0").select(
+    known = table(spark, sf_dir, "customer").select(
         F.col("c_custkey"), F.col("c_nationkey").alias("on_river"), (F.abs("c_acctbal") / 10).alias("s")
     )
     anchors = network.positions(known, parts, "on_river", "s").select(
         F.col("head").alias("path"), "p", (260 - F.col("p") / 1000).alias("h"),
         F.array(F.when(F.col("c_custkey") % 20 == 0, "gnss").otherwise("gauge")).alias("deps"),
     )
-    anchors = anchors.groupBy("path", "p").agg(F.avg("h").alias("h"), F.first("deps").alias("deps"))
+    anchors = anchors.groupBy("path", "p").agg(F.avg("h").alias("h"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("deps")))).alias("deps"))
     out = surface.evaluate(points, anchors, surface.end_slopes(anchors))
     return fixed_all(surface.resolved(out, ["s_suppkey"]), "ws_elev", "extrap_m", "path_spread")
