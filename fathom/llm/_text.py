@@ -6,6 +6,7 @@ slices of a bounded number of bytes, so no Python string is made for a word.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,9 @@ SLICE_BYTES = 2_000_000
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 
+#: Bytes from which on a word is hashed by BLAKE2: a polynomial modulo 2**64 has long words of alternating letters in common.
+LONG_WORD = 32
+
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -125,7 +129,10 @@ def word_hashes(
         total = np.zeros(n + 1, np.uint64)
         np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=total[1:])
         back = powers(BASE_INVERSE, n)
-        out.append(mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(np.uint64)))
+        hashes = mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+        for i in np.flatnonzero(ends - starts >= LONG_WORD).tolist():
+            hashes[i] = int.from_bytes(hashlib.blake2b(part[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+        out.append(hashes)
         rows = np.searchsorted(offsets, starts + s, side="right") - 1
         counts += np.bincount(rows, minlength=n_rows)
     return np.concatenate(out) if out else np.zeros(0, np.uint64), counts

@@ -69,7 +69,8 @@ def op6_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+    classes = minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+    return classes.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
