@@ -3,24 +3,30 @@
 Pre-tokens are found on the UTF-8 bytes with array operations, each as a span and
 a 64-bit hash. A minimal perfect hash over the vocabulary answers pre-tokens that
 are whole tokens. The rest are merged by rank with a heap over a linked list of
-their bytes. A worker keeps what it has resolved in a bounded store, so a frequent
-word is looked up once; the store is a cache only and does not alter results.
+their bytes. A worker keeps what it has resolved in a bounded store, from one task to
+the next, so a frequent word is looked up once. The store is a cache only: what it
+gives for a hash is compared with the pre-token's bytes, so results don't depend on it.
+Texts are read in slices of a bounded number of bytes, long ones cut between pre-tokens.
 """
 
 from __future__ import annotations
 
 import base64
+import functools
 import heapq
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fathom.llm._text import BASE, BASE_INVERSE, mix, powers, row_slices, utf8_buffers
+from fathom.llm._text import BASE, BASE_INVERSE, SLICE_BYTES, mix, powers, row_slices, utf8_buffers
 
-#: Pre-tokens a worker remembers before it starts over.
-MEMO_ENTRIES = 1_000_000
+#: Slots of a worker's store, and bytes of pre-tokens in it before it starts over.
+MEMO_SLOTS, MEMO_BYTES = 1 << 22, 24_000_000
+#: Bytes that are searched at once for a place to cut a long text.
+CUT_BYTES = 65_536
 LETTER, NUMBER, BLANK, OTHER = 0, 1, 2, 3
 
 _classes: np.ndarray | None = None
@@ -134,40 +140,48 @@ class PerfectHash:
         self.shift = np.zeros(self.buckets, np.int64)
         self.value = np.zeros(n, np.int64)
         self.key = np.zeros(n, np.uint64)
+        if len(np.unique(keys)) < n:
+            raise ValueError("two tokens have one hash")
         bucket = self._bucket(keys)
         order = np.argsort(bucket, kind="stable")
         sizes = np.bincount(bucket, minlength=self.buckets)
         begin = np.cumsum(sizes) - sizes
         free = np.ones(n, bool)
-        spare = None
-        for b in np.argsort(-sizes, kind="stable"):
-            size = int(sizes[b])
-            if not size:
-                break
-            own = order[begin[b] : begin[b] + size]
-            if size == 1:  # what is left takes the free slots in turn
-                if spare is None:
-                    spare = iter(np.flatnonzero(free).tolist())
-                slots = np.array([next(spare)])
-                self.shift[b] = -1 - slots[0]
-            else:
-                d = 0
+        for size in range(int(sizes.max(initial=0)), 1, -1):
+            left, d = np.flatnonzero(sizes == size), 0
+            own = order[begin[left][:, None] + np.arange(size)]
+            while len(left) > 64:  # all buckets of a size are tried with one displacement at once
+                places = self._moved(keys[own], np.array([d], np.uint64))
+                fits = free[places].all(axis=1) & self._differ(places)
+                claim = np.full(n, len(left))
+                np.minimum.at(claim, places[fits], np.flatnonzero(fits)[:, None])
+                fits &= (claim[places] == np.arange(len(left))[:, None]).all(axis=1)
+                slots, members = places[fits], own[fits]
+                free[slots] = False
+                self.value[slots], self.key[slots], self.shift[left[fits]] = members, keys[members], d
+                left, own, d = left[~fits], own[~fits], d + 1
+            for b, members in zip(left.tolist(), own):  # the last ones with many displacements each
+                at = d
                 while True:
-                    tries = np.arange(d, d + 32, dtype=np.uint64)
-                    places = mix(keys[own][None, :] + tries[:, None] * self.STEP) % np.uint64(n)
-                    good = free[places.astype(np.int64)].all(axis=1)
-                    if size > 1:
-                        ordered = np.sort(places, axis=1)
-                        good &= (ordered[:, 1:] != ordered[:, :-1]).all(axis=1)
-                    if good.any():
-                        k = int(np.argmax(good))
-                        slots = places[k].astype(np.int64)
-                        self.shift[b] = d + k
+                    places = self._moved(keys[members], np.arange(at, at + 512, dtype=np.uint64)[:, None])
+                    fits = np.flatnonzero(free[places].all(axis=1) & self._differ(places))
+                    if len(fits):
                         break
-                    d += 32
-            free[slots] = False
-            self.value[slots] = own
-            self.key[slots] = keys[own]
+                    at += 512
+                slots = places[fits[0]]
+                free[slots] = False
+                self.value[slots], self.key[slots], self.shift[b] = members, keys[members], at + fits[0]
+        one = np.flatnonzero(sizes == 1)  # what is left takes the free slots in turn
+        slots, members = np.flatnonzero(free), order[begin[one]]
+        self.value[slots], self.key[slots], self.shift[one] = members, keys[members], -1 - slots
+
+    def _moved(self, keys: np.ndarray, shift: np.ndarray) -> np.ndarray:
+        return (mix(keys + shift * self.STEP) % np.uint64(self.n)).astype(np.int64)
+
+    @staticmethod
+    def _differ(places: np.ndarray) -> np.ndarray:
+        ordered = np.sort(places, axis=1)
+        return (ordered[:, 1:] != ordered[:, :-1]).all(axis=1)
 
     def _bucket(self, keys: np.ndarray) -> np.ndarray:
         return ((keys >> np.uint64(33)) % np.uint64(self.buckets)).astype(np.int64)
@@ -175,7 +189,7 @@ class PerfectHash:
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The position of each key among those it was built from, or -1."""
         shift = self.shift[self._bucket(keys)]
-        moved = (mix(keys + shift.astype(np.uint64) * self.STEP) % np.uint64(self.n)).astype(np.int64)
+        moved = self._moved(keys, shift.astype(np.uint64))
         slot = np.where(shift < 0, -1 - shift, moved)
         return np.where(self.key[slot] == keys, self.value[slot], -1)
 
@@ -221,6 +235,8 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class TwoTier:
     """Resolves pre-tokens: whole tokens by the perfect hash, others by merging."""
 
+    special: dict[bytes, int] = {}
+
     def __init__(self, tokens: list[bytes]):
         self.tokens = tokens
         joined = np.frombuffer(b"".join(tokens), np.uint8)
@@ -241,54 +257,157 @@ class TwoTier:
         ]
 
 
+class _Growing:
+    """An array that values are appended to."""
+
+    def __init__(self, kind: type):
+        self.values, self.n = np.zeros(1024, kind), 0
+
+    def append(self, more: np.ndarray) -> int:
+        """Where ``more`` starts."""
+        at, self.n = self.n, self.n + len(more)
+        if self.n > len(self.values):
+            self.values = np.concatenate([self.values[:at], np.zeros(2 * self.n - at, self.values.dtype)])
+        self.values[at : self.n] = more
+        return at
+
+
 class Encoder:
-    """Encodes slices of a text column; keeps resolved pre-tokens by their hashes."""
+    """Encodes slices of a text column and keeps what it has resolved, a pre-token to a slot."""
 
-    def __init__(self, resolve: Callable[[np.ndarray, list[bytes]], list[list[int]]], entries: int = MEMO_ENTRIES):
-        self.resolve, self.entries = resolve, entries
+    def __init__(self, resolve: Callable[[np.ndarray, list[bytes]], list[list[int]]], slots: int = MEMO_SLOTS, limit: int = MEMO_BYTES):
+        self.resolve, self.limit = resolve, limit
+        self.mask = np.uint64(slots - 1)
+        self.keys = np.zeros(slots, np.uint64)
+        self.entry = np.zeros(slots, np.int32)
         self._clear()
 
     def _clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.int32)
+        self.keys[:] = 0
+        self.ids, self.bytes = _Growing(np.int32), _Growing(np.uint8)
+        #: Of every entry: where its ids and its bytes start, and how many they are.
+        self.at, self.size, self.where, self.length = (_Growing(np.int32) for _ in range(4))
 
-    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> np.ndarray:
+        """The entries of new pre-tokens."""
         found = self.resolve(keys, pieces)
-        size = np.array([len(x) for x in found], np.int64)
-        at = len(self.ids) + np.cumsum(size) - size
-        keys = np.concatenate([self.keys, keys])
-        order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
-        self.at = np.concatenate([self.at, at])[order]
-        self.size = np.concatenate([self.size, size])[order]
-        self.ids = np.concatenate([self.ids, np.array([i for x in found for i in x], np.int32)])
+        size, length = np.array([len(x) for x in found], np.int64), np.array([len(x) for x in pieces], np.int64)
+        at = self.ids.append(np.array([i for x in found for i in x], np.int32))
+        where = self.bytes.append(np.frombuffer(b"".join(pieces), np.uint8))
+        first = self.at.append(at + np.cumsum(size) - size)
+        self.size.append(size)
+        self.where.append(where + np.cumsum(length) - length)
+        self.length.append(length)
+        return first + np.arange(len(pieces))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows, one after another, and their number in each row."""
         starts, per_row = pre_tokens(data, offsets)
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
-        ends = np.append(starts[1:], len(data))
-        keys, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) > self.entries:
+        if self.bytes.n > self.limit:
             self._clear()
-        place = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        new = self.keys[place] != keys if len(self.keys) else np.ones(len(keys), bool)
-        if new.any():
-            raw = data.tobytes()
-            at = first[new]
-            self._learn(keys[new], [raw[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist())])
-            place = np.searchsorted(self.keys, keys)
-        size = self.size[place][inverse]
+        ends = np.append(starts[1:], len(data))
+        lengths = ends - starts
+        keys = span_hashes(data, starts, ends)
+        slot = (keys & self.mask).astype(np.int64)
+        entry = self.entry[slot].astype(np.int64)
+        new = np.flatnonzero(self.keys[slot] != keys)
+        pieces = lambda which: [data[s:e].tobytes() for s, e in zip(starts[which].tolist(), ends[which].tolist())]
+        if len(new):
+            fresh, first, inverse = np.unique(keys[new], return_index=True, return_inverse=True)
+            learnt = self._learn(fresh, pieces(new[first]))
+            entry[new] = learnt[inverse]
+            self.keys[slot[new[first]]], self.entry[slot[new[first]]] = fresh, learnt
+        # an entry of the same hash is another pre-token's unless the bytes agree
+        other = self.length.values[entry] != lengths
+        place = np.repeat(np.where(other, 0, self.where.values[entry]) - starts, lengths) + np.arange(len(data))
+        wrong = self.bytes.values[np.minimum(place, self.bytes.n - 1)] != data
+        if wrong.any() or other.any():
+            other[np.searchsorted(starts, np.flatnonzero(wrong), side="right") - 1] = True
+            own, at = np.flatnonzero(other), {}
+            for piece in (names := pieces(own)):
+                at.setdefault(piece, len(at))
+            hashes = np.array([keys[own[names.index(p)]] for p in at], np.uint64)
+            entry[own] = self._learn(hashes, list(at))[[at[p] for p in names]]
+        size = self.size.values[entry].astype(np.int64)
         total = np.cumsum(size)
-        begin = np.repeat(self.at[place][inverse] - (total - size), size)
-        ids = self.ids[begin + np.arange(len(begin))]
+        begin = np.repeat(self.at.values[entry] - (total - size), size)
+        ids = self.ids.values[begin + np.arange(len(begin))]
         bounds = np.concatenate([[0], total])[np.concatenate([[0], np.cumsum(per_row)])]
         return ids, np.diff(bounds)
 
 
+def cut_places(data: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Byte ranges of one text of about ``limit``, cut between pre-tokens: after a word, before white space or a mark.
+
+    A range is longer only where the text has no such place.
+    """
+    start, n = 0, len(data)
+    while n - start > limit:
+        at, end = start + limit, 0
+        while not end and at < n:
+            window = data[max(start, at - CUT_BYTES) : at + 4]
+            points, lead = code_points(window[np.argmax((window & 0xC0) != 0x80) :])
+            lead = lead + max(start, at - CUT_BYTES) + int(np.argmax((window & 0xC0) != 0x80))
+            kind = char_classes()[points[:-4]]  # the last ones may be torn
+            word = (kind[:-1] == LETTER) | (kind[:-1] == NUMBER)
+            good = np.flatnonzero(word & ((kind[1:] == BLANK) | (kind[1:] == OTHER)))
+            good = good[lead[good + 1] > start]
+            end = int(lead[good[-1] + 1]) if len(good) else 0
+            at += CUT_BYTES - 64
+        if not end:
+            break
+        yield start, end
+        start = end
+    if start < n or not n:
+        yield start, n
+
+
+def encode_column(encoder: Encoder, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, ids, ids of each row) for all rows of a text column.
+
+    The strings of ``encoder.resolve.special`` are one id each, wherever they stand.
+    """
+    special = encoder.resolve.special
+    names = re.compile(b"|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
+    data, offsets = utf8_buffers(column)
+    for s, e in row_slices(offsets):
+        part, own = data[offsets[s] : offsets[e]], offsets[s : e + 1] - offsets[s]
+        met = [m.span() for m in names.finditer(part.tobytes())] if names else []
+        if not met and len(part) <= SLICE_BYTES:
+            yield s, e, *encoder.encode(part, own)
+            continue
+        for row in range(s, e):
+            text = part[own[row - s] : own[row - s + 1]]
+            pieces, at = [np.zeros(0, np.int32)], 0
+            for m in [*(names.finditer(text.tobytes()) if met else ()), None]:
+                stop = m.start() if m else len(text)
+                for b, f in cut_places(text[at:stop], SLICE_BYTES):
+                    pieces.append(encoder.encode(text[at + b : at + f], np.array([0, f - b]))[0])
+                if m:
+                    pieces.append(np.array([special[m[0]]], np.int32))
+                    at = m.end()
+            ids = np.concatenate(pieces)
+            yield row, row + 1, ids, np.array([len(ids)])
+
+
+#: What a worker keeps between tasks, by kind and file.
+_encoders: dict[tuple[str, str], Encoder] = {}
+
+
+def worker_encoder(kind: str, path: str, resolver: Callable) -> Encoder:
+    """This worker's encoder for the file ``path``, made by ``resolver`` when it is first asked for."""
+    if (kind, path) not in _encoders:
+        _encoders[kind, path] = Encoder(resolver())
+    return _encoders[kind, path]
+
+
+@functools.lru_cache(maxsize=4)
+def two_tier(path: str) -> TwoTier:
+    return TwoTier(load_ranks(path))
+
+
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode every whole text with the ranks in the file ``path``.
 
@@ -296,14 +415,12 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     no ids. Repeated rows are encoded each; other columns are left out; an empty
     table gives an empty result.
     """
-    model = docs.sparkSession.sparkContext.broadcast(TwoTier(load_ranks(path)))
+    model = docs.sparkSession.sparkContext.broadcast(two_tier(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model.value)
+        encoder = worker_encoder("ranks", path, lambda: model.value)
         for batch in batches:
-            data, offsets = utf8_buffers(batch.column(1))
-            for s, e in row_slices(offsets):
-                ids, counts = encoder.encode(data[offsets[s] : offsets[e]], offsets[s : e + 1] - offsets[s])
+            for s, e, ids, counts in encode_column(encoder, batch.column(1)):
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(s, e - s), lists], names=[key, "ids"])
 
@@ -316,7 +433,7 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
 
     Null ids give null bytes, no ids empty ones; an id outside the vocabulary is an error.
     """
-    tokens = encoded.sparkSession.sparkContext.broadcast(load_ranks(path))
+    tokens = encoded.sparkSession.sparkContext.broadcast(two_tier(path).tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = tokens.value

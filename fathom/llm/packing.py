@@ -20,29 +20,42 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from fathom.llm.bpe import Encoder
-from fathom.llm._text import row_slices, utf8_buffers
+from fathom.llm.bpe import encode_column, worker_encoder
 
 
 def difference(sizes: list[int], windows: int) -> list[list[int]]:
     """Deal items of the given sizes into ``windows`` of near-equal total."""
-    heap = []
-    for i, size in enumerate(sizes):
-        loads = np.zeros(windows, np.int64)
-        loads[-1] = size
-        heap.append((-size, i, loads, [()] * (windows - 1) + [(i,)]))
+    if not sizes:
+        return []
+    heap = [(-size, i) for i, size in enumerate(sizes)]
     heapq.heapify(heap)
-    turn = len(sizes)
+    # a partial partition is its windows' loads, in order and less the least of them
+    loads: list[np.ndarray | None] = []
+    for size in sizes:
+        loads.append(np.zeros(windows, np.int64))
+        loads[-1][-1] = size
+    merges: list[tuple[int, int, np.ndarray]] = []
     while len(heap) > 1:
-        _, _, a, in_a = heapq.heappop(heap)
-        _, _, b, in_b = heapq.heappop(heap)
-        loads = a + b[::-1]
-        order = np.argsort(loads, kind="stable")
-        loads = loads[order]
-        members = [in_a[k] + in_b[windows - 1 - k] for k in order.tolist()]
-        heapq.heappush(heap, (-int(loads[-1] - loads[0]), turn, loads - loads[0], members))
-        turn += 1
-    return [list(x) for x in heap[0][3]] if heap else []
+        a, b = heapq.heappop(heap)[1], heapq.heappop(heap)[1]
+        both = loads[a] + loads[b][::-1]
+        order = np.argsort(both, kind="stable")
+        both = both[order] - both[order[0]]
+        loads[a] = loads[b] = None
+        merges.append((a, b, order))
+        heapq.heappush(heap, (-int(both[-1]), len(loads)))
+        loads.append(both)
+    # from the last merge back: which window of each part became which of the whole
+    place: list[np.ndarray | None] = [None] * len(loads)
+    place[-1] = np.arange(windows)
+    for k in range(len(merges) - 1, -1, -1):
+        a, b, order = merges[k]
+        place[a] = order[place[len(sizes) + k]]
+        place[b] = windows - 1 - place[a]
+        place[len(sizes) + k] = None
+    out: list[list[int]] = [[] for _ in range(windows)]
+    for i in range(len(sizes)):
+        out[int(np.argmax(place[i]))].append(i)
+    return out
 
 
 def fill_windows(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -58,20 +71,48 @@ def fill_windows(sizes: list[int], capacity: int) -> list[list[int]]:
 
 
 class ByLibrary:
-    """Resolves pre-tokens with the tokenizers library, special tokens' strings as ordinary text."""
+    """Resolves pre-tokens with the tokenizers library; its added tokens' strings are one id each, as in the library."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values()):
+            raise ValueError("only added tokens that stand for their own string are supported")
+        self.special = {t.content.encode(): i for i, t in added.items()}
+
+        self.lengths = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.lengths[i] = len(token)  # the vocabulary writes a byte as one character
+        (self.line,) = self._alone(["\n"])[0]
+
+    def _alone(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def __call__(self, keys: np.ndarray, pieces: list[bytes]) -> list[list[int]]:
-        out = []
-        for i in range(0, len(pieces), 20_000):
-            part = [p.decode() for p in pieces[i : i + 20_000]]
-            out += [x.ids for x in self.tokenizer.encode_batch(part, add_special_tokens=False)]
+        """Words are put on lines of one text, of which a line's end is a pre-token; white space is encoded by itself."""
+        texts = [p.decode() for p in pieces]
+        out: list[list[int]] = [[]] * len(pieces)
+        words = [i for i, t in enumerate(texts) if not t.isspace()]
+        alone = [i for i, t in enumerate(texts) if t.isspace()]
+        groups = [words[i : i + 2000] for i in range(0, len(words), 2000)]
+        for group, ids in zip(groups, self._alone(["\n".join(texts[i] for i in g) for g in groups])):
+            ids = np.array(ids, np.int64)
+            ends = np.cumsum([len(pieces[i]) + 1 for i in group])
+            reached = np.append(np.cumsum(self.lengths[ids]), ends[-1])
+            stop = np.searchsorted(reached, ends)
+            start = np.append(0, stop[:-1] + 1)
+            lines = stop[:-1] - 1
+            if (reached[stop] != ends).any() or (ids[stop[:-1]] != self.line).any() or (reached[lines] != ends[:-1] - 1).any():
+                alone += group  # a pre-token crosses a line
+                continue
+            ids = ids.tolist()
+            for i, b, e in zip(group, start.tolist(), stop.tolist()):
+                out[i] = ids[b:e]
+        for i, ids in zip(alone, self._alone([texts[i] for i in alone])):
+            out[i] = ids
         return out
 
 
@@ -98,7 +139,7 @@ def pack(
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ByLibrary(path))
+        encoder = worker_encoder("library", path, lambda: ByLibrary(path))
         sequence = TaskContext.get().partitionId() << 36
         pool: list[tuple] = []  # doc_id, start, ids, doc_tokens
         pooled = 0
@@ -125,9 +166,7 @@ def pack(
         for batch in batches:
             id_kind = batch.column(0).type
             doc_ids = batch.column(0).to_pylist()
-            data, offsets = utf8_buffers(batch.column(1))
-            for s, e in row_slices(offsets):
-                ids, counts = encoder.encode(data[offsets[s] : offsets[e]], offsets[s : e + 1] - offsets[s])
+            for s, e, ids, counts in encode_column(encoder, batch.column(1)):
                 ids = ids.astype("<u4")
                 at, out = 0, []
                 for doc_id, n in zip(doc_ids[s:e], counts.tolist()):
