@@ -1,15 +1,17 @@
 """Personal data: patterned entities, and the terms that give them away.
 
-Entities (addresses, numbers) are found by patterns. What stands near an entity is
-weighed by the corpus: a term discloses the entity to the extent that its pointwise
-mutual information with the entity exhausts the entity's own information. Terms that
-disclose most of it are removed, terms that disclose much of it are generalised,
-wherever they stand in a text that holds the entity. In a text without the entity there
-is nothing for them to disclose, and they stay.
-Everything is DataFrame work on the JVM; a text is read once for its entities, once
-for its terms and, where it holds a disclosed entity, again for their places.
-
-The patterns are written with possessive repeats and look-behinds so that each text is
+Entities (addresses, numbers) are found by patterns. The corpus tells which terms give
+an entity away: a term discloses an entity to the extent that the pointwise mutual
+information of the two, a text holding the term and the entity with it, exhausts the
+entity's own information. Terms that disclose most of an entity are removed and terms
+that disclose much of it are generalised: in the whole texts that hold the entity, and in
+all other texts if the entity stands with at least ``likely`` of the term's texts, for
+then the term leads to it where the entity itself doesn't stand. ``reach`` says how far a term may stand from an
+entity that it is counted with; with None they need only stand in the same text.
+
+Everything is DataFrame work on the JVM. A text is cut into chunks at places that no
+match can cross, so the work on a text grows with its length, however much it holds.
+The patterns are written with possessive repeats and look-behinds so that each chunk is
 scanned in linear time; they match what the plain forms in ``PLAIN`` match.
 """
 
@@ -20,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathom.llm._stage import cut
+from fathom.llm._stage import cut, stored
 
 #: The plain patterns, and the digits or parts that a match must have.
 PLAIN = {
@@ -43,10 +45,11 @@ LINEAR = {
 HINT = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 TERM = r"(?<![\p{L}\p{N}])\p{L}[\p{L}\p{N}]{2,63}+(?![\p{L}\p{N}])"
 KINDS = tuple(PLAIN)
-#: Spans up to which they are broadcast to the texts that they change (about 60 bytes each).
-BROADCAST_SPANS = 1_000_000
-#: Disclosing terms (with an entity each) and disclosed entities of texts up to which they are broadcast (about 60 bytes each).
-BROADCAST_TERMS = 500_000
+#: Texts (by a hash) or terms up to which they are broadcast (about 60 bytes each).
+BROADCAST_ROWS = 500_000
+#: Code points of a chunk, at least, unless the text ends; it ends before a word or after a mark that is in no match.
+CHUNK = 2000
+CHUNKS = rf"(?s).{{{CHUNK}}}.*?(?:(?<=\x20)(?=[A-Za-z])|(?<=[\n\r\t,;:!?\"'<>/\\|\[\]{{}}=*&#$^~`])|\z)|.+\z"
 
 SPAN = "struct<kind: string, start: bigint, end: bigint, value: string>"
 
@@ -84,10 +87,20 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(worth, F.lit(0), lambda a, b: a + b) % 10 == 0
 
 
-def entities(text: Column) -> Column:
-    """All base entities of ``text`` (null: empty): kind, start, end (code points, end exclusive) and value."""
-    text = F.coalesce(text, F.lit(""))
-    none = F.expr(f"cast(array() as array<{SPAN}>)")
+def _chunks(text: Column) -> Column:
+    """``text`` as chunks: at (code points before it) and text."""
+    pieces = F.when(F.char_length(text) <= 2 * CHUNK, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(CHUNKS), F.lit(0)))
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<struct<at: bigint, text: string>>)").alias("found"))
+
+    def step(state: Column, x: Column) -> Column:
+        found = F.array_append(state["found"], F.struct(state["at"].alias("at"), x.alias("text")))
+        return F.struct((state["at"] + F.char_length(x)).alias("at"), found.alias("found"))
+
+    return F.aggregate(pieces, zero, step, lambda s: s["found"])
+
+
+def _of_kind(text: Column, kind: str, shift: Column | int = 0) -> Column:
+    """The base entities of one kind in a chunk."""
     holds = {
         "email": lambda v: F.lit(True),
         "ip": lambda v: F.forall(
@@ -95,40 +108,23 @@ def entities(text: Column) -> Column:
         ),
         "card": lambda v: _luhn(_digits(v)),
         "phone": lambda v: F.char_length(_digits(v)).between(*PHONE_DIGITS),
-    }
-    found = []
-    for kind in KINDS:
-        holding = holds[kind]
-        spans = F.filter(_placed(text, LINEAR[kind], kind), lambda s: holding(s["value"]))  # noqa: B023
-        worth = text.contains(HINT[kind]) if HINT[kind] else text.rlike("[0-9][0-9 -]{14}")
-        found.append(F.when(worth, spans).otherwise(none))
-    return F.concat(*found)
-
-
-def _near(text: Column, spans: Column, reach: int) -> Column:
-    """The terms within ``reach`` code points of each entity and outside all entities, with the entity."""
-
-    def around(s: Column) -> Column:
-        begin = F.greatest(s["start"] - reach, F.lit(0))
-        before = F.substring(text, (begin + 1).cast("int"), (s["start"] - begin).cast("int"))
-        after = F.substring(text, (s["end"] + 1).cast("int"), F.lit(reach))
-        # a word that the reach cuts off is no term
-        head = F.when(begin == 0, F.lit("")).otherwise(F.regexp_extract(before, r"^[\p{L}\p{N}]*+", 0))
-        tail = F.when(F.char_length(after) < reach, F.lit("")).otherwise(F.regexp_extract(after, r"(?<![\p{L}\p{N}])[\p{L}\p{N}]*+$", 0))
-        first = F.substring(before, F.char_length(head) + 1, F.char_length(before))
-        rest = F.substring(after, F.lit(1), F.char_length(after) - F.char_length(tail))
-        terms = F.concat(
-            _placed(first, TERM, "term", begin + F.char_length(head)),
-            _placed(rest, TERM, "term", s["end"]),
-        )
-        return F.transform(
-            terms,
-            lambda t: F.struct(
-                F.lower(t["value"]).alias("term"), _entity(s).alias("entity"), t["start"].alias("start"), t["end"].alias("end")
-            ),
-        )
+    }[kind]
+    worth = text.contains(HINT[kind]) if HINT[kind] else text.rlike("[0-9][0-9 -]{14}")
+    return F.when(worth, _placed(text, LINEAR[kind], kind, shift, only=holds)).otherwise(F.expr(f"cast(array() as array<{SPAN}>)"))
 
-    return _outside(F.flatten(F.transform(spans, around)), spans)
+
+def entities(chunks: Column) -> Column:
+    """All base entities of a text's ``chunks``: kind, start, end (code points, end exclusive) and value."""
+
+    def of(kind: str) -> Column:
+        return F.flatten(F.transform(chunks, lambda c: _of_kind(c["text"], kind, c["at"])))
+
+    return F.concat(*map(of, KINDS))
+
+
+def _terms(text: Column) -> Column:
+    """The different terms of a text, in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
 def _entity(s: Column) -> Column:
@@ -136,119 +132,145 @@ def _entity(s: Column) -> Column:
     return F.concat_ws(":", s["kind"], F.when(s["kind"] == "email", F.lower(s["value"])).otherwise(_digits(s["value"])))
 
 
-def _outside(terms: Column, spans: Column) -> Column:
-    """The terms that overlap none of the spans."""
+def _hidden(text: Column, hits: Column, shift: Column | int = 0) -> Column:
+    """The places of the terms ``hits`` (term to kind) in a chunk, but for those that meet an entity."""
+    terms = _placed(text, TERM, "term", shift, only=lambda v: F.map_contains_key(hits, F.lower(v)))
+    spans = F.concat(*(_of_kind(text, kind, shift) for kind in KINDS))
     return F.filter(terms, lambda t: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
 
 
-def _whole(docs: DataFrame, rows: DataFrame, known: DataFrame) -> DataFrame:
-    """(doc_id, print, start, end, term, kind): the places of ``known`` terms anywhere in the texts that hold their entity.
+def _read(docs: DataFrame) -> DataFrame:
+    """(doc_id, print, text): null texts as empty ones, print a hash of the text."""
+    return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("print", F.xxhash64("text"))
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    """``rows``, already materialised, to be broadcast up to a counted number."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
-    ``known`` has term, entity and kind. A text meets the terms of its own entities only;
-    places are worked out only in texts that hold such a term.
+
+def _near(chunks: Column, reach: int) -> Column:
+    """The different (term, entity) of a text whose term stands outside all entities and within ``reach`` of this one."""
+    pad = reach + 66  # a word that the pad tears stands outside the reach
+
+    def around(c: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.right(F.get(chunks, i - 1)["text"], F.lit(pad))).otherwise("")
+        after = F.coalesce(F.left(F.get(chunks, i + 1)["text"], F.lit(pad)), F.lit(""))
+        text, shift = F.concat(before, c["text"], after), c["at"] - F.char_length(before)
+        spans = F.concat(*(_of_kind(text, kind, shift) for kind in KINDS))
+        own = F.filter(spans, lambda s: (s["start"] >= c["at"]) & (s["start"] < c["at"] + F.char_length(c["text"])))
+        terms = F.filter(
+            _placed(text, TERM, "term", shift),
+            lambda t: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])),
+        )
+
+        def with_terms(s: Column) -> Column:
+            close = F.filter(terms, lambda t: (t["start"] >= s["start"] - reach) & (t["end"] <= s["end"] + reach))
+            return F.transform(close, lambda t: F.struct(F.lower(t["value"]).alias("term"), _entity(s).alias("entity")))
+
+        return F.flatten(F.transform(own, with_terms))
+
+    return F.array_distinct(F.flatten(F.transform(chunks, around)))
+
+
+def disclosing(docs: DataFrame, rows: DataFrame, reach: int | None, support: int, generalise: float, remove: float) -> DataFrame:
+    """(term, entity, together, with_term, with_entity, share, kind) of the terms that disclose an entity.
+
+    ``rows`` has print, base and near of every row of ``docs``. Counts are of rows: those
+    whose whole text holds the term, or the entity, or the entity and the term within
+    ``reach`` of it. Terms that too many texts hold to disclose any entity by
+    ``generalise`` are left out before they meet the entities.
     """
-    named = rows.filter(F.size("base") > 0).dropDuplicates(["doc_id", "print"])
-    named = named.select("doc_id", "print", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"))
-    disclosed = known.select("entity").distinct()
-    by_term = known.groupBy("term").agg(F.collect_list(F.struct("entity", "kind")).alias("of"))
-    if known.count() <= BROADCAST_TERMS:
-        disclosed, by_term = F.broadcast(disclosed), F.broadcast(by_term)
-    holders = named.join(disclosed, "entity", "left_semi").groupBy("doc_id", "print").agg(F.collect_list("entity").alias("held"))
-    holders = cut(holders)
-    n_held = holders.agg(F.sum(F.size("held"))).first()[0] or 0
-
-    def texts_of(some: DataFrame, n: int) -> DataFrame:
-        some = some.withColumnsRenamed({"doc_id": "of_id", "print": "of_print"})
-        some = F.broadcast(some) if n <= BROADCAST_TERMS else some
-        text = F.coalesce(F.col("text"), F.lit(""))
-        read = docs.select("doc_id", text.alias("text")).withColumn("print", F.xxhash64("text"))
-        return read.join(some, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("print") == F.col("of_print"))).drop("of_id", "of_print")
-
-    said = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower))
-    met = texts_of(holders, n_held).select("doc_id", "print", "held", F.explode(said).alias("term")).join(by_term, "term")
-    kinds = F.transform(F.filter("of", lambda o: F.array_contains(F.col("held"), o["entity"])), lambda o: o["kind"])
-    met = met.select("doc_id", "print", "term", F.array_max(kinds).alias("kind")).filter("kind is not null")
-    met = met.groupBy("doc_id", "print").agg(F.collect_set(F.struct("term", "kind")).alias("hits"))
-    met = cut(met.select("doc_id", "print", F.map_from_entries("hits").alias("hits")))
-    n_hits = met.agg(F.sum(F.size("hits"))).first()[0] or 0
-    placed = texts_of(met, n_hits).dropDuplicates(["doc_id", "print"])
-    places = _placed(F.col("text"), TERM, "term", only=lambda v: F.map_contains_key(F.col("hits"), F.lower(v)))
-    spans = placed.select("doc_id", "print", "hits", places.alias("t"), entities(F.col("text")).alias("base"))
-    spans = spans.select("doc_id", "print", "hits", F.explode(_outside(F.col("t"), F.col("base"))).alias("t"))
-    term = F.lower("t.value")
-    return spans.select(
-        "doc_id", "print", "t.start", "t.end", term.alias("term"), F.element_at("hits", term).alias("kind")
+    total = float(max(rows.count(), 1))
+    some = rows.filter(F.size("base") > 0)
+    named = some.select("print", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"))
+    whole = cut(named.groupBy("entity").agg(F.count("*").alias("with_entity")).filter(F.col("with_entity") >= support))
+    most = whole.agg(F.max("with_entity")).first()[0] or 0
+    said = _read(docs).select("print", _terms(F.col("text")).alias("terms"))
+    if reach is not None:
+        met = some.select(F.explode("near").alias("p")).groupBy("p.term", "p.entity").agg(F.count("*").alias("together"))
+        met = cut(met.filter(F.col("together") >= support))
+        often = cut(met.select("term").distinct())
+    else:  # texts that are equal are one here, with their number
+        named = cut(named.join(whole, "entity").groupBy("print", "entity").agg(F.count("*").alias("n")))
+        holders = cut(named.groupBy("print").agg(F.max("n").alias("n")))
+        held = said.join(_small(holders), "print").select("print", "n", F.explode("terms").alias("term")).distinct()
+        held = cut(held)
+        often = cut(held.groupBy("term").agg(F.sum("n").alias("n")).filter(F.col("n") >= support).select("term"))
+    with_term = said.select(F.explode("terms").alias("term")).join(_small(often), "term").groupBy("term").agg(F.count("*").alias("with_term"))
+    with_term = cut(with_term.filter(F.col("with_term") <= total ** (1 - generalise) * float(most) ** generalise * 1.000001))
+    if reach is None:
+        met = held.select("print", "term").join(_small(with_term.select("term")), "term").join(named, "print")
+        met = met.groupBy("term", "entity").agg(F.sum("n").alias("together")).filter(F.col("together") >= support)
+    information = F.log(F.lit(total) / F.col("with_entity"))
+    shared = F.log(F.col("together") * F.lit(total) / (F.col("with_term") * F.col("with_entity")))
+    return (
+        met.join(with_term, "term")
+        .join(whole, "entity")
+        .withColumn("share", F.when(information > 0, shared / information).otherwise(F.lit(0.0)))
+        .filter(F.col("share") >= generalise)
+        .withColumn("kind", F.when(F.col("share") >= remove, "remove").otherwise("generalise"))
     )
 
 
+def _hits(docs: DataFrame, rows: DataFrame, known: DataFrame, likely: float) -> DataFrame:
+    """(of, of_print, hits): of every text, the terms to take out and their kinds."""
+    anywhere = F.max(F.when(F.col("together") >= likely * F.col("with_term"), F.col("kind")))
+    by_term = known.groupBy("term").agg(anywhere.alias("anywhere"), F.collect_list(F.struct("entity", "kind")).alias("of"))
+    held = rows.filter(F.size("base") > 0).select("doc_id", "print", F.explode(F.transform("base", _entity)).alias("entity"))
+    held = held.join(_small(cut(known.select("entity").distinct())), "entity", "left_semi")
+    held = cut(held.groupBy("doc_id", "print").agg(F.collect_set("entity").alias("held")).withColumnsRenamed({"doc_id": "of", "print": "of_print"}))
+    said = _read(docs).join(_small(held), _same_text(), "left").select("doc_id", "print", "held", F.explode(_terms(F.col("text"))).alias("term"))
+    here = F.filter("of", lambda o: F.array_contains(F.col("held"), o["entity"]))
+    kind = F.greatest("anywhere", F.array_max(F.transform(here, lambda o: o["kind"])))
+    met = said.join(_small(cut(by_term)), "term").select("doc_id", "print", "term", kind.alias("kind")).filter("kind is not null")
+    met = met.groupBy("doc_id", "print").agg(F.collect_set(F.struct("term", "kind")).alias("hits"))
+    return cut(met.select(F.col("doc_id").alias("of"), F.col("print").alias("of_print"), F.map_from_entries("hits").alias("hits")))
+
+
+def _same_text() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("print") == F.col("of_print"))
+
+
+def _analysed(docs: DataFrame, reach: int | None, support: int, generalise: float, remove: float, likely: float) -> tuple[DataFrame, DataFrame]:
+    """The base entities of all rows, and the disclosing terms of the texts that hold some."""
+    rows = _read(docs).select("doc_id", "print", _chunks(F.col("text")).alias("chunks"))
+    rows = rows.withColumn("base", entities(F.col("chunks")))
+    near = F.when(F.size("base") > 0, _near(F.col("chunks"), reach)) if reach is not None else F.lit(None)
+    rows = stored(rows.select("doc_id", "print", "base", near.cast("array<struct<term: string, entity: string>>").alias("near")), "entities")
+    return rows, _hits(docs, rows, cut(disclosing(docs, rows, reach, support, generalise, remove)), likely)
+
+
 def find(
-    docs: DataFrame, reach: int = 48, support: int = 3, generalise: float = 0.6, remove: float = 0.9
+    docs: DataFrame, reach: int | None = 48, support: int = 3, generalise: float = 0.6, remove: float = 0.9, likely: float = 0.5
 ) -> DataFrame:
     """Find personal data in every whole text of ``docs`` (``doc_id``, ``text``).
 
     Returns a row per row: doc_id, print (a hash of the text), base (the entities: kind,
     start, end, value, in order of kind and place) and terms (disclosing terms: kind
-    ``generalise`` or ``remove``, start, end, value).
-
-    A term within ``reach`` code points of an entity in at least ``support`` texts
-    discloses log(p(entity | term) / p(entity)) / log(1 / p(entity)) of it, over all
-    texts; from ``generalise`` on it is generalised and from ``remove`` on removed, at all
-    its places in the whole texts that hold the entity. Texts without it keep the term.
-    Null and empty texts hold nothing. Repeated rows each count and each get a row.
-    Other columns are not read; an empty table gives an empty result.
+    ``generalise`` or ``remove``, start, end, value, in order of kind and place).
+
+    A term within ``reach`` code points (None: anywhere in the text) of an entity in at
+    least ``support`` texts discloses log(p(entity | term) / p(entity)) /
+    log(1 / p(entity)) of it, over all texts; from ``generalise`` on it is generalised and
+    from ``remove`` on removed, wherever it stands in a text that holds the entity and, if
+    the entity stands with at least ``likely`` of the texts with the term, in any text, but
+    for places that belong to an entity themselves. Null and empty texts hold nothing. Repeated rows each count
+    and each get a row. Other columns are not read; an empty table gives an empty result.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text")).withColumn("base", entities(F.col("text")))
-    near = F.when(F.size("base") > 0, _near(F.col("text"), F.col("base"), reach))
-    rows = cut(rows.select("doc_id", F.xxhash64("text").alias("print"), "base", near.alias("near")))
-    beside = rows.filter(F.size("near") > 0)
-    pairs = (
-        beside.select(F.explode(F.array_distinct(F.transform("near", lambda t: F.struct(t["term"].alias("term"), t["entity"].alias("entity"))))).alias("p"))
-        .groupBy("p.term", "p.entity")
-        .agg(F.count("*").alias("together"))
-        .filter(F.col("together") >= support)
-    )
-    pairs = cut(pairs)
-    whole = beside.select(F.explode(F.array_distinct(F.transform("near", lambda t: t["entity"]))).alias("entity"))
-    whole = whole.groupBy("entity").agg(F.count("*").alias("with_entity"))
-    n_texts = rows.count()
-    held = docs.select(
-        F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))).alias("term")
-    )
-    # counted before the join, which then meets each term once
-    with_term = held.groupBy("term").agg(F.count("*").alias("with_term"))
-    total = F.lit(float(max(n_texts, 1)))
-    information = F.log(total / F.col("with_entity"))
-    shared = F.log(F.col("together") * total / (F.col("with_term") * F.col("with_entity")))
-    known = (
-        pairs.join(with_term, "term")
-        .join(whole, "entity")
-        .withColumn("share", F.when(information > 0, shared / information).otherwise(F.lit(0.0)))
-        .filter(F.col("share") >= generalise)
-        .select("term", "entity", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("kind"))
-    )
-    known = cut(known)
-    told = (
-        beside.dropDuplicates(["doc_id", "print"])
-        .select("doc_id", "print", F.explode("near").alias("t"))
-        .select("doc_id", "print", "t.*")
-        .join(known, ["term", "entity"])
-        .select("doc_id", "print", "start", "end", "term", "kind")
-        .unionByName(_whole(docs, rows, known))
-        .groupBy("doc_id", "print", "start", "end", "term")
-        .agg(F.max("kind").alias("kind"))
-        .groupBy("doc_id", "print")
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct("kind", "start", "end", F.col("term").alias("value")))
-            ).alias("terms")
-        )
-        .withColumnsRenamed({"doc_id": "of", "print": "of_print"})
-    )
-    told = cut(told)
-    return rows.join(told, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("print") == F.col("of_print")), "left").select(
-        "doc_id", "print", "base", F.coalesce("terms", F.expr(f"cast(array() as array<{SPAN}>)")).alias("terms")
+    rows, hits = _analysed(docs, reach, support, generalise, remove, likely)
+    found = _read(docs).join(_small(hits), _same_text()).dropDuplicates(["doc_id", "print"])
+    found = found.select("of", "of_print", "hits", _chunks(F.col("text")).alias("chunks"))
+    terms = F.flatten(F.transform("chunks", lambda c: _hidden(c["text"], F.col("hits"), c["at"])))
+    named = F.transform(
+        terms,
+        lambda t: F.struct(
+            F.element_at(F.col("hits"), F.lower(t["value"])).alias("kind"), t["start"].alias("start"), t["end"].alias("end"), F.lower(t["value"]).alias("value")
+        ),
     )
+    told = cut(found.select("of", "of_print", F.array_sort(named).alias("terms")))
+    none = F.expr(f"cast(array() as array<{SPAN}>)")
+    return rows.join(_small(told), _same_text(), "left").select("doc_id", "print", "base", F.coalesce("terms", none).alias("terms"))
 
 
 def count_of(spans: Column, kind: str) -> Column:
@@ -260,47 +282,52 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def sanitise(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with the personal data of ``text`` taken out; all columns stay, ``n_chars`` is kept true.
-
-    Entities become ``[EMAIL]``, ``[IP]``, ``[CARD]`` or ``[PHONE]``, generalised terms
-    ``[TERM]``, removed terms nothing. Of overlapping spans the first stays (ties: the
-    longest). A null text stays null.
-    """
-    found = find(docs, **options)
-    spans = F.array_sort(
-        F.transform(
-            F.concat("base", "terms"),
-            lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("last"), F.when(s["kind"] == "remove", "").when(
-                s["kind"] == "generalise", "[TERM]").otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).alias("by")),
-        )
+def _cleaned(text: Column, hits: Column) -> Column:
+    """A chunk with its entities and disclosing terms taken out."""
+    word = lambda v: (
+        F.when(v.rlike("[0-9]"), "[CODE]").when(v.rlike(r"^\p{Lu}"), "[NAME]").otherwise("[TERM]")
     )
-    changed = (
-        found.select(F.col("doc_id").alias("__of"), F.col("print").alias("__of_print"), spans.alias("__spans"))
-        .filter(F.size("__spans") > 0)
-        .dropDuplicates(["__of", "__of_print"])
+    known = F.transform(
+        _hidden(text, hits),
+        lambda t: F.struct(
+            t["start"].alias("start"),
+            (-t["end"]).alias("last"),
+            F.when(F.element_at(hits, F.lower(t["value"])) == "remove", "").otherwise(word(t["value"])).alias("by"),
+        ),
+    )
+    base = F.transform(
+        F.concat(*(_of_kind(text, kind) for kind in KINDS)),
+        lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("last"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("by")),
     )
-    changed = cut(changed)
-    n_spans = changed.agg(F.sum(F.size("__spans"))).first()[0] or 0
-    changed = F.broadcast(changed) if n_spans <= BROADCAST_SPANS else changed
 
     def step(state: Column, s: Column) -> Column:
-        gap = F.substring(F.col("text"), (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
+        gap = F.substring(text, (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
         return F.when(s["start"] < state["at"], state).otherwise(
-            F.struct((-s["last"]).alias("at"), F.concat(state["out"], F.array(gap, s["by"])).alias("out"))
+            F.struct((-s["last"]).alias("at"), F.concat(state["out"], gap, s["by"]).alias("out"))
         )
 
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-    clean = F.aggregate(
-        "__spans",
-        zero,
-        step,
-        lambda s: F.concat(F.array_join(s["out"], ""), F.substring(F.col("text"), (s["at"] + 1).cast("int"), F.char_length("text"))),
-    )
-    joined = docs.withColumn("__print", F.xxhash64(F.coalesce("text", F.lit("")))).join(
-        changed, F.col("doc_id").eqNullSafe(F.col("__of")) & (F.col("__print") == F.col("__of_print")), "left"
-    )
-    joined = joined.withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(clean))
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    rest = lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.char_length(text)))
+    return F.aggregate(F.array_sort(F.concat(base, known)), zero, step, rest)
+
+
+def sanitise(
+    docs: DataFrame, reach: int | None = 48, support: int = 3, generalise: float = 0.6, remove: float = 0.9, likely: float = 0.5
+) -> DataFrame:
+    """``docs`` with the personal data of ``text`` taken out; all columns stay, ``n_chars`` is kept true.
+
+    Entities become ``[EMAIL]``, ``[IP]``, ``[CARD]`` or ``[PHONE]``. Generalised terms become
+    what they are a case of: ``[CODE]`` with a digit, ``[NAME]`` with a capital, else
+    ``[TERM]``; removed terms nothing. Of overlapping spans the first stays (ties: the
+    longest). A null text stays null. Repeated rows stay; an empty table gives an empty one.
+    """
+    _, hits = _analysed(docs, reach, support, generalise, remove, likely)
+    hits = _small(hits).withColumnsRenamed({"of": "__of", "of_print": "__print", "hits": "__hits"})
+    same = F.col("doc_id").eqNullSafe(F.col("__of")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__print"))
+    joined = docs.join(hits, same, "left").withColumn("__hits", F.coalesce("__hits", F.expr("cast(map() as map<string, string>)")))
+    joined = joined.withColumn("__chunks", _chunks(F.col("text")))
+    clean = F.array_join(F.transform("__chunks", lambda c: _cleaned(c["text"], F.col("__hits"))), "")
+    joined = joined.withColumn("text", F.when(F.col("text").isNotNull(), clean))
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType))
+        joined = joined.withColumn("n_chars", F.coalesce(F.char_length("text"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return joined.select(*docs.columns)
