@@ -4,17 +4,20 @@ The filters are the directions of a product code: the space, turned at random, i
 split into two halves, each half has a code of random directions, and a filter is a
 pair of them. A vector belongs to every filter whose inner product with it reaches a
 threshold; since that product is a sum over the halves, the filters are listed from
-each half's best directions without looking at all pairs. Vectors that share a filter
-are compared. The code grows with the corpus, so a filter holds about the same number
-of vectors at any size, and the threshold follows from how many filters a vector is to
-have. A pair is counted only in the first filter that it shares.
+each half's best directions without looking at all pairs; a vector that reaches few has
+its best ones all the same. Vectors that share a filter are compared. The code grows with
+the corpus, so a filter holds about the same number of vectors at any size. How many
+filters a vector needs follows from pairs drawn at just the least cosine: as many as let
+all but a few of them share one; the threshold then follows from the code's own
+products. A pair is counted only in the first filter that it shares.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from statistics import NormalDist
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +27,12 @@ from pyspark.sql import functions as F
 from fathom.llm._stage import connected_components, cut
 from fathom.llm.vectors import float_kind, matrix, packed
 
-#: Filters that a vector has, and vectors that a filter holds, on average.
-FILTERS_PER_VECTOR, VECTORS_PER_FILTER = 48, 64
+#: Vectors that a filter holds on average.
+VECTORS_PER_FILTER = 64
+#: Filters that a vector may have on average, the fewest that will do are taken, and those that it has in any case.
+FILTERS_PER_VECTOR, FILTERS_AT_LEAST = (32, 48, 64, 96, 128, 192, 256), 32
+#: Drawn pairs at the least cosine that may share no filter, of PROBES.
+MISSED, PROBES = 0.003, 1000
 #: Rows of a filter that one task compares at once; a larger one is dealt into cells.
 CELL_ROWS = 1024
 #: Crowded filters up to which they are broadcast (16 bytes each).
@@ -35,7 +42,7 @@ BROADCAST_FILTERS = 1_000_000
 class ProductCode:
     """Random directions in the two halves of a turned space of ``width`` components."""
 
-    def __init__(self, width: int, directions: int, per_vector: float, seed: int = 7):
+    def __init__(self, width: int, directions: int, threshold: float = 0.0, seed: int = 7):
         rng = np.random.default_rng([seed, width])
         turn, _ = np.linalg.qr(rng.standard_normal((width, width)))
         self.half = max(1, width // 2)
@@ -43,17 +50,18 @@ class ProductCode:
         for n in (self.half, width - self.half):
             code = rng.standard_normal((directions, n)) if n else np.zeros((directions, 1))
             sides.append(code / np.maximum(np.linalg.norm(code, axis=1, keepdims=True), 1e-12))
-        self.turn, self.sides, self.directions = turn, sides, directions
-        share = min(0.5, per_vector / directions**2)
-        self.threshold = NormalDist().inv_cdf(1 - share) / math.sqrt(max(1.0, width / 2))
+        self.turn, self.sides, self.directions, self.threshold = turn, sides, directions, threshold
 
-    def decode(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, filter) for every filter that a row's unit vector reaches, by row and filter."""
+    def products(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Every unit vector's inner products with the directions of either half."""
         turned = units @ self.turn
         one = turned[:, : self.half] @ self.sides[0].T
         rest = turned[:, self.half :]
-        two = rest @ self.sides[1].T if rest.shape[1] else np.zeros_like(one)
-        rows, filters = [], []
+        return one, rest @ self.sides[1].T if rest.shape[1] else np.zeros_like(one)
+
+    def decode(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, filter) for every filter that a row's unit vector reaches, its best ones at least, by row and filter."""
+        one, two = self.products(units)
         most = min(self.directions, 40)
         while True:
             left = np.argpartition(-one, most - 1, axis=1)[:, :most]
@@ -64,33 +72,83 @@ class ProductCode:
             if full.all() or most == self.directions:
                 break
             most = min(self.directions, 2 * most)
-        hit = a[:, :, None] + b[:, None, :] >= self.threshold
+        sums = a[:, :, None] + b[:, None, :]
+        hit = sums >= self.threshold
+        few = np.flatnonzero(hit.sum(axis=(1, 2)) < FILTERS_AT_LEAST)
+        if len(few):  # the best sums are of the best directions of both halves
+            flat = sums[few].reshape(len(few), -1)
+            least = min(FILTERS_AT_LEAST, flat.shape[1])
+            hit[few] = sums[few] >= -np.partition(-flat, least - 1, axis=1)[:, least - 1, None, None]
         r, i, j = np.nonzero(hit)
         f = left[r, i].astype(np.int64) * self.directions + right[r, j]
         order = np.lexsort((f, r))
-        rows, filters = r[order], f[order]
-        return rows, filters
+        return r[order], f[order]
 
 
 def _units(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def pairs_at(cosine: float, width: int, n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """``n`` pairs of random unit vectors with just this cosine."""
+    rng = np.random.default_rng(seed)
+    x, z = _units(rng.standard_normal((n, width))), rng.standard_normal((n, width))
+    z = z - (z * x).sum(axis=1, keepdims=True) * x
+    return x, cosine * x + math.sqrt(1 - cosine**2) * _units(z) if width > 1 else x
+
+
+def shared(code: ProductCode, x: np.ndarray, y: np.ndarray) -> float:
+    """The share of the pairs (x, y) that have a filter in common."""
+    hits, n = 0, code.directions**2
+    for s in range(0, len(x), 500):
+        one, two = (r * n + f for r, f in (code.decode(v[s : s + 500]) for v in (x, y)))
+        hits += len(np.unique(np.intersect1d(one, two, assume_unique=True) // n))
+    return hits / len(x)
+
+
+def _threshold(code: ProductCode, units: np.ndarray, per_vector: float) -> float:
+    """What a product must reach for ``units`` to have ``per_vector`` filters on average."""
+    one, two = code.products(units)
+    two = np.sort(two, axis=1)
+    low, high = float(one.min() + two.min()), float(one.max() + two.max())
+    for _ in range(40):
+        middle = (low + high) / 2
+        n = sum(code.directions - np.searchsorted(b, middle - a) for a, b in zip(one, two)).sum() / len(units)
+        low, high = (middle, high) if n > per_vector else (low, middle)
+    return low
+
+
+@lru_cache(maxsize=64)
+def threshold_for(width: int, directions: int, least: float) -> float:
+    """The threshold for the fewest filters with which all but MISSED of the pairs at cosine ``least`` share one."""
+    code = ProductCode(width, directions)
+    units, _ = pairs_at(least, width, 200, 1)
+    x, y = pairs_at(least, width, PROBES, 2)
+    for per_vector in FILTERS_PER_VECTOR:
+        code.threshold = _threshold(code, units, min(per_vector, directions**2 / 2))
+        if shared(code, x, y) >= 1 - MISSED:
+            break
+    return code.threshold
+
+
+@dataclass
 class Filters:
-    """The product codes of a corpus, one for each length of vectors."""
+    """The product codes of a corpus, one for each length of vectors, by (directions, thresholds)."""
+
+    directions: int
+    thresholds: dict[int, float]
 
-    def __init__(self, kind: str, directions: int, per_vector: float):
-        self.kind, self.directions, self.per_vector = kind, directions, per_vector
+    def __post_init__(self):
         self.codes: dict[int, ProductCode] = {}
 
     def of(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         width = x.shape[1]
         if width not in self.codes:
-            self.codes[width] = ProductCode(width, self.directions, self.per_vector)
+            self.codes[width] = ProductCode(width, self.directions, self.thresholds[width])
         rows, filters = [], []
-        step = max(1, 20_000_000 // max(1600, self.directions * 4))
-        for s in range(0, len(x), min(step, 2000)):
-            r, f = self.codes[width].decode(_units(x[s : s + min(step, 2000)]))
+        step = min(2000, max(1, 20_000_000 // max(1600, self.directions * 4)))
+        for s in range(0, len(x), step):
+            r, f = self.codes[width].decode(_units(x[s : s + step]))
             rows.append(r + s)
             filters.append(f)
         return np.concatenate(rows), np.concatenate(filters)
@@ -136,7 +194,6 @@ def compare(
 def near_duplicates(
     vectors: DataFrame,
     least: float = 0.9,
-    per_vector: float = FILTERS_PER_VECTOR,
     per_filter: float = VECTORS_PER_FILTER,
 ) -> DataFrame:
     """Link the rows of ``vectors`` (``vec_id``, ``embedding``) with cosine ``least`` or more.
@@ -156,15 +213,16 @@ def near_duplicates(
     real = rows.filter("vector is not null and vec_id is not null")
     groups = cut(real.groupBy("vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")))
     copied = cut(groups.filter("copies > 1").select("vector", "node", "copies"))
-    total = groups.count()
-    directions = max(8, math.ceil(math.sqrt(total * per_vector / per_filter)))
-    per_vector = min(per_vector, directions**2 / 2)
+    directions = max(8, math.ceil(math.sqrt(groups.count() * FILTERS_PER_VECTOR[1] / per_filter)))
+    size = np.dtype(kind).itemsize
+    widths = [r.width for r in groups.select((F.octet_length("vector") / size).cast("int").alias("width")).distinct().collect()]
+    thresholds = {w: threshold_for(w, directions, least) for w in widths}
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = Filters(kind, directions, per_vector)
+        filters = Filters(directions, thresholds)
         for batch in batches:
             raw = batch.column(0).to_pylist()
-            width = np.array([len(v) for v in raw], np.int64)
+            width = np.array([len(v) // size for v in raw], np.int64)
             for w in np.unique(width).tolist():
                 for part in np.array_split(np.flatnonzero(width == w), max(1, len(raw) // 1000)):
                     if not len(part):
@@ -202,7 +260,7 @@ def near_duplicates(
     dealt = dealt.repartition(*keys).sortWithinPartitions(*keys, "node")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = Filters(kind, directions, per_vector)
+        filters = Filters(directions, thresholds)
         held: list[pa.RecordBatch] = []
         kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
