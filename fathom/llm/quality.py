@@ -222,9 +222,10 @@ def fit(docs: DataFrame) -> tuple[np.ndarray, dict[int, float]]:
     return train([(r.goal, bytes(r.buckets), bytes(r.amounts)) for r in rows]), good
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, dict[int, float]]) -> DataFrame:
+def score(docs: DataFrame, model: tuple[np.ndarray, dict[int, float]], carry: tuple[str, ...] = ()) -> DataFrame:
     """Judge every whole text of ``docs`` (``doc_id``, ``text``).
 
+    The columns named in ``carry`` are given back as they are, after the others.
     Returns doc_id, score (0 to 1, higher: better), posterior (the labellers' alone) and
     votes. Null and empty texts have no features and the score of their votes. Rows may
     repeat; other columns are not read; an empty table gives an empty result.
@@ -241,7 +242,10 @@ def score(docs: DataFrame, model: tuple[np.ndarray, dict[int, float]]) -> DataFr
                 z = np.bincount(rows, weights=values * weights[buckets], minlength=e - s) + weights[-1]
                 scores = np.where(part.counts > 0, 1 / (1 + np.exp(-np.clip(z, -40, 40))), posterior)
                 columns = [batch.column(0).slice(s, e - s), *(pa.array(x) for x in (scores, posterior, codes))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "posterior", "votes"])
+                columns += [c.slice(s, e - s) for c in batch.columns[2:]]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "posterior", "votes", *carry])
 
+    given = docs.select("doc_id", "text", *(F.col(c).alias(f"_{k}") for k, c in enumerate(carry)))
+    more = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, posterior double, votes long")
+    return given.mapInArrow(run, f"doc_id {kind}, score double, posterior double, votes long" + more)

@@ -29,10 +29,12 @@ from pyspark.sql import functions as F
 from fathom.llm._stage import cut
 from fathom.llm._text import BASE, BASE_INVERSE, SLICE_BYTES, code_points, cuts, mix, powers, row_slices, utf8_buffers
 
-#: Stems and words, each, that a model holds at most, those with the surest log-odds.
-VOCABULARY = 100_000
-#: Labelled rows that fit the extreme-value law and the final curve, at most about this many.
+#: Labelled rows that a model is fitted to at most, about, taken by a hash of doc_id beyond it.
+LABELLED_ROWS = 2_000_000
+#: Of those, rows that fit the extreme-value law and the final curve, at most about this many.
 CALIBRATION_ROWS = 20_000
+#: Stems and words of a model (16 bytes each, sent to all workers): with more, half as many labelled rows are taken.
+MODEL_TOKENS = 4_000_000
 #: Labels up to which they are broadcast to the texts (16 bytes each).
 BROADCAST_LABELS = 2_000_000
 #: Characters of a stem, and of an n-gram and its stem in scripts without spaces and in longer runs than LONGEST.
@@ -198,22 +200,61 @@ def known_labels(labels: DataFrame) -> DataFrame:
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) for labelled rows: broadcasting the labels up to a checked number."""
-    known = known_labels(labels)
-    if known.count() <= BROADCAST_LABELS:
-        known = F.broadcast(known)
+    """(doc_id, text, toxic) for the rows with ``known_labels``: broadcasting them up to a checked number."""
+    known = F.broadcast(labels) if labels.count() <= BROADCAST_LABELS else labels
     return docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", "text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sure: float = 3.0, price: float = 0.2, prior: float = 2.0, apart: float = 4.0) -> Model:
     """Learn from the labelled texts: ``labels`` has doc_id and toxic (1 or 0; others are ignored).
 
-    Counts cover every labelled text; the law and the curve are fitted to about
-    CALIBRATION_ROWS of them at most, taken by a hash of doc_id. Without texts of both
-    classes no word scores and every text gets the prior share of toxic ones. A stem's
-    log-odds must be ``sure`` standard deviations from zero, a word's ``apart`` from its stem's.
+    Counts cover every labelled text up to LABELLED_ROWS; the law and the curve are fitted to
+    about CALIBRATION_ROWS of them at most, taken by a hash of doc_id. Every stem whose
+    log-odds are ``sure`` standard deviations from zero, and every word that is ``apart``
+    from its stem, is in the model. Without texts of both classes no word scores and
+    every text gets the prior share of toxic ones.
     """
-    texts = labelled_texts(docs, labels)
+    labels = known_labels(labels)
+    n_labels = labels.count()
+    drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(1)), F.lit(1_000_000))
+    taken = min(1_000_000, int(1_000_000 * LABELLED_ROWS / max(n_labels, 1)) + 1)
+    while True:
+        texts = labelled_texts(docs, labels.filter(drawn < taken))
+        table = _odds(texts, sure, prior, apart)
+        if table is not None:
+            break
+        taken //= 2
+    plain = Model(np.array([t[0] for t in table], np.uint64), np.array([t[1] for t in table], float), price)
+    every = min(1_000_000, int(1_000_000 * CALIBRATION_ROWS / max(n_labels * taken / 1_000_000, 1)) + 1)
+    some = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < every)
+    known = some.sparkSession.sparkContext.broadcast(plain)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            toxic = np.asarray(batch.column(1))
+            out = [(int(toxic[r]), n, [x for _, _, x in found]) for r, n, found in _scored_rows(known.value, batch.column(0))]
+            if out:
+                kinds = (pa.int32(), pa.int64(), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["y", "n", "found"])
+
+    seen = cut(some.select("text", "toxic").mapInArrow(measure, "y int, n long, found array<double>"))
+    clean = seen.filter("y = 0").select(F.greatest("n", F.lit(1)).alias("n"), F.coalesce(F.array_max("found"), F.lit(0.0)).alias("best")).collect()
+    rate, size = _fit_law(np.array([c.n for c in clean], float), np.array([c.best for c in clean], float))
+    law = replace(plain, rate=rate, size=size)
+    bare = replace(law, tokens=plain.tokens[:0], scores=plain.scores[:0])
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [evidence(bare, n, found) for n, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.float64())], names=["y", "x"])
+
+    points = seen.mapInArrow(weigh, "y int, x double").collect()
+    slope, offset = _fit_curve(np.array([r.x for r in points]), np.array([r.y for r in points], float)) if points else (0.0, -30.0)
+    return replace(law, slope=slope, offset=offset)
+
+
+def _odds(texts: DataFrame, sure: float, prior: float, apart: float) -> list[tuple[int, float]] | None:
+    """(token, log-odds) of all stems and words of a model, by token; None if they are too many."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,55 +276,37 @@ def fit(docs: DataFrame, labels: DataFrame, sure: float = 3.0, price: float = 0.
 
     counted = texts.select("text", "toxic").mapInArrow(count, "token long, stem long, bad long, good long")
     counted = counted.groupBy("token").agg(F.min("stem").alias("stem"), F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    sizes = known_labels(labels).groupBy("toxic").count().collect()
+    sizes = texts.groupBy("toxic").count().collect()
     n_bad, n_good = (sum(r["count"] for r in sizes if r.toxic == y) for y in (1, 0))
-    table: list[tuple[int, float]] = []
-    if n_bad and n_good:
-        held = 0.5 + prior * (F.col("bad") + F.col("good")) / F.lit(float(n_bad + n_good))
-        odds = F.log((F.col("bad") + held) / F.lit(n_bad + prior)) - F.log((F.col("good") + held) / F.lit(n_good + prior))
-        spread = F.sqrt(1 / (F.col("bad") + held) + 1 / (F.col("good") + held))
-        counted = cut(counted.withColumns({"score": odds, "spread": spread}))
-
-        def surest(rows: DataFrame, base: Column, least: float) -> DataFrame:
-            z = F.abs((F.col("score") - base) / F.col("spread"))
-            return cut(rows.withColumn("z", z).filter(F.col("z") >= least).orderBy(F.col("z").desc(), "token").limit(VOCABULARY))
-
-        stems = surest(counted.filter("stem is null"), F.lit(0.0), sure)
-        base = F.broadcast(stems.select(F.col("token").alias("stem"), F.col("score").alias("base")))
-        words = counted.filter("stem is not null").join(base, "stem", "left").withColumn("base", F.coalesce("base", F.lit(0.0)))
-        # a word's prior is centred on the rates that its stem gives it
-        share = 1 / (1 + F.exp(-F.col("base")) * F.lit(n_good / n_bad))
-        bad, good = F.col("bad") + 0.5 + prior * share, F.col("good") + 0.5 + prior * (1 - share)
-        words = words.withColumns({"score": F.log(bad / good) - F.lit(math.log(n_bad / n_good)), "spread": F.sqrt(1 / bad + 1 / good)})
-        words = surest(words, F.col("base"), apart)
-        best = stems.select("token", "score").unionAll(words.select("token", "score")).collect()
-        table = sorted((r.token & 0xFFFFFFFFFFFFFFFF, r.score) for r in best)
-    plain = Model(np.array([t[0] for t in table], np.uint64), np.array([t[1] for t in table], float), price)
-    rows = labels.count()
-    every = 1_000_000 if rows <= CALIBRATION_ROWS else int(1_000_000 * CALIBRATION_ROWS / rows)
-    some = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < every)
-    known = some.sparkSession.sparkContext.broadcast(plain)
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            toxic = np.asarray(batch.column(1))
-            out = [(int(toxic[r]), n, [x for _, _, x in found]) for r, n, found in _scored_rows(known.value, batch.column(0))]
-            if out:
-                kinds = (pa.int32(), pa.int64(), pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["y", "n", "found"])
-
-    seen = some.select("text", "toxic").mapInArrow(measure, "y int, n long, found array<double>").collect()
-    clean = [(max(r.n, 1), max(r.found, default=0.0)) for r in seen if r.y == 0]
-    rate, size = _fit_law(np.array([c[0] for c in clean], float), np.array([c[1] for c in clean], float))
-    law = replace(plain, rate=rate, size=size)
-    x = np.array([evidence(law, r.n, r.found) for r in seen], float)
-    slope, offset = _fit_curve(x, np.array([r.y for r in seen], float)) if seen else (0.0, -30.0)
-    return replace(law, slope=slope, offset=offset)
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
+    if not n_bad or not n_good:
+        return []
+    held = 0.5 + prior * (F.col("bad") + F.col("good")) / F.lit(float(n_bad + n_good))
+    odds = F.log((F.col("bad") + held) / F.lit(n_bad + prior)) - F.log((F.col("good") + held) / F.lit(n_good + prior))
+    spread = F.sqrt(1 / (F.col("bad") + held) + 1 / (F.col("good") + held))
+    counted = cut(counted.withColumns({"score": odds, "spread": spread}))
+
+    def surest(rows: DataFrame, base: Column, least: float) -> DataFrame:
+        return cut(rows.filter(F.abs((F.col("score") - base) / F.col("spread")) >= least).select("token", "score"))
+
+    stems = surest(counted.filter("stem is null"), F.lit(0.0), sure)
+    if stems.count() > MODEL_TOKENS:
+        return None
+    base = F.broadcast(stems.select(F.col("token").alias("stem"), F.col("score").alias("base")))
+    words = counted.filter("stem is not null").join(base, "stem", "left").withColumn("base", F.coalesce("base", F.lit(0.0)))
+    # a word's prior is centred on the rates that its stem gives it
+    share = 1 / (1 + F.exp(-F.col("base")) * F.lit(n_good / n_bad))
+    bad, good = F.col("bad") + 0.5 + prior * share, F.col("good") + 0.5 + prior * (1 - share)
+    words = words.withColumns({"score": F.log(bad / good) - F.lit(math.log(n_bad / n_good)), "spread": F.sqrt(1 / bad + 1 / good)})
+    words = surest(words, F.col("base"), apart)
+    if stems.count() + words.count() > MODEL_TOKENS:
+        return None
+    return sorted((r.token & 0xFFFFFFFFFFFFFFFF, r.score) for r in stems.unionAll(words).collect())
+
+
+def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFrame:
     """Score every whole text of ``docs`` (``doc_id``, ``text``).
 
+    The columns named in ``carry`` are given back as they are, after the others.
     Returns doc_id, score (0 to 1), n_words (in scripts without spaces every character
     begins one) and passages: every significant passage as first word, end word (exclusive) and significance, the natural logarithm of one
     over the number of such passages expected in a clean text. Null and empty texts
@@ -304,10 +327,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 sizes.append(n)
                 passages.append([{"start": b, "end": e, "significance": x} for b, e, x in significant(m, n, found)])
             columns = [batch.column(0), pa.array(scores, pa.float64()), pa.array(sizes, pa.int64()), pa.array(passages, kind)]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays([*columns, *batch.columns[2:]], names=[*names, *carry])
 
+    given = docs.select("doc_id", "text", *(F.col(c).alias(f"_{k}") for k, c in enumerate(carry)))
+    more = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     key = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
+    return given.mapInArrow(
         run,
-        f"doc_id {key}, score double, n_words long, passages array<struct<start: long, end: long, significance: double>>",
+        f"doc_id {key}, score double, n_words long, passages array<struct<start: long, end: long, significance: double>>" + more,
     )
