@@ -8,12 +8,9 @@ def test_disclosing_terms_far_from_their_entity(spark):
     texts = [f"call Zebulon about bob@x.org today {far}{i} zebulon, Zebulons {far}ZEBULON" for i in range(4)]
     texts += [f"today other words filler about call {i}" for i in range(36)] + ["Zebulon again"]
     frame = spark.createDataFrame([*enumerate(texts), (0, "another text of Zebulon"), (0, texts[0])], "doc_id long, text string")
-    clean = pii.sanitise(frame).collect()
-    for r in clean:
-        if "[EMAIL]" in r.text:
-            assert "zebulon" not in r.text.lower().replace("zebulons", "") and "Zebulons" in r.text and "today" in r.text
-    assert sum("[EMAIL]" in r.text for r in clean) == 5
-    assert {r.text for r in clean} >= {"Zebulon again", "another text of Zebulon"}
+    clean = [r.text for r in pii.sanitise(frame).collect()]
+    assert not any("zebulon" in t.lower().replace("zebulons", "") for t in clean)
+    assert sum("[EMAIL]" in t for t in clean) == 5 and {"[NAME] again", "another text of [NAME]"} <= set(clean)
     found = {r.doc_id: r for r in pii.find(frame.filter("doc_id > 0")).collect()}
     assert [texts[1][t.start : t.end] for t in found[1].terms if t.value == "zebulon"] == ["Zebulon", "zebulon", "ZEBULON"]
 
