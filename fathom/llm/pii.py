@@ -48,19 +48,21 @@ KINDS = tuple(PLAIN)
 #: Texts (by a hash) or terms up to which they are broadcast (about 60 bytes each).
 BROADCAST_ROWS = 500_000
 #: Code points of a chunk, at least, unless the text ends; it ends before a word or after a mark that is in no match.
-CHUNK = 2000
+CHUNK = 500
 CHUNKS = rf"(?s).{{{CHUNK}}}.*?(?:(?<=\x20)(?=[A-Za-z])|(?<=[\n\r\t,;:!?\"'<>/\\|\[\]{{}}=*&#$^~`])|\z)|.+\z"
 
 SPAN = "struct<kind: string, start: bigint, end: bigint, value: string>"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _placed(
     text: Column, pattern: str, kind: str, shift: Column | int = 0, only: Callable[[Column], Column] | None = None
 ) -> Column:
     """The matches of ``pattern`` in ``text`` (``only`` those that it holds for) with their places in code points, moved by ``shift``."""
-    pieces = F.split(text, pattern, -1)
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    steps = F.arrays_zip(F.slice(pieces, 1, F.size(matches)).alias("gap"), matches.alias("value"))
     zero = F.struct((F.lit(0) + shift).cast("long").alias("at"), F.expr(f"cast(array() as array<{SPAN}>)").alias("found"))
 
     def step(state: Column, x: Column) -> Column:
@@ -71,7 +73,12 @@ def _placed(
         found = F.when(only(x["value"]), found).otherwise(state["found"]) if only else found
         return F.struct(end.alias("at"), found.alias("found"))
 
-    return F.aggregate(steps, zero, step, lambda s: s["found"])
+    def all_of(matches: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), 1, F.size(matches))
+        steps = F.arrays_zip(gaps.alias("gap"), matches.alias("value"))
+        return F.when(F.size(matches) > 0, F.aggregate(steps, zero, step, lambda s: s["found"])).otherwise(zero["found"])
+
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), all_of)
 
 
 def _digits(value: Column) -> Column:
@@ -87,6 +94,11 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(worth, F.lit(0), lambda a, b: a + b) % 10 == 0
 
 
+def _apart(terms: Column, spans: Column) -> Column:
+    """The terms that overlap none of the spans."""
+    return F.filter(terms, lambda t: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+
+
 def _chunks(text: Column) -> Column:
     """``text`` as chunks: at (code points before it) and text."""
     pieces = F.when(F.char_length(text) <= 2 * CHUNK, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(CHUNKS), F.lit(0)))
@@ -132,11 +144,19 @@ def _entity(s: Column) -> Column:
     return F.concat_ws(":", s["kind"], F.when(s["kind"] == "email", F.lower(s["value"])).otherwise(_digits(s["value"])))
 
 
+def _spans(text: Column, shift: Column | int = 0) -> Column:
+    """The base entities of all kinds in a chunk."""
+    return F.concat(*(_of_kind(text, kind, shift) for kind in KINDS))
+
+
 def _hidden(text: Column, hits: Column, shift: Column | int = 0) -> Column:
     """The places of the terms ``hits`` (term to kind) in a chunk, but for those that meet an entity."""
     terms = _placed(text, TERM, "term", shift, only=lambda v: F.map_contains_key(hits, F.lower(v)))
-    spans = F.concat(*(_of_kind(text, kind, shift) for kind in KINDS))
-    return F.filter(terms, lambda t: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+    both = lambda t: F.struct(t.alias("terms"), _spans(text, shift).alias("spans"))
+    free = lambda t: _let(both(t), lambda x: _apart(x["terms"], x["spans"]))
+    return F.when(F.cardinality(hits) > 0, _let(terms, lambda t: F.when(F.size(t) > 0, free(t)).otherwise(t))).otherwise(
+        F.expr(f"cast(array() as array<{SPAN}>)")
+    )
 
 
 def _read(docs: DataFrame) -> DataFrame:
@@ -150,25 +170,28 @@ def _small(rows: DataFrame) -> DataFrame:
 
 
 def _near(chunks: Column, reach: int) -> Column:
-    """The different (term, entity) of a text whose term stands outside all entities and within ``reach`` of this one."""
+    """The different pairs, term and entity with a tab between, whose term stands outside all entities and within ``reach`` of this one."""
     pad = reach + 66  # a word that the pad tears stands outside the reach
 
     def around(c: Column, i: Column) -> Column:
         before = F.when(i > 0, F.right(F.get(chunks, i - 1)["text"], F.lit(pad))).otherwise("")
         after = F.coalesce(F.left(F.get(chunks, i + 1)["text"], F.lit(pad)), F.lit(""))
-        text, shift = F.concat(before, c["text"], after), c["at"] - F.char_length(before)
-        spans = F.concat(*(_of_kind(text, kind, shift) for kind in KINDS))
-        own = F.filter(spans, lambda s: (s["start"] >= c["at"]) & (s["start"] < c["at"] + F.char_length(c["text"])))
-        terms = F.filter(
-            _placed(text, TERM, "term", shift),
-            lambda t: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])),
-        )
+        wide = F.struct(F.concat(before, c["text"], after).alias("text"), (c["at"] - F.char_length(before)).alias("at"))
+        until = c["at"] + F.char_length(c["text"])
+
+        def marked(w: Column) -> Column:
+            both = F.struct(_spans(w["text"], w["at"]).alias("spans"), _placed(w["text"], TERM, "term", w["at"]).alias("terms"))
+            return _let(both, lambda x: F.struct(x["spans"].alias("spans"), _apart(x["terms"], x["spans"]).alias("terms")))
 
-        def with_terms(s: Column) -> Column:
+        def with_terms(s: Column, terms: Column) -> Column:
             close = F.filter(terms, lambda t: (t["start"] >= s["start"] - reach) & (t["end"] <= s["end"] + reach))
-            return F.transform(close, lambda t: F.struct(F.lower(t["value"]).alias("term"), _entity(s).alias("entity")))
+            return F.transform(close, lambda t: F.concat_ws("\t", F.lower(t["value"]), _entity(s)))
 
-        return F.flatten(F.transform(own, with_terms))
+        def pairs(x: Column) -> Column:
+            own = F.filter(x["spans"], lambda s: (s["start"] >= c["at"]) & (s["start"] < until))
+            return F.flatten(F.transform(own, lambda s: with_terms(s, x["terms"])))
+
+        return _let(wide, lambda w: _let(marked(w), pairs))
 
     return F.array_distinct(F.flatten(F.transform(chunks, around)))
 
@@ -188,8 +211,9 @@ def disclosing(docs: DataFrame, rows: DataFrame, reach: int | None, support: int
     most = whole.agg(F.max("with_entity")).first()[0] or 0
     said = _read(docs).select("print", _terms(F.col("text")).alias("terms"))
     if reach is not None:
-        met = some.select(F.explode("near").alias("p")).groupBy("p.term", "p.entity").agg(F.count("*").alias("together"))
-        met = cut(met.filter(F.col("together") >= support))
+        pair = F.split("pair", "\t")
+        met = some.select(F.explode("near").alias("pair")).groupBy("pair").agg(F.count("*").alias("together"))
+        met = cut(met.filter(F.col("together") >= support).select(pair[0].alias("term"), pair[1].alias("entity"), "together"))
         often = cut(met.select("term").distinct())
     else:  # texts that are equal are one here, with their number
         named = cut(named.join(whole, "entity").groupBy("print", "entity").agg(F.count("*").alias("n")))
@@ -234,10 +258,14 @@ def _same_text() -> Column:
 
 def _analysed(docs: DataFrame, reach: int | None, support: int, generalise: float, remove: float, likely: float) -> tuple[DataFrame, DataFrame]:
     """The base entities of all rows, and the disclosing terms of the texts that hold some."""
-    rows = _read(docs).select("doc_id", "print", _chunks(F.col("text")).alias("chunks"))
-    rows = rows.withColumn("base", entities(F.col("chunks")))
-    near = F.when(F.size("base") > 0, _near(F.col("chunks"), reach)) if reach is not None else F.lit(None)
-    rows = stored(rows.select("doc_id", "print", "base", near.cast("array<struct<term: string, entity: string>>").alias("near")), "entities")
+    none = F.lit(None).cast("array<string>")
+
+    def marks(chunks: Column) -> Column:
+        near = lambda base: F.when(F.size(base) > 0, _near(chunks, reach)) if reach is not None else none
+        return _let(entities(chunks), lambda base: F.struct(base.alias("base"), near(base).alias("near")))
+
+    rows = _read(docs).select("doc_id", "print", _let(_chunks(F.col("text")), marks).alias("marks"))
+    rows = stored(rows.select("doc_id", "print", "marks"), "entities").select("doc_id", "print", "marks.base", "marks.near")
     return rows, _hits(docs, rows, cut(disclosing(docs, rows, reach, support, generalise, remove)), likely)
 
 
@@ -260,8 +288,7 @@ def find(
     """
     rows, hits = _analysed(docs, reach, support, generalise, remove, likely)
     found = _read(docs).join(_small(hits), _same_text()).dropDuplicates(["doc_id", "print"])
-    found = found.select("of", "of_print", "hits", _chunks(F.col("text")).alias("chunks"))
-    terms = F.flatten(F.transform("chunks", lambda c: _hidden(c["text"], F.col("hits"), c["at"])))
+    terms = F.flatten(F.transform(_chunks(F.col("text")), lambda c: _hidden(c["text"], F.col("hits"), c["at"])))
     named = F.transform(
         terms,
         lambda t: F.struct(
@@ -296,7 +323,7 @@ def _cleaned(text: Column, hits: Column) -> Column:
         ),
     )
     base = F.transform(
-        F.concat(*(_of_kind(text, kind) for kind in KINDS)),
+        _spans(text),
         lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("last"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("by")),
     )
 
@@ -308,7 +335,8 @@ def _cleaned(text: Column, hits: Column) -> Column:
 
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     rest = lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.char_length(text)))
-    return F.aggregate(F.array_sort(F.concat(base, known)), zero, step, rest)
+    changed = lambda x: F.aggregate(F.array_sort(x), zero, step, rest)
+    return _let(F.concat(base, known), lambda x: F.when(F.size(x) > 0, changed(x)).otherwise(text))
 
 
 def sanitise(
@@ -325,8 +353,7 @@ def sanitise(
     hits = _small(hits).withColumnsRenamed({"of": "__of", "of_print": "__print", "hits": "__hits"})
     same = F.col("doc_id").eqNullSafe(F.col("__of")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__print"))
     joined = docs.join(hits, same, "left").withColumn("__hits", F.coalesce("__hits", F.expr("cast(map() as map<string, string>)")))
-    joined = joined.withColumn("__chunks", _chunks(F.col("text")))
-    clean = F.array_join(F.transform("__chunks", lambda c: _cleaned(c["text"], F.col("__hits"))), "")
+    clean = F.array_join(F.transform(_chunks(F.col("text")), lambda c: _cleaned(c["text"], F.col("__hits"))), "")
     joined = joined.withColumn("text", F.when(F.col("text").isNotNull(), clean))
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.coalesce(F.char_length("text"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType))

@@ -111,7 +111,7 @@ def naive_disclosing(texts, reach=None, support=3, generalise=0.6, remove=0.9):
 @pytest.mark.parametrize("reach", [None, 20])
 def test_disclosing_terms_against_counting(spark, monkeypatch, reach):
     monkeypatch.setattr(pii, "CHUNK", 10)  # several chunks a text
-    monkeypatch.setattr(pii, "CHUNKS", pii.CHUNKS.replace("2000", "10"))
+    monkeypatch.setattr(pii, "CHUNKS", pii.CHUNKS.replace("500", "10"))
     rng = random.Random(11)
     who = [f"w{i}@x.org" for i in range(6)] + ["4111 1111 1111 1111", "+1 (319) 555-5132"]
     words = [f"term{i}" for i in range(60)]
