@@ -2,45 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 def leader_runs(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], joins: Callable[[Column, Column], Column], out: str = "run"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], joins: Callable[[dict, dict], bool], out: str = "run"
 ) -> DataFrame:
     """Adds the number of each row's run, from 0, by ``order`` within ``keys``.
 
     A row joins the run before it iff ``joins(leader, row)`` holds for the run's first
-    row; else it starts a run and leads it. That is a fold, so the rows of a key are
-    gathered as an array of the few columns it looks at: the keys must split the data
-    into parts of survey size.
+    row; else it starts a run and leads it. ``joins`` is given the values of ``order`` and
+    ``columns`` by name, nulls as not-a-number. That is a fold over sorted rows: a task
+    keeps one leader and hands every batch on, so a key may hold any number of rows.
     """
     fields = list(dict.fromkeys([*order, *columns]))
-    packed = F.struct(*(F.col(c) for c in fields), F.struct(*(F.col(c) for c in df.columns)).alias("__row"))
-    rows = df.groupBy(*keys).agg(F.array_sort(F.collect_list(packed)).alias("__rows"))
-    kind = rows.schema["__rows"].dataType.elementType
-    leader = kind.simpleString()
-    zero = F.struct(
-        F.lit(-1).alias("run"),
-        F.expr(f"cast(null as {leader})").alias("leader"),
-        F.expr("cast(array() as array<int>)").alias("runs"),
-    )
 
-    def step(state: Column, row: Column) -> Column:
-        stays = F.coalesce(state["leader"].isNotNull() & joins(state["leader"], row), F.lit(False))
-        run = F.when(stays, state["run"]).otherwise(state["run"] + 1)
-        return F.struct(
-            run.alias("run"),
-            F.when(stays, state["leader"]).otherwise(row).alias("leader"),
-            F.array_append(state["runs"], run).alias("runs"),
-        )
-
-    runs = F.aggregate("__rows", zero, step, lambda s: s["runs"])
-    paired = F.explode(F.arrays_zip(F.col("__rows").alias("r"), runs.alias("run"))).alias("p")
-    return rows.select(paired).select("p.r.__row.*", F.col("p.run").alias(out))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, leader, number = None, None, -1
+        for batch in batches:
+            numbers = []
+            of = zip(*(batch.column(k).to_pylist() for k in keys))
+            values = zip(*([float("nan") if v is None else v for v in batch.column(f).to_pylist()] for f in fields))
+            for own, row in zip(of, values):
+                row = dict(zip(fields, row))
+                if own != key:
+                    key, leader, number = own, None, -1
+                if leader is None or not joins(leader, row):
+                    leader, number = row, number + 1
+                numbers.append(number)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int32())], names=[*batch.schema.names, out])
+
+    schema = StructType([*df.schema.fields, StructField(out, IntegerType())])
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
 
 
 def group_names(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:

@@ -72,11 +72,13 @@ def nearest_segments(
     """The ``k`` nearest lines of every point (``x``, ``y``): line, distance, chainage, rank.
 
     Per point and line only the nearest place counts; ties go to the smaller ``order``.
+    Points without finite coordinates have no row.
     A network of up to BROADCAST_SEGMENTS segments is broadcast. A larger one is met by
     grid cells: a point whose k-th line lies within one cell's width has met all that
     could be nearer; the others go on with cells twice as wide.
     """
-    asked = points.select(*key, "x", "y").filter("x is not null and y is not null")
+    far = float("inf")
+    asked = points.select(*key, "x", "y").filter((F.abs("x") < far) & (F.abs("y") < far))
     if segments.count() <= BROADCAST_SEGMENTS:
         return _ranked(asked.join(F.broadcast(segments)), key, line, order, k)
     lines = segments.select(line).distinct().count()
@@ -89,7 +91,7 @@ def nearest_segments(
         near = found.filter((F.col("rank") == min(k, lines)) & (F.col("distance") <= cell)).select(*key)
         found = found.join(near, list(key), "left_semi")
         done = found if done is None else done.unionByName(found)
-        asked = asked.join(near, list(key), "left_anti")
+        asked = asked.join(near, list(key), "left_anti").persist()
         if asked.isEmpty():
             return done
         cell *= 2

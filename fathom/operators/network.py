@@ -5,20 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fathom.operators.joins import foot
+from fathom.operators.joins import cells_along, foot
 
 
-def links(segments: DataFrame, snap: float = 2.0) -> DataFrame:
+def links(segments: DataFrame, snap: float = 2.0, cell: float = 250.0) -> DataFrame:
     """River -> the one river its last point lies on and goes past: (river, down, s_join).
 
-    ``segments`` has line, x0, y0, x1, y1, s0, length. Several such rivers: no link.
+    ``segments`` has line, x0, y0, x1, y1, s0, length. Several such rivers: no link. An end
+    meets the segments of its grid cell and those around it; ``snap`` is at most a cell.
     """
     last = segments.groupBy("line").agg(
         F.max_by(F.struct("x1", "y1"), "s0").alias("e"), F.max(F.col("s0") + F.col("length")).alias("size")
     )
     ends = last.select(F.col("line").alias("river"), F.col("e.x1").alias("ex"), F.col("e.y1").alias("ey"))
     d, s = foot(F.col("ex"), F.col("ey"))
-    met = ends.join(F.broadcast(segments.join(last.select("line", "size"), "line")), F.col("river") != F.col("line"))
+    around = lambda c: F.sequence(F.floor(F.col(c) / cell) - 1, F.floor(F.col(c) / cell) + 1)
+    ends = ends.withColumn("cx", F.explode(around("ex"))).withColumn("cy", F.explode(around("ey")))
+    met = ends.join(cells_along(segments, cell), ["cx", "cy"]).filter("river <> line").join(last.select("line", "size"), "line")
     near = met.groupBy("river", "line", "size").agg(F.min(F.struct(d.alias("d"), s.alias("s"))).alias("b"))
     near = near.filter((F.col("b.d") <= snap) & (F.col("b.s") < F.col("size") - snap))
     one = near.groupBy("river").agg(F.count("*").alias("n"), F.first("line").alias("down"), F.first("b.s").alias("s_join"))

@@ -52,8 +52,9 @@ def gap_interpolate(df: DataFrame, keys: Sequence[str], position: str, value: st
     seq = Window.partitionBy(*keys).orderBy(position)
     v = finite(F.col(value))
     known = F.when(v.isNotNull(), F.struct(F.col(position).cast("double").alias("p"), v.alias("v")))
+    back = Window.partitionBy(*keys).orderBy(F.col(position).desc())
     rows = df.withColumn("__lo", F.last(known, True).over(seq.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
-        "__hi", F.first(known, True).over(seq.rowsBetween(0, Window.unboundedFollowing))
+        "__hi", F.last(known, True).over(back.rowsBetween(Window.unboundedPreceding, 0))
     )
     span = F.col("__hi.p") - F.col("__lo.p")
     share = F.try_divide(F.col(position).cast("double") - F.col("__lo.p"), span)
@@ -74,9 +75,10 @@ def asof_interpolate(points: DataFrame, series: DataFrame, keys: Sequence[str],
         known.withColumn("__asked", F.lit(False)), allowMissingColumns=True
     )
     seq = Window.partitionBy(*keys).orderBy("__at")
+    back = Window.partitionBy(*keys).orderBy(F.col("__at").desc())
     here = F.when(F.col("__v").isNotNull(), F.struct(F.col("__at").alias("p"), F.col("__v").alias("v")))
     both = both.withColumn("__lo", F.last(here, True).over(seq.rangeBetween(Window.unboundedPreceding, 0))).withColumn(
-        "__hi", F.first(here, True).over(seq.rangeBetween(0, Window.unboundedFollowing))
+        "__hi", F.last(here, True).over(back.rangeBetween(Window.unboundedPreceding, 0))
     )
     share = F.try_divide(F.col("__at") - F.col("__lo.p"), F.col("__hi.p") - F.col("__lo.p"))
     line = F.col("__lo.v") + (F.col("__hi.v") - F.col("__lo.v")) * share
@@ -214,9 +216,10 @@ def monotone_interpolate(points: DataFrame, series: DataFrame, keys: Sequence[st
     asked = points.withColumn("__at", F.col(at).cast("double")).withColumn("__asked", F.lit(True))
     both = asked.unionByName(known.withColumn("__asked", F.lit(False)), allowMissingColumns=True)
     seq = Window.partitionBy(*keys).orderBy("__at")
+    back = Window.partitionBy(*keys).orderBy(F.col("__at").desc())
     here = F.when(~F.col("__asked"), F.struct("__at", "__v", "__d"))
     both = both.withColumn("__lo", F.last(here, True).over(seq.rangeBetween(Window.unboundedPreceding, 0))).withColumn(
-        "__hi", F.first(here, True).over(seq.rangeBetween(0, Window.unboundedFollowing))
+        "__hi", F.last(here, True).over(back.rangeBetween(Window.unboundedPreceding, 0))
     )
     h = F.col("__hi.__at") - F.col("__lo.__at")
     t = F.coalesce(F.try_divide(F.col("__at") - F.col("__lo.__at"), h), F.lit(0.0))

@@ -56,7 +56,8 @@ def evaluate(points: DataFrame, anchors: DataFrame, slopes: DataFrame, group: st
     seq = Window.partitionBy(group).orderBy("__p")
     here = F.when(~F.col("__ask"), F.struct("__p", "h", "deps"))
     both = both.withColumn("lo", F.last(here, True).over(seq.rangeBetween(Window.unboundedPreceding, 0)))
-    both = both.withColumn("hi", F.first(here, True).over(seq.rangeBetween(0, Window.unboundedFollowing)))
+    back = Window.partitionBy(group).orderBy(F.col("__p").desc())
+    both = both.withColumn("hi", F.last(here, True).over(back.rangeBetween(Window.unboundedPreceding, 0)))
     rows = both.filter("__ask").drop("h", "deps", "__ask")
     one = lambda n: slopes.filter(F.col("end") == n).select(
         group, F.struct("a", "slope", "origin").alias("up" if n == 0 else "down")

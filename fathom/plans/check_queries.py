@@ -60,7 +60,7 @@ def undirected_angles(spark, sf_dir):
     f"""WITH {ANCHORS} SELECT path, 0 AS "end", {r('s0')} AS slope, {r('h0')} AS h FROM f UNION ALL SELECT path, 1, {r('s1')}, {r('h1')} FROM f"""
 )
 def end_slopes(spark, sf_dir):
-    anchors = events(spark, sf_dir).filter("event_type in ('view', 'error') and event_id between 2000 and 8000").select(
+    anchors = events(spark, sf_dir).filter("event_type in ('view', 'error')").select(
         F.col("user_id").alias("path"), F.col("event_id").cast("double").alias("p"), (F.col("value") / 100).alias("h"),
         F.array(F.lit("gnss")).alias("deps"),
     )

@@ -132,7 +132,7 @@ def run_starts(spark, sf_dir):
        SELECT event_id, user_id, run FROM f"""
 )
 def leader_groups(spark, sf_dir):
-    joins_run = lambda a, b: (a["event_type"] == b["event_type"]) | (F.abs(a["value"] - b["value"]) <= 25)
+    joins_run = lambda a, b: (a["event_type"] == b["event_type"]) | (abs(a["value"] - b["value"]) <= 25)
     out = grouping.leader_runs(events(spark, sf_dir), ["user_id"], ["event_id"], ["event_type", "value"], joins_run)
     return out.select("event_id", "user_id", "run")
 
@@ -265,7 +265,7 @@ def path_rank(spark, sf_dir):
     return network.ranked_paths(placed, "n_regionkey").select("n_regionkey", "n", F.col("rank").cast("int").alias("rank"))
 
 
-ANCHORS = """a AS (SELECT user_id AS path, event_id AS p, value / 100 AS h, event_type AS kind FROM events WHERE event_type IN ('view', 'error') AND event_id BETWEEN 2000 AND 8000),
+ANCHORS = """a AS (SELECT user_id AS path, event_id AS p, value / 100 AS h, event_type AS kind FROM events WHERE event_type IN ('view', 'error')),
        q AS (SELECT user_id AS path, event_id AS id, event_id AS p FROM events WHERE event_type = 'click'),
        lo AS (SELECT id, arg_max(a.h, a.p) AS h, max(a.p) AS p, arg_max(a.kind, a.p) AS kind FROM q JOIN a ON a.path = q.path AND a.p <= q.p GROUP BY 1),
        hi AS (SELECT id, arg_min(a.h, a.p) AS h, min(a.p) AS p, arg_min(a.kind, a.p) AS kind FROM q JOIN a ON a.path = q.path AND a.p >= q.p GROUP BY 1),
@@ -285,7 +285,7 @@ ANCHORS = """a AS (SELECT user_id AS path, event_id AS p, value / 100 AS h, even
 )
 def bracket_extrap(spark, sf_dir):
     rows = events(spark, sf_dir)
-    anchors = rows.filter("event_type in ('view', 'error') and event_id between 2000 and 8000").select(
+    anchors = rows.filter("event_type in ('view', 'error')").select(
         F.col("user_id").alias("path"),
         F.col("event_id").cast("double").alias("p"),
         (F.col("value") / 100).alias("h"),

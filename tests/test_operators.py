@@ -90,7 +90,7 @@ def test_asof_holds_at_the_ends(spark):
 def test_leader_runs_follow_the_leader(spark):
     places = [0, 10, 14, 16, 20, 31, 0]
     frame = spark.createDataFrame([("s", i, float(p)) for i, p in enumerate(places)], "k string, i int, p double")
-    out = grouping.leader_runs(frame, ["k"], ["i"], ["p"], lambda a, b: F.abs(a["p"] - b["p"]) <= 15)
+    out = grouping.leader_runs(frame, ["k"], ["i"], ["p"], lambda a, b: abs(a["p"] - b["p"]) <= 15)
     assert [r.run for r in out.orderBy("i").collect()] == [0, 0, 0, 1, 1, 1, 2]
     names = grouping.group_names(out.withColumn("name", F.concat(F.lit("t"), F.col("i"))), ["run"], "name")
     assert sorted(r.group_id for r in names.collect()) == ["t0_x3", "t3_x3", "t6"]
@@ -229,3 +229,19 @@ def test_nearest_by_cells_is_the_nearest(spark, monkeypatch):
     whole = sorted(map(tuple, joins.nearest_segments(points, ["id"], segments, "line", "order", 2).collect()))
     monkeypatch.setattr(joins, "BROADCAST_SEGMENTS", 0)
     assert sorted(map(tuple, joins.nearest_segments(points, ["id"], segments, "line", "order", 2, 800.0).collect())) == whole
+
+
+def test_one_key_of_many_rows(spark):
+    """Gaps, neighbours and runs of one key take time in proportion to its rows."""
+    import time
+
+    n = 200_000
+    rows = spark.range(n).select(F.lit(1).alias("k"), F.col("id").alias("i"), F.when(F.col("id").isin(0, n - 1), F.col("id").cast("double")).alias("v"))
+    begun = time.perf_counter()
+    filled = sequence.gap_interpolate(rows, ["k"], "i", "v")
+    assert filled.filter("abs(filled - i) > 1e-6").count() == 0
+    at = sequence.asof_interpolate(rows.select("k", "i"), rows.filter("v is not null"), ["k"], "i", "v", "w")
+    assert at.filter("abs(w - i) > 1e-6").count() == 0
+    runs = grouping.leader_runs(rows.select("k", "i"), ["k"], ["i"], [], lambda a, b: b["i"] - a["i"] < 10)
+    assert runs.filter("run <> floor(i / 10)").count() == 0
+    assert time.perf_counter() - begun < 60
