@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from fathom.llm._text import BASE, BASE_INVERSE, SLICE_BYTES, mix, powers, row_slices, utf8_buffers
 
 #: Slots of a worker's store, and bytes of pre-tokens in it before it starts over.
-MEMO_SLOTS, MEMO_BYTES = 1 << 22, 24_000_000
+MEMO_SLOTS, MEMO_BYTES = 1 << 19, 6_000_000
 #: Bytes that are searched at once for a place to cut a long text.
 CUT_BYTES = 65_536
 LETTER, NUMBER, BLANK, OTHER = 0, 1, 2, 3
