@@ -28,6 +28,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_ID = "urn:page:"
 #: Uncompressed bytes after which an archive is closed, and of its dictionary.
 ARCHIVE_BYTES, DICTIONARY_BYTES, SAMPLE_BYTES = 16_000_000, 16_384, 800_000
+#: Payloads that repeat up to which their digests are broadcast (about 30 bytes each), so that no html is shuffled.
+BROADCAST_PAYLOADS = 1_000_000
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -55,7 +57,12 @@ def _record(page_id, url, payload: bytes, refers_to, revisit: bool, spare: str)
 
 
 def _archive(records: list[bytes], level: int) -> bytes:
-    """The records as one compressed archive; too few to train on: without dictionary."""
+    """The records as one compressed archive, led by a dictionary made from them.
+
+    It is trained on records at even steps, about SAMPLE_BYTES in all and the first
+    64 KiB of each; where these are too few or too plain to train on, the beginnings
+    of the samples themselves are the dictionary (raw content).
+    """
     import zstandard
 
     step, samples, taken = max(1, sum(map(len, records)) // SAMPLE_BYTES), [], 0
@@ -64,16 +71,15 @@ def _archive(records: list[bytes], level: int) -> bytes:
         taken += len(samples[-1])
         if taken > 2 * SAMPLE_BYTES:
             break
-    made = None
-    if len(samples) >= 16 and taken >= 8 * DICTIONARY_BYTES:
-        try:
-            made = zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=256, d=8)
-        except zstandard.ZstdError:  # the trainer finds nothing that repeats
-            made = None
+    try:
+        if len(samples) < 16 or taken < 8 * DICTIONARY_BYTES:
+            raise zstandard.ZstdError("too few samples")
+        made = zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=256, d=8)
+    except zstandard.ZstdError:
+        made = zstandard.ZstdCompressionDict(b"".join(samples)[:DICTIONARY_BYTES], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     writer = zstandard.ZstdCompressor(level=level, dict_data=made, write_checksum=True)
-    raw = made.as_bytes() if made else b""
-    lead = [struct.pack("<II", DICTIONARY_FRAME, len(raw)), raw] if made else []
-    return b"".join(lead + [writer.compress(r) for r in records])
+    raw = made.as_bytes()
+    return b"".join([struct.pack("<II", DICTIONARY_FRAME, len(raw)), raw, *(writer.compress(r) for r in records)])
 
 
 def _file_system(uri: str):
@@ -98,13 +104,9 @@ def write_archives(pages: DataFrame, folder: str | None = None, revisit_from: in
         "url",
         F.coalesce(F.col("html"), F.lit("")).alias("html"),
     ).withColumn("sha", F.unhex(F.sha1("html")))
-    least = (
-        rows.filter(F.octet_length("html") >= revisit_from)
-        .groupBy("sha")
-        .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-        .filter("n > 1")
-    )
-    joined = rows.join(least.select("sha", "first"), "sha", "left")
+    least = rows.filter(F.octet_length("html") >= revisit_from).groupBy("sha")
+    least = cut(least.agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").select("sha", "first"))
+    joined = rows.join(F.broadcast(least) if least.count() <= BROADCAST_PAYLOADS else least, "sha", "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
