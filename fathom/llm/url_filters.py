@@ -16,8 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: The index of rules is broadcast; a longer list must be joined in parts.
-MAX_RULES = 200_000
+#: Tokens of rules up to which their index is broadcast (about 200 bytes each); a longer list is joined by shuffle.
+BROADCAST_TOKENS = 200_000
+#: What bounds a token in an expression: an end of the text, or marks of which one must stand there.
+MARK = r"(?:\\[Az]|\\[^A-Za-z0-9]|[^A-Za-z0-9\\\[\](){}*+?|^$.])"
+BOUND = re.compile(rf"(?:{MARK}|\(\?:{MARK}(?:\|{MARK})*\))(?![*?{{])")
 
 
 @dataclass(frozen=True)
@@ -43,8 +46,48 @@ def site_rule(verdict: str, host: str, path: str = "/") -> Rule:
     return Rule(host + path, verdict, rf"(?s)\A(?:[^/]*\.)?{begin}", tuple(dict.fromkeys(tokens)))
 
 
-def pattern_rule(name: str, verdict: str, pattern: str, *tokens: str) -> Rule:
-    return Rule(name, verdict, pattern, tokens, named=False)
+def literal_tokens(pattern: str) -> tuple[str, ...]:
+    """Alphanumeric runs that stand whole in every text that ``pattern`` matches, in lower case.
+
+    A run counts if it is literal and has a bound on both sides, outside groups and
+    classes. Patterns with alternatives at the top, or of another form, have none.
+    """
+    found, bounded, run, at = [], False, "", 0
+    while at < len(pattern):
+        c = pattern[at]
+        bound = BOUND.match(pattern, at)
+        if bound:
+            if run and bounded:
+                found.append(run)
+            bounded, run, at = True, "", bound.end()
+        elif c.isascii() and c.isalnum() and pattern[at + 1 : at + 2] not in ("*", "?", "{", "+"):
+            run, at = run + c, at + 1
+        elif c == "|":
+            return ()
+        else:
+            bounded, run, at = False, "", _behind(pattern, at)
+    return tuple(dict.fromkeys(t.lower() for t in found))
+
+
+def _behind(pattern: str, at: int) -> int:
+    """The place behind the escape, class, group or character at ``at`` and what repeats it."""
+    depth, in_class = 0, False
+    while at < len(pattern):
+        c = pattern[at]
+        at += 2 if c == "\\" else 1
+        if in_class:
+            in_class = c != "]"
+        elif c == "[":
+            in_class = True
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+        if depth == 0 and not in_class:
+            break
+    return re.compile(r"(?:[*+?]|\{[^}]*\})*").match(pattern, at).end()
+
+
+def pattern_rule(name: str, verdict: str, pattern: str) -> Rule:
+    return Rule(name, verdict, pattern, literal_tokens(pattern), named=False)
 
 
 #: Sites of the production list.
@@ -57,14 +100,14 @@ SITES = (
 )
 #: Pages that hold no prose, wherever they are.
 GENERAL = (
-    pattern_rule("ads", "block", "/ads/", "ads"),
-    pattern_rule("adserver", "block", r"(?:\A|\.)adserver\.", "adserver"),
-    pattern_rule("banners", "block", "/banners/", "banners"),
-    pattern_rule("cgi", "block", "/cgi-bin/", "cgi", "bin"),
-    pattern_rule("login", "block", r"/login(?:/|\z)", "login"),
-    pattern_rule("logout", "block", r"/logout(?:/|\z)", "logout"),
-    pattern_rule("wp-admin", "block", "/wp-admin/", "wp", "admin"),
-    pattern_rule("wp-login", "block", r"/wp-login\.php", "wp", "login", "php"),
+    pattern_rule("ads", "block", "/ads/"),
+    pattern_rule("adserver", "block", r"(?:\A|\.)adserver\."),
+    pattern_rule("banners", "block", "/banners/"),
+    pattern_rule("cgi", "block", "/cgi-bin/"),
+    pattern_rule("login", "block", r"/login(?:/|\z)"),
+    pattern_rule("logout", "block", r"/logout(?:/|\z)"),
+    pattern_rule("wp-admin", "block", "/wp-admin/"),
+    pattern_rule("wp-login", "block", r"/wp-login\.php"),
 )
 PRODUCTION = SITES + GENERAL
 
@@ -80,8 +123,7 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = PRODUCTION, default:
     judged one by one; columns other than the two are not looked at. An empty
     table gives an empty result.
     """
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} can be broadcast")
+    sent = F.broadcast if sum(max(1, len(r.tokens)) for r in rules) <= BROADCAST_TOKENS else lambda side: side
     spark = pages.sparkSession
     url = F.coalesce(F.col("url"), F.lit(""))
     rows = pages.select(
@@ -98,16 +140,16 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = PRODUCTION, default:
     words = filed.select("token").distinct()
     seen = (
         rows.select(F.explode(tokens).alias("token"))
-        .join(F.broadcast(words), "token", "left_semi")
+        .join(sent(words), "token", "left_semi")
         .groupBy("token")
         .agg(F.count("*").alias("urls"))
     )
     index = (
-        filed.join(F.broadcast(seen), "token", "left")
+        filed.join(sent(seen), "token", "left")
         .groupBy("id", "name", "of", "expression", "named", "size")
         .agg(F.min_by("token", F.struct(F.coalesce("urls", F.lit(0)), "token")).alias("token"))
     )
-    fits = F.col("token").isNotNull() & F.expr("regexp_like(concat(host, path), expression)")
+    fits = F.expr("regexp_like(concat(host, path), expression)")
     best = F.max(
         F.when(
             fits & F.col("named"),
@@ -118,7 +160,7 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = PRODUCTION, default:
     return (
         rows.withColumn("row", F.monotonically_increasing_id())
         .withColumn("token", F.explode(F.array_union(tokens, F.array(F.lit("")))))
-        .join(F.broadcast(index), "token", "left")
+        .join(sent(index), "token", "left")
         .groupBy("row", "page_id", "host", "path")
         .agg(best.alias("best"), general.alias("general"))
         .select(
