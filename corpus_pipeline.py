@@ -29,9 +29,8 @@ def _kept(docs: DataFrame, score: Callable[..., DataFrame], model, keeps: Column
     """The rows of ``docs`` that their own score keeps."""
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     other = F.struct(*rest) if rest else F.struct(F.lit(0).alias("none"))
-    scored = score(docs.select("doc_id", "text", F.col("text").alias("__text"), other.alias("__rest")), model, ("__text", "__rest"))
-    own = {"doc_id": F.col("doc_id"), "text": F.col("__text")}
-    return scored.filter(keeps).select(*((own.get(c) if c in own else F.col("__rest")[c]).alias(c) for c in docs.columns))
+    scored = score(docs.select("doc_id", "text", other.alias("__rest")), model, ("text", "__rest"))
+    return scored.filter(keeps).select(*(F.col(c) if c in ("doc_id", "text") else F.col("__rest")[c].alias(c) for c in docs.columns))
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes handled at once; temporary arrays take about fifty times as much.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 #: Odd multiplier of the rolling word hash and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)

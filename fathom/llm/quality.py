@@ -242,10 +242,12 @@ def score(docs: DataFrame, model: tuple[np.ndarray, dict[int, float]], carry: tu
                 z = np.bincount(rows, weights=values * weights[buckets], minlength=e - s) + weights[-1]
                 scores = np.where(part.counts > 0, 1 / (1 + np.exp(-np.clip(z, -40, 40))), posterior)
                 columns = [batch.column(0).slice(s, e - s), *(pa.array(x) for x in (scores, posterior, codes))]
-                columns += [c.slice(s, e - s) for c in batch.columns[2:]]
+                columns += [c.slice(s, e - s) for c in (batch.column(at[c]) for c in carry)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "posterior", "votes", *carry])
 
-    given = docs.select("doc_id", "text", *(F.col(c).alias(f"_{k}") for k, c in enumerate(carry)))
+    others = [c for c in carry if c != "text"]
+    at = {"text": 1} | {c: k + 2 for k, c in enumerate(others)}
+    given = docs.select("doc_id", "text", *(F.col(c).alias(f"_{k}") for k, c in enumerate(others)))
     more = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return given.mapInArrow(run, f"doc_id {kind}, score double, posterior double, votes long" + more)

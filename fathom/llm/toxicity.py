@@ -327,9 +327,11 @@ def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFra
                 sizes.append(n)
                 passages.append([{"start": b, "end": e, "significance": x} for b, e, x in significant(m, n, found)])
             columns = [batch.column(0), pa.array(scores, pa.float64()), pa.array(sizes, pa.int64()), pa.array(passages, kind)]
-            yield pa.RecordBatch.from_arrays([*columns, *batch.columns[2:]], names=[*names, *carry])
+            yield pa.RecordBatch.from_arrays([*columns, *(batch.column(at[c]) for c in carry)], names=[*names, *carry])
 
-    given = docs.select("doc_id", "text", *(F.col(c).alias(f"_{k}") for k, c in enumerate(carry)))
+    others = [c for c in carry if c != "text"]
+    at = {"text": 1} | {c: k + 2 for k, c in enumerate(others)}
+    given = docs.select("doc_id", "text", *(F.col(c).alias(f"_{k}") for k, c in enumerate(others)))
     more = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     key = docs.schema["doc_id"].dataType.simpleString()
     return given.mapInArrow(
