@@ -28,6 +28,12 @@ def point_wkb(x: Column, y: Column, z: Column | None = None) -> Column:
     return F.unhex(F.concat(F.lit(head), *(_double_le(c) for c in (x, y, z) if c is not None)))
 
 
+def line_wkb(*ends: tuple[Column, Column]) -> Column:
+    """Little-endian well-known binary of a line through the given places."""
+    head = "0102000000" + len(ends).to_bytes(4, "little").hex().upper()
+    return F.unhex(F.concat(F.lit(head), *(_double_le(c) for place in ends for c in place)))
+
+
 def write_csv(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     """CSV with a header, split by the columns ``by``."""
     writer = df.write.mode("overwrite").option("header", True)
