@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fathom.operators import flow, islands, tables
+from fathom.operators import flow, group, islands, tables
 from fathom.plans.registry import fixed, fixed_all, query, r, table
 
 
@@ -163,3 +163,22 @@ def river_islands(spark, sf_dir):
     )
     out = islands.channels(rows, ["c_nationkey"], "s0", "s1", "left", "c_custkey", "name")
     return out.select("c_nationkey", "island", "c_custkey", "channel", fixed("s0").alias("s0"), fixed("s1").alias("s1"))
+
+
+@query()
+def group_profiles(spark, sf_dir):
+    """Suppliers as sections, line numbers as repetitions; smoothing and gaps leave no short SQL, a test holds a known bed."""
+    rows = table(spark, sf_dir, "lineitem").withColumn("m", F.col("l_linenumber"))
+    cloud = rows.select(
+        "l_suppkey", "m", (F.col("l_discount") * 10).alias("e"), F.col("l_quantity").alias("n"), (F.col("l_extendedprice") / 20000).alias("depth"),
+        F.lit(1.0).alias("weight"),
+    )
+    vectors = rows.select(
+        "l_suppkey", "m", (1 + F.col("l_tax")).alias("ve"), (F.col("l_discount") - 0.05).alias("vn"), F.col("l_quantity").alias("weight"),
+        F.when(F.col("l_returnflag") == "N", 3).otherwise(2).alias("step"),
+    )
+    edges = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), F.lit(2.0).alias("left"), F.lit(3.0).alias("right"), F.when(F.col("s_acctbal") > 0, 250.0).alias("surface")
+    )
+    profile, _ = group.group_profile(cloud, vectors, edges, ["l_suppkey"], "m")
+    return fixed_all(profile, "depth_m", "east", "north", "bed")

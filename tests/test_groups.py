@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fathom.functions import crs
-from fathom.operators import beams, flow, islands, joins, reference, tables
+from fathom.operators import beams, flow, group, islands, joins, reference, tables
 from fathom.sources.sinks import line_wkb
 
 
@@ -98,3 +98,19 @@ def test_line_wkb(spark):
     row = spark.createDataFrame([(1.5, -2.0, 3.25, 1e6)], "a double, b double, c double, d double")
     got = row.select(line_wkb((F.col("a"), F.col("b")), (F.col("c"), F.col("d"))).alias("g")).first().g
     assert bytes(got) == struct.pack("<BII4d", 1, 2, 2, 1.5, -2.0, 3.25, 1e6)
+
+
+def test_group_profile_of_two_repetitions(spark):
+    bed = lambda s: 4 - (s - 20) ** 2 / 100
+    places = [(rep, i / 4) for rep in (1, 2) for i in range(161)]
+    # the flow goes east, so the section runs south: s grows as n falls
+    cloud = spark.createDataFrame([("g", rep, 500.0 + rep - 1.5, 1000.0 - s, bed(s), 1.0) for rep, s in places], "g string, m int, e double, n double, depth double, weight double")
+    vectors = spark.createDataFrame([("g", rep, 1.0, 0.05 * (rep - 1.5), 1.0, 3) for rep, _ in places], "g string, m int, ve double, vn double, weight double, step int")
+    edges = spark.createDataFrame([("g", 2.0, 3.0, 250.0), ("h", 1.0, 1.0, 250.0)], "g string, left double, right double, surface double")
+    profile, directions = group.group_profile(cloud, vectors, edges, ["g"], "m")
+    rows = {r.node: r for r in profile.collect()}
+    assert sorted(rows) == list(range(91)) and rows[0].depth_m == rows[90].depth_m == 0
+    assert all(abs(rows[k].depth_m - bed(k / 2 - 2)) < 0.05 for k in range(14, 74))
+    assert rows[44].east == pytest.approx(500) and rows[44].north == pytest.approx(980) and rows[44].bed == 250 - rows[44].depth_m
+    found = directions.first()
+    assert found.agrees and found.strays == [] and found.section_azimuth == pytest.approx(180) and 0 < found.worst < 2
