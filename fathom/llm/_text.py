@@ -178,3 +178,37 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray, width: int) -> tuple[n
             h = (h * BASE + w) & 0xFFFFFFFFFFFFFFFF
         out[at[r]] = mix(np.array([h + int(counts[r])], np.uint64))[0]
     return out, total
+
+
+def runs(keep: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of marked bytes; none goes over one of ``edges``."""
+    n = len(keep)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    cut = np.ones(n + 1, dtype=bool)
+    cut[1:n] = ~keep[1:] | ~keep[:-1]
+    cut[edges] = True
+    return np.flatnonzero(keep & cut[:-1]), np.flatnonzero(keep & cut[1:]) + 1
+
+
+def run_hashes(part: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte runs; for filters that an exact count follows, as unequal runs may share one."""
+    total = np.zeros(len(part) + 1, np.uint64)
+    np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(part)), out=total[1:])
+    return mix((total[ends] - total[starts]) * powers(BASE_INVERSE, len(part) + 1)[starts] + (ends - starts).astype(np.uint64))
+
+
+def gathered(part: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The strings in the byte ranges of ``part``, which may overlap."""
+    length = ends - starts
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(length, out=offsets[1:])
+    place = np.repeat(starts - offsets[:-1], length) + np.arange(offsets[-1])
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(part[place])))
+
+
+def by_key(batch: pa.RecordBatch, keys: tuple[str, ...]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """The rows of a batch for each value of its key columns."""
+    kinds = pa.Table.from_batches([batch.select(list(keys))]).append_column("row", pa.array(np.arange(batch.num_rows)))
+    for found in kinds.group_by(list(keys)).aggregate([("row", "list")]).to_pylist():
+        yield tuple(found[k] for k in keys), batch.take(pa.array(found["row_list"]))

@@ -122,5 +122,77 @@ FROM n LEFT JOIN f USING (doc_id)
 """
 
 
+OP12 = """
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), p AS (
+  SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM d
+), n AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang
+), g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM p, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k
+), f AS (
+  SELECT lang, phrase, any_value(k) AS k, CAST(count(*) AS BIGINT) AS f FROM g GROUP BY lang, phrase HAVING count(*) >= 30
+), c AS (
+  SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS i FROM f WHERE k > 1
+), s AS (
+  SELECT c.lang, c.phrase, a, i, x.f AS l, y.f AS r,
+         CAST((2000000::HUGEINT * a) // (x.f::HUGEINT + y.f::HUGEINT) AS BIGINT) AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:i], ' ')
+         JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[i + 1:len(w)], ' ')
+), b AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1
+), o AS (
+  SELECT b.* FROM b
+  WHERE NOT EXISTS (
+    SELECT 1 FROM f WHERE f.lang = b.lang AND f.k > len(string_split(b.phrase, ' '))
+      AND contains(' ' || f.phrase || ' ', ' ' || b.phrase || ' ') AND 100::HUGEINT * f.f >= 80::HUGEINT * b.a)
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM o
+)
+SELECT r.lang, rank, phrase, a, l, r, n, score FROM r JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+OP13 = """
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), w AS (
+  SELECT id, lang, source, unnest(w) AS term FROM d
+), v AS (
+  SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 10
+), c AS (
+  SELECT lang, source, term, count(*) AS n FROM w JOIN (SELECT lang, term FROM v) USING (lang, term) GROUP BY ALL
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), k AS (
+  SELECT lang, count(*) AS kept, sum(n) AS total FROM v GROUP BY lang
+), o AS (
+  SELECT lang, source, sum(n) AS own FROM c GROUP BY ALL
+), p AS (
+  SELECT g.lang, g.source, v.term, coalesce(c.n, 0) AS n,
+         CAST(1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(o.own, 0)::HUGEINT + 2 * k.kept) AS BIGINT) AS p,
+         CAST(1 + (1000000000::HUGEINT * (v.n + 2)) // (k.total::HUGEINT + 2 * k.kept) AS BIGINT) AS q
+  FROM g JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term) LEFT JOIN o USING (lang, source)
+), a AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item,
+         CAST(sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS BIGINT) AS value
+  FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+  UNION ALL
+  SELECT x.lang, x.source, 'pair', y.source, 0 FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+  WHERE x.lang NOT IN (SELECT lang FROM k)
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p WHERE n > 0 AND p > q
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM a
+)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filters": OP2, "op3_topk": OP3, "op6_caps": OP6, "op7_minhash": OP7, "op10_warc": OP10}
+    return {"op2_url_filters": OP2, "op3_topk": OP3, "op6_caps": OP6, "op7_minhash": OP7, "op10_warc": OP10, "op12_collocations": OP12, "op13_divergence": OP13}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathom.llm import bpe, caps, minhash, packing, pii, quality, topk, toxicity, url_filters, warc
+from fathom.llm import bpe, caps, collocations, divergence, language, minhash, packing, pii, quality, topk, toxicity, url_filters, warc
 
 
 def vocabulary(name: str) -> str:
@@ -21,8 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def held_out(doc_id: str = "doc_id") -> Column:
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
+def held_out(doc_id: str = "doc_id", of: int = 5, rest: int = 0) -> Column:
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % of == rest, F.lit(False))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +95,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(archives, ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    told = language.predict(docs, language.fit(docs, ~held_out(of=3, rest=1)))
+    spans = F.size("spans").cast("long").alias("n_spans")
+    return told.select("doc_id", held_out(of=3, rest=1).alias("held_out"), "lang_pred", "score", spans)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_toxicity,
@@ -107,5 +122,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_bpe,
         op9_quality,
         op10_warc,
+        op11_language,
+        op12_collocations,
+        op13_divergence,
     )
     return {f.__name__: f for f in every}
