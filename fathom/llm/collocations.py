@@ -145,10 +145,16 @@ def _keys(h: np.ndarray, at: np.ndarray, n: int, lang: int) -> np.ndarray:
     return mix(out + np.uint64(n))
 
 
-def _has(held: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
-    """Whether the filter may hold the keys."""
-    at = keys & np.uint64(FILTER_BITS - 1)
-    return (held[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+def _has(held: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the filter may hold the keys: both bits of a key are set."""
+
+    def bit(at: np.ndarray) -> np.ndarray:
+        return (held[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+    out = bit(keys & np.uint64(FILTER_BITS - 1))
+    some = np.flatnonzero(out)
+    out[some] = bit(keys[some] >> np.uint64(64 - FILTER_BITS.bit_length() + 1))
+    return out
 
 
 def _lang_hash(lang: str) -> int:
@@ -199,8 +205,11 @@ def _count(dictionary: DataFrame, sizes: tuple[int, ...], pairs) -> DataFrame:
 
 def _filter(spark: SparkSession, keys: DataFrame):
     """A broadcast bitmap of FILTER_BITS that holds the keys; built by tasks from bitmaps of 4,096 bytes."""
-    low = F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1))
-    blocks = keys.groupBy(F.shiftright(low, 15).alias("block")).agg(F.bitmap_construct_agg(low.bitwiseAND(F.lit(32767))).alias("bits"))
+    width = FILTER_BITS.bit_length() - 1
+    places = F.array(F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1)), F.shiftrightunsigned("key", 64 - width))
+    places = keys.select(F.explode(places).alias("at"))
+    bits = F.bitmap_construct_agg(F.col("at").bitwiseAND(F.lit(32767))).alias("bits")
+    blocks = places.groupBy(F.shiftright("at", 15).alias("block")).agg(bits)
     out = np.zeros(FILTER_BITS // 8, np.uint8)
     for r in blocks.collect():
         out[r.block * 4096 : (r.block + 1) * 4096] = np.frombuffer(r.bits, np.uint8)
