@@ -66,9 +66,28 @@ def transverse_mercator(
     return east0 + scale * radius * east, F.lit(north0) + scale * radius * north
 
 
-def utm(longitude: Column, latitude: Column, zone: Column) -> tuple[Column, Column]:
-    """Southern-hemisphere UTM: scale 0.9996, false origin (500 km, 10 000 km)."""
-    return transverse_mercator(longitude, latitude, zone * 6 - 183, 0.9996, F.lit(500_000.0), 10_000_000.0)
+def inverse_series() -> tuple[list[float], list[float]]:
+    """Coefficients of the Krueger series back, and of the latitude in terms of the conformal one, to the fourth power."""
+    n = FLATTENING / (2 - FLATTENING)
+    backward = [
+        n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96 - n**4 / 360,
+        n**2 / 48 + n**3 / 15 - 437 * n**4 / 1440,
+        17 * n**3 / 480 - 37 * n**4 / 840,
+        4397 * n**4 / 161280,
+    ]
+    conformal = [
+        2 * n - 2 * n**2 / 3 - 2 * n**3 + 116 * n**4 / 45,
+        7 * n**2 / 3 - 8 * n**3 / 5 - 227 * n**4 / 45,
+        56 * n**3 / 15 - 136 * n**4 / 35,
+        4279 * n**4 / 630,
+    ]
+    return backward, conformal
+
+
+def utm(longitude: Column, latitude: Column, zone: Column, south: Column | None = None) -> tuple[Column, Column]:
+    """UTM, southern unless ``south`` says otherwise: scale 0.9996, false origin (500 km, 10 000 km in the south)."""
+    east, north = transverse_mercator(longitude, latitude, zone * 6 - 183, 0.9996, F.lit(500_000.0), 10_000_000.0)
+    return (east, north) if south is None else (east, north - F.when(south, 0.0).otherwise(10_000_000.0))
 
 
 def belt(longitude: Column, latitude: Column, number: Column) -> tuple[Column, Column]:

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fathom.functions.materialise import cut
+
 
 def band_join(points: DataFrame, s: str, step: float, half: float, node: str = "node") -> DataFrame:
     """A row per point and grid node ``k * step`` within ``half`` of it, both ends included; adds ``node`` (k).
@@ -49,10 +51,6 @@ def foot(x: Column, y: Column) -> tuple[Column, Column]:
     return F.hypot(x - F.col("x0") - u * dx, y - F.col("y0") - u * dy), F.col("s0") + u * F.col("length")
 
 
-#: Segments up to which every point meets all of them by a broadcast (about 80 bytes each).
-BROADCAST_SEGMENTS = 50_000
-
-
 def _ranked(met: DataFrame, key: Sequence[str], line: str, order: str, k: int) -> DataFrame:
     """The ``k`` nearest lines of each point among the segments that it has met."""
     from pyspark.sql import Window
@@ -67,41 +65,69 @@ def _ranked(met: DataFrame, key: Sequence[str], line: str, order: str, k: int) -
 
 
 def nearest_segments(
-    points: DataFrame, key: Sequence[str], segments: DataFrame, line: str, order: str, k: int = 1, cell: float = 250.0
+    points: DataFrame,
+    key: Sequence[str],
+    segments: DataFrame,
+    line: str,
+    order: str,
+    k: int = 1,
+    cell: float = 250.0,
+    own: bool = False,
 ) -> DataFrame:
     """The ``k`` nearest lines of every point (``x``, ``y``): line, distance, chainage, rank.
 
-    Per point and line only the nearest place counts; ties go to the smaller ``order``.
-    Points without finite coordinates have no row.
-    A network of up to BROADCAST_SEGMENTS segments is broadcast. A larger one is met by
-    grid cells: a point whose k-th line lies within one cell's width has met all that
-    could be nearer; the others go on with cells twice as wide.
+    ``key`` tells the points apart. Per point and line only the nearest place counts; ties
+    go to the smaller ``order``. Points without finite coordinates have no row. With ``own`` a point has a column
+    ``line`` too and meets that line only; points of a line that isn't there have no row.
+
+    Points and segments meet in grid cells, a point in its own and the eight around it: one
+    whose k-th line lies within a cell's width has met all that could be nearer; the others
+    go on with cells four times as wide. So a round's work is that of its own points, whatever
+    the number of segments, and rounds grow with the logarithm of the largest distance.
     """
     far = float("inf")
-    asked = points.select(*key, "x", "y").filter((F.abs("x") < far) & (F.abs("y") < far))
-    if segments.count() <= BROADCAST_SEGMENTS:
-        return _ranked(asked.join(F.broadcast(segments)), key, line, order, k)
-    lines = segments.select(line).distinct().count()
-    done = None
-    while True:
+    names = [*key, line] if own else list(key)
+    asked = points.select(*names, "x", "y").filter((F.abs("x") < far) & (F.abs("y") < far))
+    there = segments.select(line).distinct()
+    if own:
+        k, asked = 1, asked.join(there, line, "left_semi")
+    else:
+        k = min(k, there.count())
+    if not k:
+        return _ranked(asked.join(segments, F.lit(False)), key, line, order, 1)
+    by = ["cx", "cy", line] if own else ["cx", "cy"]
+    done, asked = None, cut(asked)
+    while done is None or not asked.isEmpty():
         around = lambda c: F.sequence(F.floor(F.col(c) / cell) - 1, F.floor(F.col(c) / cell) + 1)  # noqa: B023, E731
         wide = asked.withColumn("cx", F.explode(around("x"))).withColumn("cy", F.explode(around("y")))
-        met = wide.join(cells_along(segments, cell), ["cx", "cy"]).drop("cx", "cy")
-        found = _ranked(met, key, line, order, min(k, lines))
-        near = found.filter((F.col("rank") == min(k, lines)) & (F.col("distance") <= cell)).select(*key)
+        met = wide.join(cells_along(segments, cell), by).drop("cx", "cy")
+        found = cut(_ranked(met, key, line, order, k))
+        near = found.filter((F.col("rank") == k) & (F.col("distance") <= cell)).select(*key)
         found = found.join(near, list(key), "left_semi")
         done = found if done is None else done.unionByName(found)
-        asked = asked.join(near, list(key), "left_anti").persist()
-        if asked.isEmpty():
-            return done
-        cell *= 2
+        asked = cut(asked.join(near, list(key), "left_anti"))
+        cell *= 4
+    return done
 
 
 def cells_along(segments: DataFrame, cell: float) -> DataFrame:
-    """A row per segment and grid cell of its bounding box: adds ``cx``, ``cy``."""
-    span = lambda a, b: F.sequence(F.floor(F.least(a, b) / cell), F.floor(F.greatest(a, b) / cell))
-    rows = segments.withColumn("cx", F.explode(span(F.col("x0"), F.col("x1"))))
-    return rows.withColumn("cy", F.explode(span(F.col("y0"), F.col("y1"))))
+    """A row per segment and grid cell that it goes through: adds ``cx``, ``cy``.
+
+    Column by column: the cells between the heights at which the segment enters and leaves
+    it, so that a segment has about as many rows as cells, however long and slanted.
+    """
+    x0, y0, x1, y1 = (F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1"))
+    slope = F.try_divide(y1 - y0, x1 - x0)
+    low, high = F.least(x0, x1), F.greatest(x0, x1)
+    rows = segments.withColumn("cx", F.explode(F.sequence(F.floor(low / cell), F.floor(high / cell))))
+    # a hair wider than the column, so that rounding loses no cell
+    hair = cell * 1e-6
+    a = F.greatest(low, F.col("cx") * cell - hair)
+    b = F.least(high, (F.col("cx") + 1) * cell + hair)
+    ya, yb = y0 + slope * (a - x0), y0 + slope * (b - x0)
+    bottom = F.greatest(F.least(y0, y1), F.coalesce(F.least(ya, yb), F.least(y0, y1)) - hair)
+    top = F.least(F.greatest(y0, y1), F.coalesce(F.greatest(ya, yb), F.greatest(y0, y1)) + hair)
+    return rows.withColumn("cy", F.explode(F.sequence(F.floor(F.least(bottom, top) / cell), F.floor(top / cell))))
 
 
 def crossings(sections: DataFrame, key: Sequence[str], segments: DataFrame, cell: float) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathom.functions.angles import azimuth
-from fathom.operators.joins import foot
+from fathom.operators.joins import nearest_segments
 
 
 def place_at(points: DataFrame, segments: DataFrame, line: str, s: Column, x: str, y: str, cell: float = 250.0) -> DataFrame:
@@ -62,18 +62,16 @@ def transferred(chainage: Column, offset: Column, axis_x: Column, axis_y: Column
     return chainage + axis_x * dx + axis_y * dy, offset + axis_x * dy - axis_y * dx
 
 
-def on_declared(points: DataFrame, key: Sequence[str], segments: DataFrame, line: str) -> DataFrame:
+def on_declared(points: DataFrame, key: Sequence[str], segments: DataFrame, line: str, cell: float = 250.0) -> DataFrame:
     """Every point (``x``, ``y``) on the line that it declares: distance, chainage and whether it lies at an end.
 
     Near a confluence another line may be nearer; the declared one is taken all the same.
     A point at an end may lie beyond the digitised reach. Points that declare no line, or
-    one that is not there, have no row. Each point meets the segments of its own line,
-    reduced before they are shuffled.
+    one that is not there, and points without finite coordinates have no row. Points meet
+    their line's segments in grid cells, so that none meets all of a long line.
     """
-    total = F.max(F.col("s0") + F.col("length")).over(Window.partitionBy(line))
-    parts = segments.withColumn("__total", total)
-    d, s = foot(F.col("x"), F.col("y"))
-    met = points.select(*key, line, "x", "y").join(parts, line)
-    best = met.groupBy(*key, line).agg(F.min(F.struct(d.alias("distance"), s.alias("chainage"))).alias("b"), F.first("__total").alias("__total"))
-    s = F.col("b.chainage")
-    return best.select(*key, line, "b.distance", "b.chainage", ((s <= 1e-6) | (s >= F.col("__total") - 1e-6)).alias("at_end"))
+    totals = segments.groupBy(line).agg(F.max(F.col("s0") + F.col("length")).alias("__total"))
+    placed = nearest_segments(points, key, segments.withColumn("__order", F.lit(0)), line, "__order", cell=cell, own=True)
+    s = F.col("chainage")
+    end = (s <= 1e-6) | (s >= F.col("__total") - 1e-6)
+    return placed.join(totals, line).select(*key, line, "distance", "chainage", end.alias("at_end"))

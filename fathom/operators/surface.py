@@ -93,35 +93,3 @@ def resolved(evaluated: DataFrame, key: list[str]) -> DataFrame:
         F.min("extrap_m").alias("extrap_m"),
         (F.max("value") - F.min("value")).alias("path_spread"),
     )
-
-
-def solve_junctions(anchors: DataFrame, nodes: list[tuple[str, list[tuple[str, float]]]], **slope_options) -> DataFrame:
-    """``anchors`` plus one anchor for every junction, upstream ones first.
-
-    ``nodes`` lists the junctions of the network (a few), each with its (path, p)
-    positions in the order of their distance to the outlet. A junction's level is the
-    mean, weighted by one over the gap, of the levels that each branch gives; it is
-    appended on all its paths before the next one is solved. A measured anchor on the
-    node stands.
-    """
-    spark = anchors.sparkSession
-    kept = anchors.select("path", "p", "h", "deps")
-    for _, places in nodes:
-        at = spark.createDataFrame(places, "path string, p double").withColumn("node", F.lit(1))
-        seq = kept.alias("k").join(F.broadcast(at).alias("j"), "path")
-        du = F.col("j.p") - F.col("k.p")
-        side = F.struct(F.abs(du).alias("d"), F.col("k.h").alias("h"), F.col("k.deps").alias("deps"))
-        per = seq.groupBy("path", F.col("j.p").alias("p")).agg(
-            F.min(F.when(du > INSIDE, side)).alias("up"),
-            F.min(F.when(du < -INSIDE, side)).alias("down"),
-            F.max((F.abs(du) <= INSIDE).cast("int")).alias("measured"),
-        )
-        share = F.try_divide(F.col("up.d"), F.col("up.d") + F.col("down.d"))
-        level = F.when(F.col("up").isNotNull() & F.col("down").isNotNull(), F.col("up.h") + (F.col("down.h") - F.col("up.h")) * share)
-        gap = F.greatest(F.col("up.d") + F.col("down.d"), F.lit(1.0))
-        mean = per.filter("measured = 0").agg(
-            (F.sum(level / gap) / F.sum(F.when(level.isNotNull(), 1 / gap))).alias("h"),
-            F.array_distinct(F.flatten(F.collect_list(F.array_union("up.deps", "down.deps")))).alias("deps"),
-        )
-        kept = kept.unionByName(at.drop("node").join(F.broadcast(mean.filter("h is not null"))).select("path", "p", "h", "deps"))
-    return kept

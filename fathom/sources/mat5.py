@@ -7,9 +7,12 @@ numeric, text and structure arrays.
 
 from __future__ import annotations
 
+import io
+import itertools
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -50,18 +53,54 @@ def _array(data: bytes):
     return name, values.reshape(shape, order="F")
 
 
-def decode(data: bytes) -> dict:
-    """The variables of a file by name."""
-    if data[126:128] != b"IM":
+#: Bytes that hold a variable's flags, shape and name, as the format bounds them.
+HEAD = 512
+
+
+def variables(file: BinaryIO, wanted: Collection[str] | None = None, tally: dict | None = None) -> Iterator[tuple[str, object]]:
+    """(name, value) of a file's variables, or of those ``wanted`` only.
+
+    Of the others no more than HEAD bytes are read and inflated, as their names are: the
+    reader goes on behind them. ``tally`` counts ``read`` and ``inflated`` bytes and ``kept`` variables.
+    """
+    tally = {} if tally is None else tally
+
+    def read(n: int) -> bytes:
+        got = file.read(n)
+        tally["read"] = tally.get("read", 0) + len(got)
+        return got
+
+    def inflate(body: bytes, limit: int = 0) -> bytes:
+        got = zlib.decompressobj().decompress(body, limit)
+        tally["inflated"] = tally.get("inflated", 0) + len(got)
+        return got
+
+    if read(128)[126:128] != b"IM":
         raise ValueError("not a little-endian MAT version 5 file")
-    out = {}
-    for kind, body in _elements(data[128:]):
+    at = 128
+    while len(tag := read(8)) == 8:
+        kind, size = struct.unpack("<II", tag)
+        at += 8 + size + (0 if kind == COMPRESSED else -size % 8)
+        body = b""
+        if wanted is not None and kind in (COMPRESSED, MATRIX):
+            body = read(min(size, HEAD))
+            head = inflate(body, HEAD)[8:] if kind == COMPRESSED else body
+            named = [x for _, x in itertools.islice(_elements(head), 3)]
+            if len(named) == 3 and named[2].decode("latin-1") not in wanted:
+                file.seek(at)
+                continue
+        body += read(size - len(body))
         if kind == COMPRESSED:
-            kind, body = next(_elements(zlib.decompress(body)))
+            kind, body = next(_elements(inflate(body)))
         if kind == MATRIX:
-            name, value = _array(body)
-            out[name] = value
-    return out
+            tally["kept"] = tally.get("kept", 0) + 1
+            yield _array(body)
+        file.seek(at)
+
+
+def decode(data: bytes, wanted: Collection[str] | None = None) -> dict:
+    """The variables of a file by name."""
+    return dict(variables(io.BytesIO(data), wanted))
 
 
 SCHEMA = """perfil string, ens int, vb_depth double, bt_beams array<double>, khz double, bt_depth double, utm_e double, utm_n double, lat double, lon double,
@@ -75,40 +114,66 @@ def _column(tree: dict, path: str, n: int, default: float = np.nan) -> np.ndarra
     return flat if len(flat) == n else np.full(n, flat[0])
 
 
-def _rows(path: str, content: bytes) -> tuple[int, dict]:
-    stem = path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+#: Where a column stands (group and field), its place in the pair for two-column fields, and what a missing field means.
+COLUMNS = {
+    "vb_depth": ("BottomTrack.VB_Depth", np.nan), "khz": ("BottomTrack.BT_Frequency", 3000.0), "bt_depth": ("BottomTrack.BT_Depth", np.nan),
+    "lat": ("GPS.Latitude", np.nan), "lon": ("GPS.Longitude", np.nan), "heading": ("System.True_North_ADP_Heading", np.nan), "time": ("System.Time", np.nan),
+    "step": ("System.Step", 3.0), "pitch": ("Compass.Pitch", 0.0), "roll": ("Compass.Roll", 0.0), "total_q": ("Summary.Total_Q", np.nan),
+}
+PAIRS = {"utm_e": ("GPS", "UTM", 0), "utm_n": ("GPS", "UTM", 1), "mean_ve": ("Summary", "Mean_Vel", 0), "mean_vn": ("Summary", "Mean_Vel", 1)}
+KINDS_OF = {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), "array<double>": pa.list_(pa.float64())}
+
+
+def group_of(column: str) -> str | None:
+    """The variable that a column of SCHEMA is read from; None: from none."""
+    if column == "bt_beams":
+        return "BottomTrack"
+    return PAIRS[column][0] if column in PAIRS else COLUMNS[column][0].split(".")[0] if column in COLUMNS else None
+
+
+def schema_of(groups: Collection[str] | None = None) -> list[tuple[str, str]]:
+    """(column, type) of SCHEMA, or of what the given variables hold."""
+    pairs = [tuple(f.split()) for f in SCHEMA.replace("\n", " ").split(",")]
+    return [(c, k) for c, k in pairs if groups is None or group_of(c) is None or group_of(c) in groups]
+
+
+def _rows(stem: str, file: BinaryIO, columns: list[tuple[str, str]], tally: dict | None = None) -> pa.RecordBatch:
+    """The ensembles of a file; one row with the error if it can't be decoded."""
+    groups = {g for c, _ in columns if (g := group_of(c))}
     try:
-        tree = decode(content)
-        beams = np.asarray(tree["BottomTrack"]["BT_Beam_Depth"], float).reshape(-1, 4)
-        n = len(beams)
-        pairs = {k: np.asarray(tree[g][f], float).reshape(n, 2) for k, g, f in (("utm", "GPS", "UTM"), ("vel", "Summary", "Mean_Vel"))}
+        tree = dict(variables(file, groups, tally))
+        pair = {c: np.asarray(tree[g][f], float).reshape(-1, 2)[:, k] for c, (g, f, k) in PAIRS.items() if g in groups and f in tree.get(g, {})}
+        if "BottomTrack" in groups:
+            beams = np.asarray(tree["BottomTrack"]["BT_Beam_Depth"], float).reshape(-1, 4)
+            n = len(beams)
+        else:  # without the beams: as many as the longest field
+            beams = None
+            n = max([len(v) for v in pair.values()] + [np.size(tree[g][f]) for g, f in (p.split(".") for p, _ in COLUMNS.values()) if g in tree and f in tree[g]])
+        out = {c: v if len(v) == n else np.full(n, np.nan) for c, v in pair.items()}
+        out |= {c: _column(tree, p, n, d) for c, (p, d) in COLUMNS.items() if p.split(".")[0] in groups}
+        out |= {"perfil": [stem] * n, "ens": list(range(n))} | ({"bt_beams": beams.tolist()} if beams is not None else {})
     except Exception as problem:  # a bad file is a row that says so
-        return 1, {"perfil": [stem], "error": [str(problem)[:200]]}
-    simple = {
-        "vb_depth": ("BottomTrack.VB_Depth", np.nan), "khz": ("BottomTrack.BT_Frequency", 3000.0), "bt_depth": ("BottomTrack.BT_Depth", np.nan),
-        "lat": ("GPS.Latitude", np.nan), "lon": ("GPS.Longitude", np.nan), "heading": ("System.True_North_ADP_Heading", np.nan), "time": ("System.Time", np.nan),
-        "step": ("System.Step", 3.0), "pitch": ("Compass.Pitch", 0.0), "roll": ("Compass.Roll", 0.0), "total_q": ("Summary.Total_Q", np.nan),
-    }
-    out = {"perfil": [stem] * n, "ens": list(range(n)), "bt_beams": beams.tolist()} | {k: _column(tree, p, n, d) for k, (p, d) in simple.items()}
-    out |= {"utm_e": pairs["utm"][:, 0], "utm_n": pairs["utm"][:, 1], "mean_ve": pairs["vel"][:, 0], "mean_vn": pairs["vel"][:, 1]}
-    return n, out
+        n, out = 1, {"perfil": [stem], "error": [str(problem)[:200]]}
+    arrays = [pa.array(out[c], KINDS_OF[k], from_pandas=True) if c in out else pa.nulls(n, KINDS_OF[k]) for c, k in columns]
+    return pa.RecordBatch.from_arrays(arrays, names=[c for c, _ in columns])
 
 
-def read_transects(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """A row per ensemble of every file; a file that can't be decoded gives one row with the error. NaN becomes null."""
-    from pyspark.sql import functions as F
+def read_transects(spark: SparkSession, paths: str | list[str], groups: Collection[str] | None = None) -> DataFrame:
+    """A row per ensemble of every file; a file that can't be decoded gives one row with the error. NaN becomes null.
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.mat").load(paths).select("path", "content").dropDuplicates(["path"])
-    pairs = [f.split() for f in SCHEMA.replace("\n", " ").split(",")]
-    kinds = {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), "array<double>": pa.list_(pa.float64())}
+    ``groups`` names the variables to inflate; columns of others are left out. A file that
+    several of ``paths`` lead to is read once: paths are compared before any content is read.
+    """
+    given = spark.read.format("binaryFile").option("pathGlobFilter", "*.mat")
+    files = given.load(paths)
+    if not isinstance(paths, str) and len(paths) > 1:
+        listed = [r.path for r in files.select("path").distinct().orderBy("path").collect()]
+        files = given.load(listed) if listed else files
+    columns = schema_of(groups)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                n, out = _rows(path, content)
-                columns = [pa.array(out.get(name, [None] * n), kinds[kind]) for name, kind in pairs]
-                yield pa.RecordBatch.from_arrays(columns, names=[name for name, _ in pairs])
+                yield _rows(path.rsplit("/", 1)[-1].rsplit(".", 1)[0], io.BytesIO(content), columns)
 
-    rows = files.mapInArrow(run, SCHEMA)
-    floats = [f.name for f in rows.schema if f.dataType.simpleString() == "double"]
-    return rows.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
+    return files.select("path", "content").mapInArrow(run, ", ".join(f"{c} {k}" for c, k in columns))

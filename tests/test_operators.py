@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fathom.functions import angles
 from fathom.functions.text import folded_name, parsed_time, stem_time
-from fathom.operators import aggregates, grouping, joins, network, sequence, surface, survey
+from fathom.operators import aggregates, grouping, joins, network, reference, sequence, surface, survey
 
 
 def one(spark, expression):
@@ -159,8 +159,6 @@ def test_surface_inside_and_outside(spark):
     assert got[("q", 99.0)] == (1.0, "extrap", True)
     # two gauges 1.7 m apart say nothing about the slope
     assert got[("g", 100.0)] == (round(2.41 - 0.0009 * 98.3, 4), "extrap", True)
-    solved = surface.solve_junctions(anchors, [("J", [("p", 1200.0)])])
-    assert solved.filter("path = 'p' and p = 1200").first().h == pytest.approx(8.96)
     assert surface.resolved(out.withColumn("id", F.lit(1)), ["id"]).first().source in ("survey", "bridge")
 
 
@@ -220,15 +218,49 @@ def test_sections_are_located(spark):
     assert got == [(1, "a", 40.0, 20.0, "crossing"), (2, "a", 80.0, 24.0, "nearest")]
 
 
-def test_nearest_by_cells_is_the_nearest(spark, monkeypatch):
+def test_nearest_by_cells_is_the_nearest(spark):
     rng = random.Random(2)
     lines = [(f"l{k}", i, rng.uniform(0, 5000), rng.uniform(0, 5000)) for k in range(6) for i in range(4)]
     segments = joins.segments_of(spark.createDataFrame(lines, "line string, seq int, x double, y double"), ["line"], "seq")
     segments = segments.withColumn("order", F.substring("line", 2, 1).cast("int"))
-    points = spark.createDataFrame([(i, rng.uniform(-2000, 7000), rng.uniform(0, 5000)) for i in range(40)], "id int, x double, y double")
-    whole = sorted(map(tuple, joins.nearest_segments(points, ["id"], segments, "line", "order", 2).collect()))
-    monkeypatch.setattr(joins, "BROADCAST_SEGMENTS", 0)
-    assert sorted(map(tuple, joins.nearest_segments(points, ["id"], segments, "line", "order", 2, 800.0).collect())) == whole
+    places = [(i, rng.uniform(-2000, 7000), rng.uniform(0, 5000), f"l{i % 8}") for i in range(40)] + [(40, None, 1.0, "l0"), (41, math.nan, 1.0, "l0")]
+    points = spark.createDataFrame(places, "id int, x double, y double, line string")
+
+    def distance(x, y, line):
+        own = [(a[2:], b[2:]) for a, b in zip(lines, lines[1:]) if a[0] == b[0] == line]
+        out = []
+        for (ax, ay), (bx, by) in own:
+            t = max(0, min(1, ((x - ax) * (bx - ax) + (y - ay) * (by - ay)) / ((bx - ax) ** 2 + (by - ay) ** 2)))
+            out.append(math.hypot(x - ax - t * (bx - ax), y - ay - t * (by - ay)))
+        return min(out)
+
+    for cell in (20.0, 250.0, 9000.0):
+        got = {(r.id, r["rank"]): (r.line, round(r.distance, 6)) for r in joins.nearest_segments(points.drop("line"), ["id"], segments, "line", "order", 2, cell).collect()}
+        want = {}
+        for i, x, y, _ in places[:40]:
+            for k, (d, line) in enumerate(sorted((distance(x, y, f"l{k}"), f"l{k}") for k in range(6))[:2], 1):
+                want[i, k] = (line, round(d, 6))
+        assert got == want
+        own = {r.id: round(r.distance, 6) for r in joins.nearest_segments(points, ["id"], segments, "line", "order", 1, cell, own=True).collect()}
+        assert own == {i: round(distance(x, y, line), 6) for i, x, y, line in places[:40] if line < "l6"}
+    assert joins.nearest_segments(points.drop("line"), ["id"], segments.limit(0), "line", "order").count() == 0
+
+
+def test_long_lines_meet_points_in_cells(spark):
+    """Of a line of 100,000 segments a point meets those of its cells; a long slanted segment lies in as many cells as it is long."""
+    n = 100_000
+    vertices = spark.range(n + 1).select(F.lit("a").alias("line"), F.col("id").alias("seq"), (F.col("id") * 10.0).alias("x"), (F.sin(F.col("id") / 50) * 200).alias("y"))
+    segments = joins.segments_of(vertices, ["line"], "seq")
+    points = spark.range(2000).select("id", F.lit("a").alias("line"), (F.col("id") * 499.0 + 3).alias("x"), F.lit(80.0).alias("y"))
+    cells = joins.cells_along(segments, 250.0)
+    assert cells.groupBy("cx", "cy").count().agg(F.max("count")).first()[0] < 100 and cells.count() < 1.2 * n
+    got = reference.on_declared(points, ["id"], segments, "line")
+    assert got.count() == 2000 and got.agg(F.max("distance")).first()[0] < 250
+    one = spark.createDataFrame([("a", 0.0, 0.0, 100_000.0, 70_000.0)], "line string, x0 double, y0 double, x1 double, y1 double")
+    listed = joins.cells_along(one, 250.0)
+    assert 400 < listed.count() < 700
+    through = {(int(t * 100_000 // 250), int(t * 70_000 // 250)) for t in (k / 99_991 for k in range(99_991))}
+    assert through <= {(r.cx, r.cy) for r in listed.collect()}
 
 
 def test_one_key_of_many_rows(spark):
