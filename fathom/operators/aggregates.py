@@ -218,3 +218,31 @@ def null_share_gate(df: DataFrame, keys: Sequence[str], bad: Column, at_most: fl
     """The rows of the groups in which at most ``at_most`` of the rows are bad."""
     kept = df.groupBy(*keys).agg(F.avg(bad.cast("double")).alias("share")).filter(F.col("share") <= at_most)
     return df.join(kept.select(*keys), list(keys), "left_semi")
+
+
+def resampled(profiles: DataFrame, keys: Sequence[str], rep: str, s: str, value: str, nodes: DataFrame, out: str = "resampled") -> DataFrame:
+    """Every repetition's ``value`` at the ``nodes`` (``keys``, ``s``) of its group's merged profile: nodes, ``rep`` and ``out``.
+
+    Linear between a repetition's own places and never beyond them; equal places are
+    averaged. A repetition with fewer than two places has no row.
+    """
+    from fathom.operators import sequence
+
+    known = profiles.withColumns({s: F.col(s).cast("double"), value: finite(F.col(value))}).filter(F.col(value).isNotNull() & F.col(s).isNotNull())
+    reach = known.groupBy(*keys, rep).agg(F.min(s).alias("__lo"), F.max(s).alias("__hi"))
+    inside = (F.col("__lo") < F.col("__hi")) & F.col(s).between(F.col("__lo"), F.col("__hi"))
+    asked = nodes.withColumn(s, F.col(s).cast("double")).join(reach, list(keys)).filter(inside).drop("__lo", "__hi")
+    return sequence.asof_interpolate(asked, known, [*keys, rep], s, value, out)
+
+
+def node_spread(rows: DataFrame, keys: Sequence[str], node: str, rep: str, value: str, repetitions: DataFrame) -> DataFrame:
+    """Per node of resampled rows: n, sigma (population) and ``common``: all of the group's ``repetitions`` (keys, rep) reach it."""
+    every = repetitions.groupBy(*keys).agg(F.count_distinct(rep).alias("__n"))
+    per = rows.groupBy(*keys, node).agg(F.count(value).alias("n"), F.stddev_pop(value).alias("sigma"))
+    return per.join(every, list(keys)).select(*keys, node, "n", "sigma", (F.col("n") == F.col("__n")).alias("common"))
+
+
+def repetition_misfit(rows: DataFrame, keys: Sequence[str], rep: str, value: str, merged: str) -> DataFrame:
+    """Root mean square of each repetition's resampled values against the merged profile's, over the nodes that it reaches."""
+    square = F.pow(F.col(value) - F.col(merged), 2)
+    return rows.groupBy(*keys, rep).agg(F.count(value).alias("n"), F.sqrt(F.avg(square)).alias("rms"))
