@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fathom.functions.materialise import cut
 from fathom.operators.joins import cells_along, foot
 
 
@@ -28,28 +29,37 @@ def links(segments: DataFrame, snap: float = 2.0, cell: float = 250.0) -> DataFr
     return one.filter("n = 1").select("river", "down", "s_join")
 
 
-def paths(rivers: DataFrame, river_links: DataFrame, snap: float = 2.0, max_depth: int = 50) -> DataFrame:
-    """Parts of all head-to-outlet paths: (head, k, river, s0, s1, p0), by a recursive query.
+def paths(rivers: DataFrame, river_links: DataFrame, snap: float = 2.0) -> DataFrame:
+    """Parts of all head-to-outlet paths: (head, k, river, s0, s1, p0), of whatever depth.
 
     ``rivers`` has river and length. Heads are rivers that no other flows into at their
-    start. Along a path chainage p goes on: p0 at the part's s0.
+    start. Along a path chainage p goes on: p0 at the part's s0. A path that comes back to
+    one of its rivers ends before it. Every round doubles the parts that are known of each
+    path: those up to step n give, with the river n steps down from each, the next n.
     """
-    spark = rivers.sparkSession
-    rivers.createOrReplaceTempView("__rivers")
-    river_links.createOrReplaceTempView("__links")
-    return spark.sql(f"""
-        WITH RECURSIVE walk MAX RECURSION LEVEL {max_depth} AS (
-          SELECT r.river AS head, 0 AS k, r.river, CAST(0 AS DOUBLE) AS s0, CAST(r.length AS DOUBLE) AS s1,
-                 CAST(0 AS DOUBLE) AS p0, array(r.river) AS seen
-          FROM __rivers r LEFT ANTI JOIN __links l ON l.down = r.river AND l.s_join <= {snap}
-          UNION ALL
-          SELECT w.head, w.k + 1, l.down, CAST(l.s_join AS DOUBLE), CAST(r.length AS DOUBLE), w.p0 + w.s1 - w.s0,
-                 array_append(w.seen, l.down)
-          FROM walk w JOIN __links l ON l.river = w.river JOIN __rivers r ON r.river = l.down
-          WHERE NOT array_contains(w.seen, l.down)
-        )
-        SELECT head, k, river, s0, s1, p0 FROM walk
-    """)
+    down = river_links.select("river", "down", F.col("s_join").cast("double").alias("s_join"))
+    into = down.filter(F.col("s_join") <= snap).select(F.col("down").alias("river")).distinct()
+    heads = rivers.select("river").distinct().join(into, "river", "left_anti")
+    known = rivers.select("river").distinct()
+    jump = cut(down.join(known.withColumnRenamed("river", "down"), "down", "left_semi").select("river", F.col("down").alias("to")))
+    walk = cut(heads.select(F.col("river").alias("head"), F.lit(0).cast("long").alias("k"), "river"))
+    step, n = 1, walk.count()
+    while True:
+        ahead = walk.join(jump, "river").select("head", (F.col("k") + step).alias("k"), F.col("to").alias("river"))
+        both = walk.unionByName(ahead).groupBy("head", "river").agg(F.min("k").alias("k"))
+        walk = cut(both.select("head", "k", "river"))
+        if (more := walk.count()) == n:
+            break
+        n, step = more, step * 2
+        far = jump.select(F.col("river").alias("to"), F.col("to").alias("beyond"))
+        jump = cut(jump.join(far, "to").select("river", F.col("beyond").alias("to")))
+    along = Window.partitionBy("head").orderBy("k")
+    leaves = down.select("river", F.col("s_join").alias("__out"))
+    rows = walk.join(rivers.select("river", F.col("length").cast("double").alias("s1")), "river").join(leaves, "river", "left")
+    rows = rows.withColumn("s0", F.when(F.col("k") == 0, F.lit(0.0)).otherwise(F.lag("__out").over(along)))
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    p0 = F.coalesce(F.sum(F.col("s1") - F.col("s0")).over(before), F.lit(0.0))
+    return rows.withColumn("p0", p0).select("head", F.col("k").cast("int").alias("k"), "river", "s0", "s1", "p0")
 
 
 def junctions(river_links: DataFrame, parts: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fathom.functions import crs
-from fathom.operators import axes, joins, junctions, prescan
+from fathom.operators import axes, joins, junctions, network, prescan
 from fathom.sources import mat5, transects
 from tests.test_sources import array, element
 
@@ -386,3 +386,26 @@ def test_file_conditions_skip_files(spark, tmp_path):
     reader = transects.TransectReader(str(tmp_path), mat5.schema_of({"GPS"}))
     kept = list(reader.pushFilters([transects.In(("perfil",), ("a", "c")), transects.EqualTo(("lat",), 1.0), transects.EqualTo(("perfil",), "c")]))
     assert [f.attribute for f in kept] == [("lat",)] and [p.rsplit("/", 1)[-1] for f in reader.partitions() for p in f.paths] == ["c.mat"]
+
+
+def test_paths_of_any_depth(spark):
+    """A chain of 5,000 rivers, a tree, a river without a length and a ring: every head's path to its end."""
+    n = 5000
+    length = {f"c{i}": 10.0 + i % 7 for i in range(n)} | {"a": 5.0, "b": 6.0, "c": 20.0, "d": 30.0, "x": 9.0, "y": 9.0, "z": 9.0}
+    links = {f"c{i}": (f"c{i + 1}", float(i % 3)) for i in range(n - 1)} | {"a": ("c", 7.0), "b": ("c", 0.0), "c": ("d", 12.5), "d": ("gone", 1.0), "z": ("x", 4.0), "x": ("y", 3.0), "y": ("x", 5.0)}
+    rivers = spark.createDataFrame(list(length.items()), "river string, length double")
+    down = spark.createDataFrame([(r, d, s) for r, (d, s) in links.items()], "river string, down string, s_join double")
+    got = defaultdict(list)
+    for r in network.paths(rivers, down).orderBy("head", "k").collect():
+        assert r.k == len(got[r["head"]])
+        got[r["head"]].append((r.river, r.s0, r.s1, r.p0))
+    taken = {d for d, s in links.values() if s <= 2.0}
+    assert set(got) == {r for r in length if r not in taken}
+    for head in ["c0", "a", "b", "z", *[h for h in got if h[0] == "c"][:3]]:
+        river, s0, p0, want = head, 0.0, 0.0, []
+        while river in length and river not in [w[0] for w in want[-3:]]:
+            want.append((river, s0, length[river], p0))
+            p0 += length[river] - s0
+            river, s0 = links.get(river, (None, 0.0))
+        assert [w[0] for w in got[head]] == [w[0] for w in want]
+        assert all(a[1:3] == b[1:3] and a[3] == pytest.approx(b[3]) for a, b in zip(got[head], want))
