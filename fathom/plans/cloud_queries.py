@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fathom.operators import aggregates, axes
-from fathom.plans.registry import fixed_all, query, r, table
+from fathom.operators import aggregates, axes, blocks, sequence
+from fathom.plans.registry import SQL, fixed, fixed_all, query, r, table
+from fathom.plans.sequence_queries import events
 from fathom.sources import clouds
 
 RESAMPLED = """rep AS (SELECT l_suppkey, l_linenumber AS rep, l_extendedprice AS s, avg(l_quantity) AS v FROM lineitem GROUP BY ALL),
@@ -70,3 +71,11 @@ def merged_axes(spark, sf_dir):
     ends = places.groupBy("river", "line").agg(F.min_by("x", "seq").alias("x_first"), F.max_by("x", "seq").alias("x_last"))
     out = lines.join(ends, ["river", "line"]).withColumnRenamed("river", "o_custkey")
     return fixed_all(out.select("o_custkey", "n_parts", "length", "line", "x_first", "x_last"), "length", digits=3)
+
+
+@query(SQL["running_iqr"])
+def block_iqr(spark, sf_dir):
+    """The running interquartile range of users' events, in blocks of 2,000 events with a halo of 10."""
+    running = lambda rows, keys, order: sequence.running_iqr(rows, keys, order, "value")
+    out = blocks.in_blocks(events(spark, sf_dir), ["user_id"], ["event_id"], 10, running, size=2000)
+    return out.select("event_id", "user_id", fixed("iqr").alias("iqr"))

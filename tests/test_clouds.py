@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fathom.operators import aggregates
+from fathom.operators import aggregates, blocks, sequence
 from fathom.sources import clouds
 
 
@@ -87,3 +87,25 @@ def test_written_tables_read_back(spark, tmp_path):
     clouds.surface_table(points).coalesce(1).write.option("header", True).csv(str(tmp_path / "qc"))
     (part,) = (tmp_path / "qc").glob("*.csv")
     assert next(csv.reader(part.open())) == list(clouds.QC_COLUMNS)
+
+
+def test_blocks_of_one_long_key_equal_the_window(spark):
+    """One key has nine tenths of all rows; no block sees more than its own rows and two halos."""
+    rows = spark.range(120_000).select(
+        F.when(F.col("id") % 10 > 0, 1).otherwise(F.col("id") % 70).alias("k"), F.col("id").alias("i"), F.when(F.col("id") % 13 > 0, (F.hash("id") % 1000).cast("double")).alias("v")
+    )
+    seen = []
+
+    def iqr(d, keys, order):
+        seen.append(d.groupBy("__block").count().agg(F.max("count")).first()[0])
+        return sequence.running_iqr(d, keys, order, "v")
+
+    median = lambda d, keys, order: sequence.running_median(d, keys, order, "v")
+    for apply, whole, out in ((iqr, sequence.running_iqr(rows, ["k"], ["i"], "v"), "iqr"), (median, sequence.running_median(rows, ["k"], ["i"], "v"), "smooth")):
+        got = blocks.in_blocks(rows, ["k"], ["i"], 10, apply, size=7000)
+        assert got.columns == whole.columns and got.count() == 120_000
+        met = got.select("k", "i", F.col(out).alias("a")).join(whole.select("k", "i", F.col(out).alias("b")), ["k", "i"])
+        assert met.filter("a <=> b").count() == 120_000
+    assert seen[0] <= 7020
+    with pytest.raises(ValueError):
+        blocks.in_blocks(rows, ["k"], ["i"], 10, iqr, size=5)
