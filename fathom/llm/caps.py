@@ -9,7 +9,8 @@ its best ones all the same. Vectors that share a filter are compared. The code g
 the corpus, so a filter holds about the same number of vectors at any size. How many
 filters a vector needs follows from pairs drawn at just the least cosine: as many as let
 all but a few of them share one; the threshold then follows from the code's own
-products. A pair is counted only in the first filter that it shares.
+products. Where no number of filters does, as for narrow vectors, the code is as large
+as one does for. A pair is counted only in the first filter that it shares.
 """
 
 from __future__ import annotations
@@ -119,34 +120,48 @@ def _threshold(code: ProductCode, units: np.ndarray, per_vector: float) -> float
 
 
 @lru_cache(maxsize=64)
-def threshold_for(width: int, directions: int, least: float) -> float:
-    """The threshold for the fewest filters with which all but MISSED of the pairs at cosine ``least`` share one."""
-    code = ProductCode(width, directions)
+def code_for(width: int, directions: int, least: float) -> tuple[int, float]:
+    """(directions, threshold) of the largest code, of ``directions`` at most, that finds all but MISSED of the pairs at cosine ``least``.
+
+    It gets the fewest filters a vector with which those pairs share one. Narrow vectors stand
+    so close together that the small caps of a large code part too many pairs, however many
+    a vector has: codes are tried from one direction, whose only filter all share, upwards.
+    """
+    best = 1, -math.inf
+    if width == 1:
+        return best
     units, _ = pairs_at(least, width, 200, 1)
     x, y = pairs_at(least, width, PROBES, 2)
-    for per_vector in FILTERS_PER_VECTOR:
-        code.threshold = _threshold(code, units, min(per_vector, directions**2 / 2))
-        if shared(code, x, y) >= 1 - MISSED:
-            break
-    return code.threshold
+    for n in sorted({directions >> k for k in range(directions.bit_length())} - {0, 1}):
+        code = ProductCode(width, n)
+        for per_vector in FILTERS_PER_VECTOR:
+            if per_vector > n**2 / 2 and per_vector > FILTERS_PER_VECTOR[0]:
+                return best
+            code.threshold = _threshold(code, units, min(per_vector, n**2 / 2))
+            if shared(code, x, y) >= 1 - MISSED:
+                best = n, code.threshold
+                break
+        else:
+            return best
+    return best
 
 
 @dataclass
 class Filters:
-    """The product codes of a corpus, one for each length of vectors, by (directions, thresholds)."""
+    """The product codes of a corpus, one for each length of vectors, by its directions and threshold."""
 
-    directions: int
-    thresholds: dict[int, float]
+    known: dict[int, tuple[int, float]]
 
     def __post_init__(self):
         self.codes: dict[int, ProductCode] = {}
 
     def of(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         width = x.shape[1]
+        directions, threshold = self.known[width]
         if width not in self.codes:
-            self.codes[width] = ProductCode(width, self.directions, self.thresholds[width])
+            self.codes[width] = ProductCode(width, directions, threshold)
         rows, filters = [], []
-        step = min(2000, max(1, 20_000_000 // max(1600, self.directions * 4)))
+        step = min(2000, max(1, 20_000_000 // max(1600, directions * 4)))
         for s in range(0, len(x), step):
             r, f = self.codes[width].decode(_units(x[s : s + step]))
             rows.append(r + s)
@@ -205,7 +220,8 @@ def near_duplicates(
     Null embeddings, zero vectors and those that hold null or non-finite components
     link with nothing, nor do null vec_ids, which are kept; vectors of different lengths
     do not link. Equal vectors are compared once and count as often as they stand there.
-    Rows that repeat a vec_id are one vertex in the components. Other columns are not
+    Rows that repeat a vec_id are one vertex in the components; where their vectors differ,
+    n_links of each counts the links of all. Other columns are not
     read; an empty table gives an empty result.
     """
     kind = float_kind(vectors)
@@ -213,13 +229,13 @@ def near_duplicates(
     real = rows.filter("vector is not null and vec_id is not null")
     groups = cut(real.groupBy("vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")))
     copied = cut(groups.filter("copies > 1").select("vector", "node", "copies"))
-    directions = max(8, math.ceil(math.sqrt(groups.count() * FILTERS_PER_VECTOR[1] / per_filter)))
     size = np.dtype(kind).itemsize
-    widths = [r.width for r in groups.select((F.octet_length("vector") / size).cast("int").alias("width")).distinct().collect()]
-    thresholds = {w: threshold_for(w, directions, least) for w in widths}
+    widths = groups.groupBy((F.octet_length("vector") / size).cast("int").alias("width")).count().collect()
+    fitting = lambda n: max(8, math.ceil(math.sqrt(n * FILTERS_PER_VECTOR[1] / per_filter)))
+    codes = {r["width"]: code_for(r["width"], fitting(r["count"]), least) for r in widths}
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = Filters(directions, thresholds)
+        filters = Filters(codes)
         for batch in batches:
             raw = batch.column(0).to_pylist()
             width = np.array([len(v) // size for v in raw], np.int64)
@@ -260,7 +276,7 @@ def near_duplicates(
     dealt = dealt.repartition(*keys).sortWithinPartitions(*keys, "node")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = Filters(directions, thresholds)
+        filters = Filters(codes)
         held: list[pa.RecordBatch] = []
         kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
