@@ -26,10 +26,33 @@ SHARD_ROWS, BLOCK_ROWS, GROUP_QUERIES = 8192, 256, 2048
 
 
 def as_integers(column: list[bytes], kind: str, scale: int) -> np.ndarray:
-    x = np.floor(np.frombuffer(b"".join(column), kind).reshape(len(column), -1).astype(np.float64) * scale)
-    if len(x) and np.abs(x).max() >= 2**31:
-        raise ValueError("a component is too large for integer scores")
-    return x
+    """floor(scale * x) of every component: as doubles where they hold it exactly, else as Python's integers."""
+    x = np.frombuffer(b"".join(column), kind).reshape(len(column), -1).astype(np.float64)
+    if not x.size or np.abs(x).max() < 2**53 / scale:
+        return np.floor(x * scale)
+    # a double from 2**53 on is an integer; others are small enough for the product
+    return np.array([[int(v) * scale if abs(v) >= 2**53 else math.floor(v * scale) for v in row] for row in x.tolist()], object)
+
+
+def by_size(x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(rows, vectors) of those whose scores with each other are exact in doubles, and of the larger ones."""
+    top = np.abs(x).max(axis=1, initial=0)
+    plain = np.asarray(top * top * x.shape[1] < 2**53, bool)
+    parts = ((np.flatnonzero(plain), x[plain].astype(np.float64)), (np.flatnonzero(~plain), x[~plain]))
+    return [p for p in parts if len(p[0])]
+
+
+def _exact(x: np.ndarray, top: int) -> np.ndarray:
+    """``x`` in a type whose sums of products up to ``top`` are exact."""
+    if top < 2**53:
+        return x
+    whole = x if x.dtype == object else np.array([[int(v) for v in row] for row in x.tolist()], object).reshape(x.shape)
+    return whole.astype(np.int64) if top < 2**62 and (not whole.size or np.abs(whole).max() < 2**62) else whole
+
+
+def _as_long(x: np.ndarray) -> np.ndarray:
+    """Scores and bounds beyond 64 bits count as the nearest long."""
+    return np.clip(x, -(2**63), 2**63 - 1).astype(np.int64) if x.dtype == object else x
 
 
 def best_of_shard(
@@ -39,27 +62,25 @@ def best_of_shard(
     starts = range(0, len(ids), block)
     high = np.stack([vectors[s : s + block].max(axis=0) for s in starts])
     low = np.stack([vectors[s : s + block].min(axis=0) for s in starts])
-    # sums of products of integers below 2**53 are exact in doubles
-    exact = np.abs(queries).max(initial=0) * np.abs(vectors).max(initial=0) * vectors.shape[1] < 2**53
-    if not exact:
-        queries, vectors, high, low = (x.astype(np.int64) for x in (queries, vectors, high, low))
-    bounds = np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
-    order = np.argsort(-bounds, axis=1, kind="stable")
+    top = int(np.abs(queries).max(initial=0)) * int(np.abs(vectors).max(initial=0)) * vectors.shape[1]
+    queries, vectors, high, low = (_exact(x, top) for x in (queries, vectors, high, low))
+    bounds = _as_long(np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T)
+    order = np.argsort(bounds, axis=1, kind="stable")[:, ::-1]
     out = []
     for q in range(len(query_ids)):
-        scores, found, least = np.zeros(0, vectors.dtype), np.zeros(0, np.int64), None
+        scores, found, least = np.zeros(0, bounds.dtype), np.zeros(0, np.int64), None
         for b in order[q].tolist():
             if least is not None and bounds[q, b] < least:
                 break
             own = ids[b * block : (b + 1) * block]
-            got = vectors[b * block : (b + 1) * block] @ queries[q]
+            got = _as_long(vectors[b * block : (b + 1) * block] @ queries[q])
             keep = own != query_ids[q]
             if least is not None:
                 keep &= got >= least
             if not keep.any():
                 continue
             scores, found = np.append(scores, got[keep]), np.append(found, own[keep])
-            top = np.lexsort((found, -scores))[:k]
+            top = np.lexsort((-found, scores))[::-1][:k]
             scores, found = scores[top], found[top]
             least = scores[-1] if len(top) == k else None
         out += [(int(query_ids[q]), int(v), int(s)) for v, s in zip(found, scores)]
@@ -73,7 +94,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256) ->
     divisible by ``every``; the score is the inner product. Returns query_id, rank (from
     1), vec_id, score; ties go to the smaller vec_id. Null embeddings, and those that
     hold null or non-finite components, take no part, nor do null vec_ids; vectors of
-    different lengths do not meet. Rows with the query's vec_id count as its own and are
+    different lengths do not meet. Finite components of any size take part and scores are
+    exact; those beyond 64 bits count as the nearest long, in the ranking too. Rows with the query's vec_id count as its own and are
     left out; of other rows that repeat a vec_id each counts. Other columns are not
     read; an empty table, or one without queries, gives an empty result.
     """
@@ -93,14 +115,13 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256) ->
         left = left.sort_values("vec_id", kind="stable")
         for width, wanted in right.groupby("width"):
             held = left[left.width == width]
-            if len(held):
-                out += best_of_shard(
-                    wanted.vec_id.to_numpy(),
-                    as_integers(wanted.vector.tolist(), kind, scale),
-                    held.vec_id.to_numpy(),
-                    as_integers(held.vector.tolist(), kind, scale),
-                    k,
-                )
+            if not len(held):
+                continue
+            asking, ids = wanted.vec_id.to_numpy(), held.vec_id.to_numpy()
+            mine = by_size(as_integers(held.vector.tolist(), kind, scale))
+            for at, queries in by_size(as_integers(wanted.vector.tolist(), kind, scale)):
+                for own, vectors in mine:
+                    out += best_of_shard(asking[at], queries, ids[own], vectors, k)
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     found = docs.groupBy("shard", "group").cogroup(asked.groupBy("shard", "group"))
