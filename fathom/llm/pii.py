@@ -49,7 +49,16 @@ KINDS = tuple(PLAIN)
 BROADCAST_ROWS = 500_000
 #: Code points of a chunk, at least, unless the text ends; it ends before a word or after a mark that is in no match.
 CHUNK = 500
-CHUNKS = rf"(?s).{{{CHUNK}}}.*?(?:(?<=\x20)(?=[A-Za-z])|(?<=[\n\r\t,;:!?\"'<>/\\|\[\]{{}}=*&#$^~`])|\z)|.+\z"
+#: Code points of the pieces that a longer text is cut into before its chunks.
+LARGE = 100_000
+
+
+def _cuts(least: int) -> str:
+    """The pattern of chunks of ``least`` code points or more."""
+    return rf"(?s).{{{least}}}.*?(?:(?<=\x20)(?=[A-Za-z])|(?<=[\n\r\t,;:!?\"'<>/\\|\[\]{{}}=*&#$^~`])|\z)|.+\z"
+
+
+CHUNKS = _cuts(CHUNK)
 
 SPAN = "struct<kind: string, start: bigint, end: bigint, value: string>"
 
@@ -101,14 +110,25 @@ def _apart(terms: Column, spans: Column) -> Column:
 
 def _chunks(text: Column) -> Column:
     """``text`` as chunks: at (code points before it) and text."""
-    pieces = F.when(F.char_length(text) <= 2 * CHUNK, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(CHUNKS), F.lit(0)))
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<struct<at: bigint, text: string>>)").alias("found"))
 
-    def step(state: Column, x: Column) -> Column:
-        found = F.array_append(state["found"], F.struct(state["at"].alias("at"), x.alias("text")))
-        return F.struct((state["at"] + F.char_length(x)).alias("at"), found.alias("found"))
+    def of(at: Column, pieces: Column) -> Column:
+        zero = F.struct(at.alias("at"), F.expr("cast(array() as array<struct<at: bigint, text: string>>)").alias("found"))
 
-    return F.aggregate(pieces, zero, step, lambda s: s["found"])
+        def step(state: Column, x: Column) -> Column:
+            found = F.array_append(state["found"], F.struct(state["at"].alias("at"), x.alias("text")))
+            return F.struct((state["at"] + F.char_length(x)).alias("at"), found.alias("found"))
+
+        return F.aggregate(pieces, zero, step, lambda s: s["found"])
+
+    start = F.lit(0).cast("long")
+    parts = lambda t, pattern: F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
+    # an array grows by copying, so a long text is first cut into large pieces: none of the arrays gets long
+    large = F.transform(of(start, parts(text, _cuts(LARGE))), lambda p: of(p["at"], parts(p["text"], CHUNKS)))
+    return (
+        F.when(F.char_length(text) <= 2 * CHUNK, F.array(F.struct(start.alias("at"), text.alias("text"))))
+        .when(F.char_length(text) <= LARGE, of(start, parts(text, CHUNKS)))
+        .otherwise(F.flatten(large))
+    )
 
 
 def _of_kind(text: Column, kind: str, shift: Column | int = 0) -> Column:
