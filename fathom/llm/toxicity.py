@@ -41,6 +41,8 @@ BROADCAST_LABELS = 2_000_000
 STEM, GRAM, GRAM_STEM, LONG_GRAM, LONGEST = 4, 4, 2, 8, 40
 #: A passage is significant where a clean text holds such a one with chance 1/100 at most.
 SIGNIFICANT = math.log(100)
+#: Evidence of a text without any segment; a text that a clean one reaches has more.
+NO_EVIDENCE = -4.0
 
 #: Thai, Lao, Burmese, Khmer, kana and Han; symbols are added below.
 WITHOUT_SPACES = (
@@ -187,11 +189,16 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def evidence(model: Model, n_words: int, scores: list[float]) -> float:
-    """The best segment's significance, below zero if a clean text reaches it, and all others' above zero; damped."""
+    """The best segment's significance, below zero if a clean text reaches it, and all others' above zero; damped.
+
+    A text without any segment has NO_EVIDENCE, whatever its length, and no text has less.
+    """
+    if not scores:
+        return NO_EVIDENCE
     least = math.log(model.size * max(n_words, 1))
-    excess = sorted(model.rate * x - least for x in scores) or [-least]
+    excess = sorted(model.rate * x - least for x in scores)
     total = excess[-1] + sum(max(x, 0.0) for x in excess[:-1])
-    return math.copysign(math.log1p(abs(total)), total)
+    return max(NO_EVIDENCE, math.copysign(math.log1p(abs(total)), total))
 
 
 def known_labels(labels: DataFrame) -> DataFrame:
@@ -310,7 +317,7 @@ def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFra
     Returns doc_id, score (0 to 1), n_words (in scripts without spaces every character
     begins one) and passages: every significant passage as first word, end word (exclusive) and significance, the natural logarithm of one
     over the number of such passages expected in a clean text. Null and empty texts
-    have no passages and the lowest score. Rows may repeat; other columns are not
+    have no passages and the lowest score, as all texts without a segment. Rows may repeat; other columns are not
     read; an empty table gives an empty result.
     """
     known = docs.sparkSession.sparkContext.broadcast(model)

@@ -262,7 +262,8 @@ def test_caps_against_all_pairs(spark):
 def test_caps_find_pairs_whatever_the_corpus(corpus):
     """Pairs at cosines from 0.9 on share a filter of the code that a corpus of this size gets."""
     directions = math.ceil(math.sqrt(corpus * 48 / caps.VECTORS_PER_FILTER))
-    code = caps.ProductCode(64, directions, caps.threshold_for(64, directions, 0.9))
+    code = caps.ProductCode(64, *caps.code_for(64, directions, 0.9))
+    assert code.directions == directions
     for cosine in (0.9, 0.925, 0.95):
         assert caps.shared(code, *caps.pairs_at(cosine, 64, 1000, 3)) >= 0.99
     rows, _ = code.decode(caps.pairs_at(0.9, 64, 300, 4)[0])
@@ -387,3 +388,108 @@ def test_bpe_digests(spark, tiny):
         ids = other.encode_ordinary(texts[r.doc_id])
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+@pytest.mark.parametrize("width, corpus", [(w, n) for w in (1, 2, 3, 8, 16) for n in (50_000, 1_000_000)] + [(384, 50_000)])
+def test_caps_find_pairs_of_any_width(width, corpus):
+    """Narrow vectors get smaller codes, so that their pairs share filters too."""
+    directions = math.ceil(math.sqrt(corpus * 48 / caps.VECTORS_PER_FILTER))
+    code = caps.ProductCode(width, *caps.code_for(width, directions, 0.9))
+    for cosine in (0.9, 0.95) if width > 1 else (1.0,):
+        assert caps.shared(code, *caps.pairs_at(cosine, width, 1000, 3)) >= 0.99
+
+
+@pytest.mark.parametrize("width", [1, 2, 5, 8])
+def test_links_of_narrow_vectors_against_all_pairs(spark, width):
+    x = np.random.default_rng(width).standard_normal((1500, width))
+    ids = np.arange(1500) // 2 if width == 5 else np.arange(1500)  # repeated rows too
+    x = x[ids]
+    units = x / np.linalg.norm(x, axis=1, keepdims=True)
+    frame = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    rows = caps.near_duplicates(frame).collect()
+    close = units @ units.T >= 0.9
+    assert len(rows) == 1500 and sum(r.n_links for r in rows) >= 0.99 * (close.sum() - 1500)
+    want = sorted((int(i), int(n)) for i, n in zip(ids, close.sum(axis=1) - 1))
+    assert all(got[1] <= most[1] for got, most in zip(sorted((r.vec_id, r.n_links) for r in rows), want))
+
+
+def test_top_k_of_large_components(spark):
+    """Scores beyond doubles, and beyond 64 bits, against Python's integers."""
+    rng = np.random.default_rng(9)
+    x = [[float(v) for v in rng.integers(-9, 9, 3)] for _ in range(100)]
+    for i, size in ((0, 9e6), (7, 3e7), (50, 2.0**40), (60, 1e18), (61, -1e18), (99, 1e300)):
+        x[i] = [size, 1.5, -size / 3]
+    whole = [[math.floor(int(v) * 256 if abs(v) >= 2**53 else v * 256) for v in row] for row in x]
+    clamp = lambda s: max(-(2**63), min(2**63 - 1, s))
+    frame = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")
+    got = {}
+    for r in topk.top_k(frame, 5).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    for q in (0, 50):
+        scores = sorted(((-clamp(sum(a * b for a, b in zip(whole[q], v))), i) for i, v in enumerate(whole) if i != q))[:5]
+        assert got[q] == [(i, -s) for s, i in scores]
+
+
+def test_long_texts_in_chunks(spark):
+    """A text of 16 million characters: its chunks join to it, at the places that they say, in time that grows with it."""
+    from pyspark.sql import functions as F
+
+    unit = "Write to ann@example.org, or ring +1 (319) 555-5132; é日 card 4111 1111 1111 1111. "
+    text = unit * (16_000_000 // len(unit))
+    frame = spark.createDataFrame([(0, text), (1, unit), (2, ""), (3, unit * 30)], "doc_id long, text string")
+    chunks = frame.select("doc_id", F.inline(pii._chunks(F.col("text")))).orderBy("doc_id", "at").collect()
+    for i, whole in ((0, text), (1, unit), (2, ""), (3, unit * 30)):
+        own = [c for c in chunks if c.doc_id == i]
+        assert "".join(c.text for c in own) == whole
+        at = 0
+        for c in own:
+            assert c.at == at and (len(c.text) < pii.LARGE)
+            at += len(c.text)
+
+
+def test_evidence_is_least_without_segments():
+    for size in (1e-10, 0.0043, 1.0, 50.0):
+        model = toxicity.Model(np.zeros(0, np.uint64), np.zeros(0), 0.2, rate=1.0, size=size)
+        none = {toxicity.evidence(model, n, []) for n in (0, 1, 50, 5000)}
+        assert len(none) == 1
+        assert all(toxicity.evidence(model, n, [x]) >= max(none) for n in (1, 50, 5000, 10**9) for x in (1e-9, 0.1, 3.0, 40.0))
+
+
+def test_empty_texts_score_least(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    odd = spark.createDataFrame([(-1, ""), (-2, None), (-3, "hello"), (-4, "zq " * 50), (-5, "zq " * 5000)], "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in toxicity.score(docs.unionByName(odd), model).collect()}
+    assert len({scores[i] for i in (-1, -2, -3, -4, -5)}) == 1 and scores[-1] == min(scores.values())
+
+
+def test_odds_law_and_curve_against_plain_ones(spark):
+    """Stems' log-odds against counting; the law and the curve against drawn values."""
+    rng = np.random.default_rng(4)
+    x = -np.log(-np.log(rng.random(4000)) / (0.02 * 100)) / 1.7  # best of 100 words under rate 1.7, size 0.02
+    rate, size = toxicity._fit_law(np.full(4000, 100.0), x)
+    assert abs(rate - 1.7) < 0.12 and abs(math.log(size / 0.02)) < 0.3
+    z = rng.normal(size=6000)
+    slope, offset = toxicity._fit_curve(z, (rng.random(6000) < 1 / (1 + np.exp(-(2 * z - 1)))).astype(float))
+    assert abs(slope - 2) < 0.2 and abs(offset + 1) < 0.2
+
+    texts = [("badly nice", 1)] * 30 + [("badly", 1)] * 10 + [("nice words", 0)] * 50 + [("badly words", 0)] * 2
+    frame = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(texts)], "doc_id long, text string, toxic int")
+    table = dict(toxicity._odds(frame, 3.0, 2.0, 4.0))
+    n_bad, n_good = 40, 52
+
+    def odds(bad, good):
+        held = 0.5 + 2.0 * (bad + good) / (n_bad + n_good)
+        return math.log((bad + held) / (n_bad + 2.0)) - math.log((good + held) / (n_good + 2.0))
+
+    import pyarrow as pa
+
+    from fathom.llm._text import utf8_buffers
+
+    for stem, counts in (("badly", (40, 2)), ("nice", (30, 50)), ("words", (0, 52))):
+        token = int(toxicity._tokens(*utf8_buffers(pa.array([stem])))[1][0])
+        spread = math.sqrt(sum(1 / (c + 0.5 + 2.0 * sum(counts) / (n_bad + n_good)) for c in counts))
+        assert (token in table) == (abs(odds(*counts)) / spread >= 3.0)
+        if token in table:
+            assert abs(table[token] - odds(*counts)) < 1e-9
