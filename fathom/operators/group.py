@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathom.operators import beams, flow, survey
+from fathom.operators import aggregates, beams, flow, survey
 
 
 def group_profile(
-    cloud: DataFrame, vectors: DataFrame, edges: DataFrame, group: Sequence[str], member: str, step: float = 0.5, scale: float = 3.0, tolerance: float = 25.0
+    cloud: DataFrame, vectors: DataFrame, edges: DataFrame, group: Sequence[str], member: str, step: float = 0.5, scale: float = 3.0, tolerance: float = 25.0,
+    beam: str | None = None, primary: str | None = None, primary_min: int = 1, composite: bool = True, source: str | None = None,
+    anchor: str = "ref", extent: str = "max",
 ) -> tuple[DataFrame, DataFrame]:
     """(profile, directions) of each group, from the clouds and velocities of all its repetitions.
 
@@ -19,17 +21,34 @@ def group_profile(
     ``member``, ve, vn, weight, step; ``edges`` has a row per group with left, right (metres
     from the measured ends to the banks) and surface (may be null). The section lies at right
     angles to the pooled flow, through the centre of the cloud. The profile has node, s_m,
-    depth_m, the place east, north on the axis and the bed. Groups without a direction, edges
-    or depths have no profile.
+    depth_m, the place east, north on the axis and the bed, with ``source`` also src. Groups
+    without a direction, edges or depths have no profile.
+
+    ``extent`` mean takes the mean of where the repetitions (with ``beam``, each of their beams)
+    begin and end with a depth, so that a group is no wider than its repetitions; max takes the
+    outermost points. With ``primary`` and ``anchor`` ref only primary points count there, of groups that
+    have any. The other parameters are those of ``survey.profile``.
     """
     keys = list(group)
     directions = flow.group_direction(vectors, keys, member, "ve", "vn", "weight", "step", tolerance)
     centres = cloud.groupBy(*keys).agg(F.avg("e").alias("__e"), F.avg("n").alias("__n"))
     frame = centres.join(directions.select(*keys, "section_azimuth"), keys).join(edges, keys)
     placed = survey.on_section(cloud.join(frame, keys), F.col("__e"), F.col("__n"), F.col("section_azimuth"), scale)
-    placed = placed.select(*keys, "s", "depth", "weight", "left", "right")
-    profile = survey.profile(placed, keys, F.first("left"), F.first("right"), step)
-    banks = placed.groupBy(*keys).agg((F.min("s") - F.first("left")).alias("__bank"))
+    known = list(dict.fromkeys(c for c in (beam, primary, source) if c))
+    placed = placed.select(*keys, member, *known, "s", "depth", "weight", "left", "right")
+    reaching = placed.filter(aggregates.finite(F.col("depth")) > 0)
+    each = [member, *([beam] if beam else [])]
+    reach = lambda rows: aggregates.measured_extent(rows, keys, each, "s", mode=extent).select(
+        *keys, F.col("extent_from").alias("lo"), F.col("extent_to").alias("hi")
+    )
+    ends = reach(reaching if extent == "mean" else placed)
+    if primary and anchor == "ref":
+        own = reach(reaching.filter(primary)).withColumnsRenamed({"lo": "__a", "hi": "__b"})
+        ends = ends.join(own, keys, "left").select(*keys, F.coalesce("__a", "lo").alias("lo"), F.coalesce("__b", "hi").alias("hi"))
+    profile = survey.profile(
+        placed, keys, F.first("left"), F.first("right"), step, None, primary, primary_min, composite, source, anchor, ends
+    )
+    banks = ends.join(edges, keys).select(*keys, (F.col("lo") - F.col("left")).alias("__bank"))
     rows = profile.join(banks.join(frame, keys), keys).withColumn("__s", F.col("__bank") + F.col("s_m"))
     rows = beams.profile_table(rows, "__s", "depth_m", F.col("__e"), F.col("__n"), F.col("section_azimuth"), F.col("surface"))
-    return rows.select(*keys, "node", "s_m", "depth_m", "east", "north", "bed"), directions
+    return rows.select(*keys, "node", "s_m", "depth_m", "east", "north", "bed", *(["src"] if source else [])), directions

@@ -74,45 +74,84 @@ def node_depths(
 
     With ``primary``, a node uses its primary points if there are ``primary_min`` of
     them, else all (``composite``) or none. Adds the number of points used and, with
-    ``source``, the most frequent source (ties: the least).
+    ``source``, the most frequent source (ties: the least). Points are dealt to their nodes
+    once, and equal depths of a node are summed before they are ordered.
     """
-    good = points.filter(aggregates.finite(F.col(depth)) > 0)
-    near = joins.band_join(good, s, step, half)
+    v = aggregates.finite(F.col(depth))
+    near = joins.band_join(points.filter(v > 0), s, step, half)
     at = [*keys, "node"]
+    sums = near.groupBy(
+        *at,
+        v.alias("__v"),
+        F.coalesce(F.col(primary), F.lit(False)).alias("__p") if primary else F.lit(True).alias("__p"),
+        F.col(source).alias("__src") if source else F.lit(0).alias("__src"),
+    ).agg(F.sum(F.coalesce(aggregates.finite(F.col(weight)), F.lit(0.0))).alias("__w"), F.count("*").alias("__n"))
+    group = Window.partitionBy(*at)
     if primary:
-        enough = F.count_if(F.col(primary)).over(Window.partitionBy(*at)) >= primary_min
-        near = near.withColumn("__enough", enough).filter(F.col(primary) | (~F.col("__enough") & F.lit(composite)))
-    out = aggregates.weighted_median(near, at, depth, weight, "depth_m")
-    out = out.join(near.groupBy(*at).agg(F.count("*").alias("n_points")), at)
-    if source:
-        modes = near.groupBy(*at, source).agg(F.count("*").alias("__n"))
-        out = out.join(modes.groupBy(*at).agg(F.min_by(source, F.struct(-F.col("__n"), F.col(source))).alias("src")), at)
-    return out
-
-
-def profile(points: DataFrame, keys: Sequence[str], left: Column, right: Column, step: float = 0.5, half: float | None = None) -> DataFrame:
-    """Section profile on a regular grid from the left bank (s = 0): node, s_m, depth_m.
+        enough = F.sum(F.when(F.col("__p"), F.col("__n")).otherwise(0)).over(group) >= primary_min
+        sums = sums.withColumn("__enough", enough).filter(F.when(F.col("__enough"), F.col("__p")).otherwise(F.lit(composite)))
+    upto = group.orderBy("__v", "__src", "__p").rowsBetween(Window.unboundedPreceding, 0)
+    sums = sums.withColumns({
+        "__cw": F.sum("__w").over(upto), "__tw": F.sum("__w").over(group),
+        "__cn": F.sum("__n").over(upto), "__tn": F.sum("__n").over(group),
+        "__of": F.sum("__n").over(Window.partitionBy(*at, "__src")),
+    })
+    least = lambda c: F.min(F.when(c, F.col("__v")))
+    plain = (least(F.col("__cn") * 2 >= F.col("__tn")) + least(F.col("__cn") * 2 > F.col("__tn"))) / 2
+    median = F.coalesce(least((F.col("__tw") > 0) & (F.col("__cw") >= 0.5 * F.col("__tw"))), plain)
+    mode = [F.min_by("__src", F.struct(-F.col("__of"), F.col("__src"))).alias("src")] if source else []
+    return sums.groupBy(*at).agg(median.alias("depth_m"), F.sum("__n").alias("n_points"), *mode)
+
+
+def profile(
+    points: DataFrame, keys: Sequence[str], left: Column, right: Column, step: float = 0.5, half: float | None = None, primary: str | None = None,
+    primary_min: int = 1, composite: bool = True, source: str | None = None, anchor: str = "ref", extent: DataFrame | None = None,
+) -> DataFrame:
+    """Section profile on a regular grid from the left bank (s = 0): node, s_m, depth_m, with ``source`` also src.
 
     ``points`` has ``keys``, s, depth, weight. The measured extent is moved to begin
     ``left`` metres from the bank and ends ``right`` metres before the other; banks are
     zero deep; gaps are filled along the line; the smoothing is quadratic over two metres
     (five nodes at least) and never negative; banks are set to zero again.
+
+    The extent is that of the ``primary`` points with a depth (``anchor`` ref; of all points
+    where there are none) or of all points (cloud). ``extent`` (``keys``, lo, hi) goes before
+    both where its values are finite. Nodes more than a step outside it are not measured.
+    ``primary``, ``primary_min``, ``composite`` and ``source`` are those of ``node_depths``;
+    nodes without points have the source of filled ones.
     """
-    extent = points.groupBy(*keys).agg(F.min("s").alias("__lo"), F.max("s").alias("__hi"), left.alias("__left"), right.alias("__right"))
-    moved = points.join(F.broadcast(extent) if not keys else extent, list(keys)).withColumn(
-        "s", F.col("s") - F.col("__lo") + F.col("__left")
+    if anchor not in ("ref", "cloud"):
+        raise ValueError(f"anchor is ref or cloud, not {anchor!r}")
+    s = aggregates.finite(F.col("s"))
+    reference = F.when(F.col(primary) & (aggregates.finite(F.col("depth")) > 0), s) if primary and anchor == "ref" else s
+    ends = points.groupBy(*keys).agg(
+        F.coalesce(F.min(reference), F.min(s)).alias("__lo"), F.coalesce(F.max(reference), F.max(s)).alias("__hi"),
+        left.alias("__left"), right.alias("__right"),
+    )
+    if extent is not None:
+        lo, hi = aggregates.finite(F.col("lo")), aggregates.finite(F.col("hi"))
+        given = extent.filter(lo.isNotNull() & hi.isNotNull()).select(*keys, lo.alias("__a"), hi.alias("__b"))
+        ends = ends.join(given, list(keys), "left").withColumns({"__lo": F.coalesce("__a", "__lo"), "__hi": F.coalesce("__b", "__hi")})
+        ends = ends.drop("__a", "__b")
+    moved = points.join(F.broadcast(ends) if not keys else ends, list(keys)).withColumn("s", F.col("s") - F.col("__lo") + F.col("__left"))
+    depths = node_depths(moved, keys, "s", "depth", "weight", step, half or 2 * step, primary, primary_min, composite, source)
+    width = F.col("__left") + F.col("__hi") - F.col("__lo")
+    last = F.floor((width + F.col("__right") + step / 2) / step - 1e-9).cast("long")
+    at = F.col("node") * step
+    grid = ends.select(
+        *keys, "__left", width.alias("__end"), last.alias("__last"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("node")
     )
-    depths = node_depths(moved, keys, "s", "depth", "weight", step, half or 2 * step)
-    last = F.floor((F.col("__left") + F.col("__hi") - F.col("__lo") + F.col("__right") + step / 2) / step - 1e-9)
-    grid = extent.select(*keys, last.cast("long").alias("__last"), F.explode(F.sequence(F.lit(0), last.cast("long"))).alias("node"))
-    rows = grid.join(depths.select(*keys, "node", "depth_m"), [*keys, "node"], "left")
+    rows = grid.join(depths.drop("n_points"), [*keys, "node"], "left")
+    inside = at.between(F.col("__left") - step, F.col("__end") + step)
     bank = (F.col("node") == 0) | (F.col("node") == F.col("__last"))
-    rows = rows.withColumn("depth_m", F.when(bank, F.lit(0.0)).otherwise(F.col("depth_m")))
+    if source:
+        rows = rows.withColumn("src", F.coalesce(F.when(inside, F.col("src")), F.lit(FILLED)))
+    rows = rows.withColumn("depth_m", F.when(bank, F.lit(0.0)).when(inside, F.col("depth_m")))
     rows = sequence.gap_interpolate(rows, keys, "node", "depth_m", "filled")
-    width = max(5, round(2.0 / step))
-    rows = sequence.smooth(rows, keys, ["node"], "filled", width + (width % 2 == 0), "smoothed")
+    window = max(5, round(2.0 / step))
+    rows = sequence.smooth(rows, keys, ["node"], "filled", window + (window % 2 == 0), "smoothed")
     depth = F.when(bank, F.lit(0.0)).otherwise(F.greatest(F.col("smoothed"), F.lit(0.0)))
-    return rows.select(*keys, "node", (F.col("node") * step).alias("s_m"), depth.alias("depth_m"))
+    return rows.select(*keys, "node", at.alias("s_m"), depth.alias("depth_m"), *(["src"] if source else []))
 
 
 def orientation(df: DataFrame, keys: Sequence[str], order: str, x: str, y: str, axis_bearing: Column) -> DataFrame:

@@ -1,13 +1,15 @@
 """Operators on groups, lines and tables by small examples and plain loops."""
 
+import math
 import random
 import struct
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from fathom.functions import crs
-from fathom.operators import beams, flow, group, islands, joins, reference, tables
+from fathom.operators import beams, flow, group, islands, joins, reference, survey, tables
 from fathom.sources.sinks import line_wkb
 
 
@@ -114,3 +116,77 @@ def test_group_profile_of_two_repetitions(spark):
     assert rows[44].east == pytest.approx(500) and rows[44].north == pytest.approx(980) and rows[44].bed == 250 - rows[44].depth_m
     found = directions.first()
     assert found.agrees and found.strays == [] and found.section_azimuth == pytest.approx(180) and 0 < found.worst < 2
+
+
+def plain_profile(rows, left, right, step, primary_min, composite, anchor, extent=None):
+    """{node: (depth before smoothing, source)} by a loop over the nodes."""
+    ref = [s for s, d, w, p, k in rows if p and d > 0] if anchor == "ref" else []
+    lo, hi = extent or (min(ref or [r[0] for r in rows]), max(ref or [r[0] for r in rows]))
+    end = left + hi - lo
+    out = {}
+    for node in range(math.ceil((end + right + step / 2) / step)):
+        at, out[node] = node * step, (None, 4)
+        if not left - step <= at <= end + step:
+            continue
+        near = [r for r in rows if r[1] > 0 and abs(r[0] - lo + left - at) <= 2 * step]
+        own = [r for r in near if r[3]]
+        used = own if len(own) >= primary_min else near if composite else []
+        if used:
+            total, upto = sum(r[2] for r in used), 0.0
+            for r in sorted(used, key=lambda r: r[1]):
+                upto += r[2]
+                if upto >= total / 2:
+                    break
+            kinds = [q[4] for q in used]
+            out[node] = (r[1], min(set(kinds), key=lambda k: (-kinds.count(k), k)))
+    last = max(out)
+    out[0], out[last] = (0.0, out[0][1]), (0.0, out[last][1])
+    known = [n for n in out if out[n][0] is not None]
+    return {n: (float(np.interp(n, known, [out[k][0] for k in known])), out[n][1]) for n in out}
+
+
+@pytest.mark.parametrize("anchor, composite, primary_min, extent", [
+    ("ref", True, 1, None), ("ref", False, 2, None), ("cloud", True, 3, None), ("ref", True, 2, (4.3, 21.9)),
+])
+def test_profile_options_against_a_loop(spark, anchor, composite, primary_min, extent):
+    rng = random.Random(8)
+    groups = {}
+    for g in range(6):
+        rows = []
+        for _ in range(120):
+            s = rng.uniform(0, 26)
+            primary = g != 5 and 5 < s < 21 and not 11 < s < 14 and rng.random() < 0.4
+            rows.append((s, round(rng.uniform(0.5, 3), 3) if rng.random() < 0.95 else -1.0, rng.choice([0.5, 1.0]), primary, 2 if primary else rng.choice([1, 3])))
+        groups[g] = rows
+    points = spark.createDataFrame([(g, *r) for g, rows in groups.items() for r in rows], "g int, s double, depth double, weight double, p boolean, kind int")
+    given = spark.createDataFrame([(g, *extent) for g in groups] if extent else [], "g int, lo double, hi double")
+    out = survey.profile(points, ["g"], F.lit(3.2), F.lit(2.1), 0.5, None, "p", primary_min, composite, "kind", anchor, given)
+    got = {(r.g, r.node): r for r in out.collect()}
+    for g, rows in groups.items():
+        want = plain_profile(rows, 3.2, 2.1, 0.5, primary_min, composite, anchor, extent)
+        last = max(want)
+        assert {n for a, n in got if a == g} == set(want)
+        smooth = np.clip(savgol5([want[n][0] for n in range(last + 1)]), 0, None)
+        for n in want:
+            assert got[g, n].src == want[n][1], (g, n)
+            assert abs(got[g, n].depth_m - (0.0 if n in (0, last) else smooth[n])) < 1e-9, (g, n)
+
+
+def savgol5(y):
+    """A parabola through five values, by least squares; the ends take the first and the last one's."""
+    fit = lambda k, at: np.polyval(np.polyfit(np.arange(-2, 3), y[k - 2 : k + 3], 2), at)
+    n = len(y)
+    return [fit(2, i - 2) if i < 2 else fit(n - 3, i - n + 3) if i > n - 3 else fit(i, 0) for i in range(n)]
+
+
+def test_group_extent_is_the_mean_of_its_repetitions(spark):
+    """One repetition reaches 10 m further: the mean extent lies halfway, the outermost at its end."""
+    cloud = [(1, m, 0.0, float(y), 2.0, 1.0) for m, reach in ((1, 20), (2, 30)) for y in range(reach + 1)]
+    cloud = spark.createDataFrame(cloud, "g int, m int, e double, n double, depth double, weight double")
+    vectors = spark.createDataFrame([(1, m, 1.0, 0.0, 1.0, 3) for m in (1, 2) for _ in range(6)], "g int, m int, ve double, vn double, weight double, step int")
+    edges = spark.createDataFrame([(1, 1.0, 1.0, 5.0)], "g int, left double, right double, surface double")
+    width = {}
+    for how in ("mean", "max"):
+        rows, _ = group.group_profile(cloud, vectors, edges, ["g"], "m", extent=how)
+        width[how] = max(r.s_m for r in rows.collect())
+    assert width == {"mean": 27.0, "max": 32.0}
