@@ -8,7 +8,7 @@ from fathom.functions.angles import undirected_difference
 from fathom.functions.text import beam_label
 from fathom.operators import grouping, network, surface, survey
 from fathom.plans.registry import fixed, fixed_all, query, r, table
-from fathom.plans.sequence_queries import ANCHORS, RIVERS, events, rivers
+from fathom.plans.sequence_queries import ANCHORS, RIVERS, events, on_rivers, rivers
 
 
 @query(
@@ -81,18 +81,15 @@ def junction_order(spark, sf_dir):
 
 @query()
 def resolved_levels(spark, sf_dir):
-    """Levels of suppliers' places: the mean of what the paths through them interpolate."""
+    """Levels of customers' places: the mean of what the paths through them interpolate between suppliers' levels."""
     lines, into = rivers(spark, sf_dir)
     parts = network.paths(lines, into)
-    places = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("on_river"), (F.col("s_acctbal") / 10).alias("s"))
-    points = network.positions(places, parts, "on_river", "s").withColumnRenamed("head", "path")
-    known = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey"), F.col("c_nationkey").alias("on_river"), (F.abs("c_acctbal") / 10).alias("s")
-    )
+    points = network.positions(on_rivers(spark, sf_dir, F.col("c_acctbal") / 10), parts, "on_river", "s").withColumnRenamed("head", "path")
+    known = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_suppkey").alias("on_river"), (F.abs("s_acctbal") / 10).alias("s"))
     anchors = network.positions(known, parts, "on_river", "s").select(
         F.col("head").alias("path"), "p", (260 - F.col("p") / 1000).alias("h"),
-        F.array(F.when(F.col("c_custkey") % 20 == 0, "gnss").otherwise("gauge")).alias("deps"),
+        F.array(F.when(F.col("s_suppkey") % 4 == 0, "gnss").otherwise("gauge")).alias("deps"),
     )
     anchors = anchors.groupBy("path", "p").agg(F.avg("h").alias("h"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("deps")))).alias("deps"))
     out = surface.evaluate(points, anchors, surface.end_slopes(anchors))
-    return fixed_all(surface.resolved(out, ["s_suppkey"]), "ws_elev", "extrap_m", "path_spread")
+    return fixed_all(surface.resolved(out, ["c_custkey"]), "ws_elev", "extrap_m", "path_spread")

@@ -221,21 +221,20 @@ def segment_crossing(spark, sf_dir):
 
 
 def rivers(spark, sf_dir):
-    """Nations as rivers: nation k flows into nation k // 3, somewhere along it."""
-    nations = table(spark, sf_dir, "nation")
-    size = 1000.0 + F.col("n_nationkey") * 10
-    lines = nations.select(F.col("n_nationkey").alias("river"), size.alias("length"))
-    down = (F.col("n_nationkey") / 3).cast("int")
-    into = nations.filter("n_nationkey > 0").select(
-        F.col("n_nationkey").alias("river"),
-        down.alias("down"),
-        F.when(F.col("n_nationkey") % 3 == 0, F.lit(0.0)).otherwise((F.col("n_nationkey") % 7) * 100.0).alias("s_join"),
-    )
-    return lines, into
+    """Suppliers as rivers: supplier k flows into supplier k // 3, somewhere along it."""
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("river"))
+    lines = suppliers.select("river", (1000.0 + F.col("river") % 25 * 10).alias("length"))
+    join = F.when(F.col("river") % 3 == 0, F.lit(0.0)).otherwise((F.col("river") % 7) * 100.0)
+    return lines, suppliers.filter("river > 0").select("river", F.expr("river div 3").alias("down"), join.alias("s_join"))
+
+
+def on_rivers(spark, sf_dir, s):
+    """Customers as places on rivers, fifteen a river, at chainage ``s``."""
+    return table(spark, sf_dir, "customer").select("c_custkey", F.expr("c_custkey div 15").alias("on_river"), s.alias("s"))
 
 
-RIVERS = """l AS (SELECT n_nationkey AS river, 1000.0::DOUBLE + n_nationkey * 10 AS length FROM nation),
-       k AS (SELECT n_nationkey AS river, n_nationkey // 3 AS down, CASE WHEN n_nationkey % 3 = 0 THEN 0.0 ELSE (n_nationkey % 7) * 100.0 END::DOUBLE AS s_join FROM nation WHERE n_nationkey > 0),
+RIVERS = """l AS (SELECT s_suppkey AS river, 1000.0::DOUBLE + s_suppkey % 25 * 10 AS length FROM supplier),
+       k AS (SELECT s_suppkey AS river, s_suppkey // 3 AS down, CASE WHEN s_suppkey % 3 = 0 THEN 0.0 ELSE (s_suppkey % 7) * 100.0 END::DOUBLE AS s_join FROM supplier WHERE s_suppkey > 0),
        w AS (SELECT river AS head, 0 AS k, river, 0.0::DOUBLE AS s0, length AS s1, 0.0::DOUBLE AS p0 FROM l WHERE river NOT IN (SELECT down FROM k WHERE s_join <= 2)
          UNION ALL SELECT w.head, w.k + 1, k.down, k.s_join, l.length, w.p0 + w.s1 - w.s0 FROM w JOIN k ON k.river = w.river JOIN l ON l.river = k.down)"""
 
@@ -246,13 +245,13 @@ def path_chainage(spark, sf_dir):
 
 
 @query(
-    f"""WITH RECURSIVE {RIVERS}, p AS (SELECT s_suppkey, s_nationkey AS river, s_acctbal / 10 AS s FROM supplier)
-       SELECT s_suppkey, head, {r('p0 + s - s0')} AS p FROM p JOIN w USING (river) WHERE s BETWEEN s0 - 2 AND s1 + 2"""
+    f"""WITH RECURSIVE {RIVERS}, p AS (SELECT c_custkey, c_custkey // 15 AS river, c_acctbal / 10 AS s FROM customer)
+       SELECT c_custkey, head, {r('p0 + s - s0')} AS p FROM p JOIN w USING (river) WHERE s BETWEEN s0 - 2 AND s1 + 2"""
 )
 def path_positions(spark, sf_dir):
-    points = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("on_river"), (F.col("s_acctbal") / 10).alias("s"))
+    points = on_rivers(spark, sf_dir, F.col("c_acctbal") / 10)
     out = network.positions(points, network.paths(*rivers(spark, sf_dir)), "on_river", "s")
-    return out.select("s_suppkey", "head", fixed("p").alias("p"))
+    return out.select("c_custkey", "head", fixed("p").alias("p"))
 
 
 @query(
@@ -322,13 +321,16 @@ def role_assignment(spark, sf_dir):
     return rows.select("s_suppkey", "reason", role.alias("role"))
 
 
-@query("SELECT n_nationkey, replace(lower(n_name), '_', ' ') AS name FROM nation JOIN region ON n_regionkey = r_regionkey")
+@query(
+    """WITH k AS (SELECT s_suppkey, translate(lower(trim('  Río Ñandú ' || s_name || ' ')), 'áéíóúñ', 'aeioun') AS folded FROM supplier),
+       m AS (SELECT c_custkey, translate(lower(trim('RIO NANDÚ ' || replace(c_name, 'Customer', 'Supplier'))), 'áéíóúñ', 'aeioun') AS folded FROM customer)
+       SELECT c_custkey, s_suppkey, folded FROM m JOIN k USING (folded)"""
+)
 def name_join(spark, sf_dir):
-    regions = table(spark, sf_dir, "region").select(folded_name(F.concat(F.lit("  ÁÉ "), F.col("r_name"), F.lit(" "))).alias("key"))
-    nations = table(spark, sf_dir, "nation")
-    names = table(spark, sf_dir, "region").select("r_regionkey", folded_name(F.concat(F.lit("aé "), F.lower("r_name"))).alias("key"))
-    met = nations.join(F.broadcast(names.join(regions, "key")), F.col("n_regionkey") == F.col("r_regionkey"))
-    return met.select("n_nationkey", F.replace(folded_name(F.col("n_name")), F.lit("_"), F.lit(" ")).alias("name"))
+    """Rivers as two tables write them: other letters, accents and outer spaces."""
+    rivers = table(spark, sf_dir, "supplier").select("s_suppkey", folded_name(F.concat(F.lit("  Río Ñandú "), F.col("s_name"), F.lit(" "))).alias("folded"))
+    asked = F.concat(F.lit("RIO NANDÚ "), F.replace("c_name", F.lit("Customer"), F.lit("Supplier")))
+    return table(spark, sf_dir, "customer").select("c_custkey", folded_name(asked).alias("folded")).join(rivers, "folded")
 
 
 @query(
