@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fathom.functions.angles import along_axis, offset_penalty
+from fathom.functions.angles import along_axis, offset_penalty, undirected_difference, utm
 from fathom.operators import aggregates, joins, sequence
 
 #: Tilt of the slant beams, frequency that separates their azimuth sets, weights and source codes.
@@ -25,6 +25,19 @@ def without_dropouts(df: DataFrame, lat: str, lon: str, east: str, north: str) -
     return rows.withColumns({c: F.when(~F.col("dropout"), F.col(c)) for c in (lat, lon, east, north)})
 
 
+def filled_places(df: DataFrame, lat: str, lon: str, east: str, north: str, zone: Column, south: Column | None = None) -> DataFrame:
+    """Recorded coordinates where both are finite, else those of latitude and longitude in ``zone``; adds ``rebuilt``.
+
+    Both are taken from one source, so that a half-recorded pair is rebuilt as a whole. Rows
+    without either source have null coordinates and are not rebuilt.
+    """
+    a, b, e, n = (aggregates.finite(F.col(c)) for c in (lat, lon, east, north))
+    kept, known = e.isNotNull() & n.isNotNull(), a.isNotNull() & b.isNotNull()
+    x, y = utm(b, a, zone, south)
+    rows = df.withColumn("__x", F.when(kept, e).when(known, x)).withColumn("__y", F.when(kept, n).when(known, y))
+    return rows.withColumns({"rebuilt": ~kept & known, east: F.col("__x"), north: F.col("__y")}).drop("__x", "__y")
+
+
 def beam_cloud(df: DataFrame, keep: Sequence[str], east: str, north: str, depth: str, beams: str, heading: Column, khz: Column) -> DataFrame:
     """A row per beam that found the bed: ``keep``, e, n, depth, weight, beam_index, src.
 
@@ -156,7 +169,7 @@ def profile(
 
 def orientation(df: DataFrame, keys: Sequence[str], order: str, x: str, y: str, axis_bearing: Column) -> DataFrame:
     """Angle between the track (first to last fix) and the section axis, and the share of width lost to it."""
-    from fathom.functions.angles import azimuth, undirected_difference
+    from fathom.functions.angles import azimuth
 
     ends = df.groupBy(*keys).agg(
         F.min_by(F.struct(x, y), order).alias("a"), F.max_by(F.struct(x, y), order).alias("b"), F.first(axis_bearing).alias("axis")
@@ -179,3 +192,17 @@ def checks(profiles: DataFrame, keys: Sequence[str]) -> DataFrame:
         (F.abs(F.min_by("depth_m", "node")) + F.abs(F.max_by("depth_m", "node")) == 0).alias("dry_banks"),
         (F.count_if(F.col("depth_m").isNull()) == 0).alias("no_gaps"),
     )
+
+
+def accepted(profiles: DataFrame, keys: Sequence[str], directions: DataFrame, tolerance: float = 10.0) -> DataFrame:
+    """``checks`` with the axis' deviation from a right angle to the flow, and whether all that counts holds.
+
+    ``directions`` has ``keys``, flow_azimuth and section_azimuth, whichever way they point.
+    Accepted: within ``tolerance`` degrees, from zero on, without gaps. A profile without
+    a direction is not accepted.
+    """
+    off = 90 - undirected_difference(F.col("section_azimuth"), F.col("flow_azimuth"))
+    angles = directions.select(*keys, off.alias("off_degrees"))
+    rows = checks(profiles, keys).join(angles, list(keys), "left")
+    square = F.coalesce(F.col("off_degrees") <= tolerance, F.lit(False))
+    return rows.withColumn("perpendicular", square).withColumn("accepted", square & F.col("starts_at_zero") & F.col("no_gaps"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fathom.operators import flow, group, islands, tables
+from fathom.operators import flow, group, islands, joins, tables
 from fathom.plans.registry import fixed, fixed_all, query, r, table
 
 
@@ -165,9 +165,8 @@ def river_islands(spark, sf_dir):
     return out.select("c_nationkey", "island", "c_custkey", "channel", fixed("s0").alias("s0"), fixed("s1").alias("s1"))
 
 
-@query()
-def group_profiles(spark, sf_dir):
-    """Suppliers as sections, line numbers as repetitions; smoothing and gaps leave no short SQL, a test holds a known bed."""
+def sections(spark, sf_dir):
+    """(cloud, vectors) of suppliers as sections and line numbers as their repetitions."""
     rows = table(spark, sf_dir, "lineitem").withColumn("m", F.col("l_linenumber"))
     cloud = rows.select(
         "l_suppkey", "m", (F.col("l_discount") * 10).alias("e"), F.col("l_quantity").alias("n"), (F.col("l_extendedprice") / 20000).alias("depth"),
@@ -177,8 +176,32 @@ def group_profiles(spark, sf_dir):
         "l_suppkey", "m", (1 + F.col("l_tax")).alias("ve"), (F.col("l_discount") - 0.05).alias("vn"), F.col("l_quantity").alias("weight"),
         F.when(F.col("l_returnflag") == "N", 3).otherwise(2).alias("step"),
     )
+    return cloud, vectors
+
+
+@query()
+def group_profiles(spark, sf_dir):
+    """Smoothing and gaps leave no short SQL, a test holds a known bed."""
+    cloud, vectors = sections(spark, sf_dir)
     edges = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), F.lit(2.0).alias("left"), F.lit(3.0).alias("right"), F.when(F.col("s_acctbal") > 0, 250.0).alias("surface")
     )
     profile, _ = group.group_profile(cloud, vectors, edges, ["l_suppkey"], "m")
     return fixed_all(profile, "depth_m", "east", "north", "bed")
+
+
+@query()
+def processed_groups(spark, sf_dir):
+    """Groups through the whole chain; a test holds its profiles, deviations and places against plain loops."""
+    cloud, vectors = sections(spark, sf_dir)
+    members = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", F.col("l_linenumber").alias("m")).agg(
+        (F.avg("l_tax") * 50).alias("left"), F.lit(3.0).alias("right"), (250 + F.avg("l_discount")).alias("surface"), F.avg("l_quantity").alias("discharge"),
+        (F.min("l_suppkey") % 7).cast("int").alias("line"),
+    )
+    river = table(spark, sf_dir, "customer").select((F.col("c_nationkey") % 5).alias("line"), F.col("c_custkey").alias("n"), (F.col("c_nationkey") * 0.4).alias("x"), "c_custkey")
+    segments = joins.segments_of(river.withColumn("y", F.col("c_custkey") * 0.05), ["line"], "n")
+    out = group.process_groups(cloud, vectors, members, ["l_suppkey"], "m", segments=segments).groups
+    return out.select(
+        "l_suppkey", "n_members", "strays", "same_stage", "accepted", "line", "method",
+        *(fixed(c, 4).alias(c) for c in ("left", "surface", "width", "max_depth", "sigma_mean", "sigma_mean_common", "discharge", "discharge_cv", "chainage")),
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from fathom.functions import angles
@@ -368,13 +370,48 @@ def tm_zones(spark, sf_dir):
     return rows.select("s_suppkey", "zone", sound.alias("sound"))
 
 
-@query()
+def series_sql(rows: str, scale: float, east0: str, north0: float) -> str:
+    """East (x) and north (y) of ``rows`` (lat and dlon in radians) by the same series, spelt out."""
+    radius, forward, e = angles._series()
+    d = "{:.17e}".format  # an exponent, as DuckDB takes other literals for decimals
+    east = " + ".join(["eta", *(f"{d(a)} * cos({2 * k} * xi) * sinh({2 * k} * eta)" for k, a in enumerate(forward, 1))])
+    north = " + ".join(["xi", *(f"{d(a)} * sin({2 * k} * xi) * cosh({2 * k} * eta)" for k, a in enumerate(forward, 1))])
+    return f"""t0 AS (SELECT *, sinh(atanh(sin(lat)) - {d(e)} * atanh({d(e)} * sin(lat))) AS t FROM {rows}),
+       t1 AS (SELECT *, atan2(t, cos(dlon)) AS xi, asinh(sin(dlon) / sqrt(t * t + cos(dlon) * cos(dlon))) AS eta FROM t0),
+       t2 AS (SELECT *, {east0} + {d(scale * radius)} * ({east}) AS x, {d(north0)} + {d(scale * radius)} * ({north}) AS y FROM t1)"""
+
+
+PLACES = "SELECT s_suppkey, -72 + s_acctbal / 1000 AS lon, -45 + s_nationkey / 2e0 AS deg, s_acctbal FROM supplier"
+
+
+@query(
+    f"""WITH p AS ({PLACES}), q AS (SELECT *, CAST(floor((lon + 75) / 3 + 0.5) AS INTEGER) AS belt FROM p),
+       a AS (SELECT *, radians(deg) AS lat, radians(lon - (belt * 3 - 75)) AS dlon FROM q),
+       {series_sql("a", 1.0, "belt * 1e6 + 5e5", angles._series()[0] * math.pi / 2)} SELECT s_suppkey, belt, {r("x", 3)} AS east, {r("y", 3)} AS north FROM t2"""
+)
 def tm_project(spark, sf_dir):
-    rows = geographic(spark, sf_dir).withColumn("belt", F.round((F.col("lon") + 75) / 3).cast("int"))
+    rows = geographic(spark, sf_dir).withColumn("belt", F.floor((F.col("lon") + 75) / 3 + 0.5).cast("int"))
     east, north = angles.belt(F.col("lon"), F.col("lat"), F.col("belt"))
     return rows.select("s_suppkey", "belt", fixed(east, 3).alias("east"), fixed(north, 3).alias("north"))
 
 
+@query(
+    f"""WITH p AS ({PLACES}), a AS (SELECT *, radians(deg) AS lat, radians(lon - (floor((lon + 180) / 6) * 6 - 177)) AS dlon,
+         CASE WHEN s_suppkey % 3 > 0 THEN s_acctbal END AS e, CASE WHEN s_suppkey % 5 > 0 THEN s_acctbal * 2 END AS n FROM p),
+       {series_sql("a", 0.9996, "5e5", 1e7)}
+       SELECT s_suppkey, {r("CASE WHEN e IS NULL OR n IS NULL THEN x ELSE e END", 3)} AS east, {r("CASE WHEN e IS NULL OR n IS NULL THEN y ELSE n END", 3)} AS north,
+         e IS NULL OR n IS NULL AS rebuilt FROM t2"""
+)
+def position_fill(spark, sf_dir):
+    """Places of which one coordinate or both were not recorded, rebuilt from latitude and longitude."""
+    rows = geographic(spark, sf_dir).join(table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal"), "s_suppkey")
+    rows = rows.withColumns({
+        "east": F.when(F.col("s_suppkey") % 3 > 0, F.col("s_acctbal")), "north": F.when(F.col("s_suppkey") % 5 > 0, F.col("s_acctbal") * 2),
+    })
+    out = survey.filled_places(rows, "lat", "lon", "east", "north", angles.utm_zone(F.col("lon")))
+    return out.select("s_suppkey", fixed("east", 3).alias("east"), fixed("north", 3).alias("north"), "rebuilt")
+
+
 def geographic(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select(
         "s_suppkey", (-72 + F.col("s_acctbal") / 1000).alias("lon"), (-45 + F.col("s_nationkey") / 2).alias("lat")

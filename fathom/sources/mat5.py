@@ -17,6 +17,7 @@ from typing import BinaryIO
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Fixed values of the format: element types as numpy kinds, and array classes.
 KINDS = {1: "i1", 2: "u1", 3: "<i2", 4: "<u2", 5: "<i4", 6: "<u4", 7: "<f4", 9: "<f8", 12: "<i8", 13: "<u8", 16: "u1", 17: "<u2"}
@@ -104,7 +105,8 @@ def decode(data: bytes, wanted: Collection[str] | None = None) -> dict:
 
 
 SCHEMA = """perfil string, ens int, vb_depth double, bt_beams array<double>, khz double, bt_depth double, utm_e double, utm_n double, lat double, lon double,
- heading double, time double, step double, pitch double, roll double, mean_ve double, mean_vn double, total_q double, error string"""
+ heading double, time double, step double, pitch double, roll double, mean_ve double, mean_vn double, total_q double,
+ summary_depth double, edge_left double, edge_right double, start_edge double, sensor_depth double, depth_reference double, error string"""
 
 
 def _column(tree: dict, path: str, n: int, default: float = np.nan) -> np.ndarray:
@@ -119,6 +121,8 @@ COLUMNS = {
     "vb_depth": ("BottomTrack.VB_Depth", np.nan), "khz": ("BottomTrack.BT_Frequency", 3000.0), "bt_depth": ("BottomTrack.BT_Depth", np.nan),
     "lat": ("GPS.Latitude", np.nan), "lon": ("GPS.Longitude", np.nan), "heading": ("System.True_North_ADP_Heading", np.nan), "time": ("System.Time", np.nan),
     "step": ("System.Step", 3.0), "pitch": ("Compass.Pitch", 0.0), "roll": ("Compass.Roll", 0.0), "total_q": ("Summary.Total_Q", np.nan),
+    "summary_depth": ("Summary.Depth", np.nan), "edge_left": ("Setup.Edges_0__DistanceToBank", 0.0), "edge_right": ("Setup.Edges_1__DistanceToBank", 0.0),
+    "start_edge": ("Setup.startEdge", 1.0), "sensor_depth": ("Setup.sensorDepth", 0.0), "depth_reference": ("Setup.depthReference", 0.0),
 }
 PAIRS = {"utm_e": ("GPS", "UTM", 0), "utm_n": ("GPS", "UTM", 1), "mean_ve": ("Summary", "Mean_Vel", 0), "mean_vn": ("Summary", "Mean_Vel", 1)}
 KINDS_OF = {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), "array<double>": pa.list_(pa.float64())}
@@ -151,6 +155,12 @@ def _rows(stem: str, file: BinaryIO, columns: list[tuple[str, str]], tally: dict
             n = max([len(v) for v in pair.values()] + [np.size(tree[g][f]) for g, f in (p.split(".") for p, _ in COLUMNS.values()) if g in tree and f in tree[g]])
         out = {c: v if len(v) == n else np.full(n, np.nan) for c, v in pair.items()}
         out |= {c: _column(tree, p, n, d) for c, (p, d) in COLUMNS.items() if p.split(".")[0] in groups}
+        if "System" in groups:  # the instrument's own heading and the ensemble's number stand in for what is not recorded
+            system = tree.get("System", {})
+            if np.size(system.get("True_North_ADP_Heading", ())) == 0:
+                out["heading"] = _column(tree, "System.Heading", n)
+            if np.size(system.get("Time", ())) == 0:
+                out["time"] = np.arange(n, dtype=float)
         out |= {"perfil": [stem] * n, "ens": list(range(n))} | ({"bt_beams": beams.tolist()} if beams is not None else {})
     except Exception as problem:  # a bad file is a row that says so
         n, out = 1, {"perfil": [stem], "error": [str(problem)[:200]]}
@@ -177,3 +187,18 @@ def read_transects(spark: SparkSession, paths: str | list[str], groups: Collecti
                 yield _rows(path.rsplit("/", 1)[-1].rsplit(".", 1)[0], io.BytesIO(content), columns)
 
     return files.select("path", "content").mapInArrow(run, ", ".join(f"{c} {k}" for c, k in columns))
+
+
+def transect_setup(ensembles: DataFrame) -> DataFrame:
+    """A row per transect: distances from the edges to the banks (left, right), side of the start, draft and depth reference.
+
+    Files without a setup have edges and a draft of 0, start on the right and take the vertical
+    beam. The recorded depths hold the draft already; it is not to be added again.
+    """
+    held = lambda c: F.max(F.col(c))
+    side = F.when(held("start_edge") == 0, "left").otherwise("right")
+    reference = F.when(F.coalesce(held("depth_reference"), F.lit(0.0)) < 0.5, "vb").otherwise("bt")
+    return ensembles.filter("error is null").groupBy("perfil").agg(
+        F.coalesce(held("edge_left"), F.lit(0.0)).alias("left"), F.coalesce(held("edge_right"), F.lit(0.0)).alias("right"), side.alias("start"),
+        F.coalesce(held("sensor_depth"), F.lit(0.0)).alias("draft"), reference.alias("depth_reference"), F.count("*").alias("ensembles"),
+    )

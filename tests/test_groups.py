@@ -190,3 +190,63 @@ def test_group_extent_is_the_mean_of_its_repetitions(spark):
         rows, _ = group.group_profile(cloud, vectors, edges, ["g"], "m", extent=how)
         width[how] = max(r.s_m for r in rows.collect())
     assert width == {"mean": 27.0, "max": 32.0}
+
+
+def test_whole_groups_against_a_loop(spark):
+    """Two groups: repetitions of one bed, one of them narrower and one a constant deeper, and a river that the section crosses."""
+    bed = lambda y: 1 + 0.1 * min(y, 40 - y)
+    reps = {("g", 1): (0, 40, 0.0), ("g", 2): (8, 32, 0.0), ("g", 3): (0, 40, 0.2), ("h", 1): (0, 40, 0.0)}
+    cloud = [(g, m, 100.0, float(y) / 2, bed(y / 2) + off, 1.0) for (g, m), (lo, hi, off) in reps.items() for y in range(2 * lo, 2 * hi + 1)]
+    cloud = spark.createDataFrame(cloud, "g string, m int, e double, n double, depth double, weight double")
+    vectors = [(g, m, 1.0, 0.0, 1.0, 3) for g, m in reps for _ in range(6)]
+    vectors = spark.createDataFrame(vectors, "g string, m int, ve double, vn double, weight double, step int")
+    members = [("g", 1, 1.0, 2.0, 250.0, 10.0, "r"), ("g", 2, 1.0, 2.0, 250.3, 12.0, "r"), ("g", 3, 9.0, 2.0, None, 11.0, "r"), ("h", 1, 1.0, 2.0, None, None, "gone")]
+    members = spark.createDataFrame(members, "g string, m int, left double, right double, surface double, discharge double, line string")
+    river = [("r", 0, 0.0, 25.0), ("r", 1, 200.0, 25.0), ("q", 0, 0.0, -3.0), ("q", 1, 200.0, -3.0)]
+    segments = joins.segments_of(spark.createDataFrame(river, "line string, k int, x double, y double"), ["line"], "k")
+    out = group.process_groups(cloud, vectors, members, ["g"], "m", segments=segments)
+    top = {r.g: r for r in out.groups.collect()}
+    g, h = top["g"], top["h"]
+    assert (g.left, g.right, g.n_members, g.surface, g.same_stage, g.accepted) == (1.0, 2.0, 3, pytest.approx(250.15), False, True)
+    assert (g.discharge, g.discharge_sd, g.width) == (11.0, 1.0, 43.0) and g.strays == []
+    assert (g.line, g.method, round(g.chainage, 6), round(g.distance, 6)) == ("r", "crossing", 100.0, 5.0)
+    assert (h.line, h.surface, h.discharge, h.same_stage, h.accepted) == ("r", None, None, True, True)
+
+    merged = {(r.g, r.node): r for r in out.profile.collect()}
+    own = {}
+    for r in out.members.collect():
+        own.setdefault((r.g, r.m), []).append((r.s_m, r.depth_m))
+    stack = {}
+    for (name, m), line in own.items():
+        s, d = zip(*sorted(line))
+        for (other, node), r in merged.items():
+            if other == name and s[0] <= r.s_m <= s[-1]:
+                stack.setdefault((name, node), {})[m] = float(np.interp(r.s_m, s, d))
+    spread = {(r.g, r.node): (r.n, r.sigma, r.common) for r in out.nodes.collect()}
+    assert spread.keys() == stack.keys()
+    for at, values in stack.items():
+        n, sigma, common = spread[at]
+        assert n == len(values) and sigma == pytest.approx(np.std(list(values.values())), abs=1e-9) and common == (n == (3 if at[0] == "g" else 1))
+    for r in out.repetitions.collect():
+        misfit = [v[r.m] - merged[at].depth_m for at, v in stack.items() if at[0] == r.g and r.m in v]
+        assert r.rms == pytest.approx(math.sqrt(np.mean(np.square(misfit))), abs=1e-9) and r.n == len(misfit)
+    shared = [spread[at][1] for at in stack if at[0] == "g" and spread[at][2]]
+    assert g.sigma_mean_common == pytest.approx(np.mean(shared)) and g.sigma_max_common == pytest.approx(max(shared))
+    inner = [spread["g", node][1] for node in range(24, 60)]
+    assert all(0.05 < v < 0.15 for v in inner)  # two at one depth, one 0.2 deeper: 0.094
+
+
+def test_accepted_needs_a_right_angle(spark):
+    rows = [(k, i, i * 0.5, 0.0 if i in (0, 4) else 1.0) for k in range(4) for i in range(5)] + [(4, 0, 0.5, 0.0), (4, 1, 1.0, None)]
+    profiles = spark.createDataFrame(rows, "k int, node int, s_m double, depth_m double")
+    axes = spark.createDataFrame([(0, 10.0, 100.0), (1, 10.0, 271.0), (2, 10.0, 111.0), (4, 0.0, 90.0)], "k int, flow_azimuth double, section_azimuth double")
+    got = {r.k: (r.off_degrees, r.perpendicular, r.accepted) for r in survey.accepted(profiles, ["k"], axes).collect()}
+    assert got == {0: (0.0, True, True), 1: (9.0, True, True), 2: (11.0, False, False), 3: (None, False, False), 4: (0.0, True, False)}
+
+
+def test_places_are_filled_in_pairs(spark):
+    rows = [(1, -38.0, -68.0, 5.0, 6.0), (2, -38.0, -68.0, 5.0, None), (3, None, -68.0, None, 6.0), (4, -38.0, -69.0, float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "id int, lat double, lon double, e double, n double")
+    got = {r.id: r for r in survey.filled_places(df, "lat", "lon", "e", "n", F.lit(19)).collect()}
+    assert (got[1].e, got[1].n, got[1].rebuilt) == (5.0, 6.0, False) and (got[3].e, got[3].n, got[3].rebuilt) == (None, None, False)
+    assert got[4].rebuilt and got[4].e == pytest.approx(500_000) and got[2].rebuilt and got[2].n == pytest.approx(got[4].n, abs=500)

@@ -49,6 +49,18 @@ def test_transect_files(spark, tmp_path):
     ]
 
 
+def test_setup_of_transects(spark, tmp_path):
+    track = {"VB_Depth": [[1.0], [2.0]], "BT_Beam_Depth": np.ones((2, 4)), "BT_Frequency": [[3000.0], [1000.0]]}
+    setup = {"Edges_0__DistanceToBank": [[2.5]], "Edges_1__DistanceToBank": [[4.0]], "startEdge": [[0.0]], "sensorDepth": [[0.06]], "depthReference": [[1.0]]}
+    (tmp_path / "a.mat").write_bytes(mat_file(BottomTrack=track, System={"Heading": [[10.0], [20.0]]}, Summary={"Depth": [[1.5], [2.5]]}, Setup=setup))
+    (tmp_path / "b.mat").write_bytes(mat_file(BottomTrack=track, System={"True_North_ADP_Heading": [[7.0], [8.0]], "Heading": [[0.0], [0.0]], "Time": [[5.0], [6.0]]}))
+    (tmp_path / "c.mat").write_bytes(b"nothing")
+    rows = mat5.read_transects(spark, str(tmp_path))
+    got = {(r.perfil, r.ens): (r.heading, r.time, r.summary_depth) for r in rows.filter("error is null").collect()}
+    assert got == {("a", 0): (10.0, 0.0, 1.5), ("a", 1): (20.0, 1.0, 2.5), ("b", 0): (7.0, 5.0, None), ("b", 1): (8.0, 6.0, None)}
+    assert sorted(map(tuple, mat5.transect_setup(rows).collect())) == [("a", 2.5, 4.0, "left", 0.06, "bt", 2), ("b", 0.0, 0.0, "right", 0.0, "vb", 2)]
+
+
 def test_csv_sources(spark, tmp_path):
     (tmp_path / "ws.csv").write_text("Punto,ESTE,Norte,Cota\np1,1,2,250.5\np2,x,2,3\np3,1,2,\n")
     points, rejected = tables.read_surface_points(spark, str(tmp_path / "ws.csv"))
