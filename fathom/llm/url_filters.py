@@ -3,21 +3,29 @@
 Every rule is a regular expression with the literal tokens that any match must
 contain. A rule is filed under the one of its tokens that the fewest URLs hold.
 A URL's tokens fetch the rules filed under them, and only those rules run their
-expression on it. All of it is DataFrame work: one scan counts the rules' tokens,
-a second explodes the URLs' tokens, joins the index and keeps the best match.
+expression on it. All of it is DataFrame work. One scan counts the rules' tokens. In a
+second, a short list's index stands in the plan as a map, so that every URL is judged in
+its own row without a shuffle; a longer one is joined with the URLs' tokens, and only what
+fits comes back to the URLs. Rules without a literal token have no place in the index and
+run on every URL where it stands.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fathom.llm._stage import cut
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Tokens of rules up to which their index is broadcast (about 200 bytes each); a longer list is joined by shuffle.
 BROADCAST_TOKENS = 200_000
+#: Tokens of rules up to which the index is a map in the plan, searched from end to end.
+MAP_TOKENS = 256
 #: What bounds a token in an expression: an end of the text, or marks of which one must stand there.
 MARK = r"(?:\\[Az]|\\[^A-Za-z0-9]|[^A-Za-z0-9\\\[\](){}*+?|^$.])"
 BOUND = re.compile(rf"(?:{MARK}|\(\?:{MARK}(?:\|{MARK})*\))(?![*?{{])")
@@ -123,7 +131,8 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = PRODUCTION, default:
     judged one by one; columns other than the two are not looked at. An empty
     table gives an empty result.
     """
-    sent = F.broadcast if sum(max(1, len(r.tokens)) for r in rules) <= BROADCAST_TOKENS else lambda side: side
+    n_tokens = sum(len(r.tokens) for r in rules)
+    sent = F.broadcast if n_tokens <= BROADCAST_TOKENS else lambda side: side
     spark = pages.sparkSession
     url = F.coalesce(F.col("url"), F.lit(""))
     rows = pages.select(
@@ -132,11 +141,11 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = PRODUCTION, default:
         F.regexp_extract(url, r"(?s)\A.*?://[^/?#]*([^?#]*)", 1).alias("path"),
     )
     where = F.concat("host", "path")
-    tokens = F.array_distinct(F.split(F.lower(where), "[^a-z0-9]+"))
-    filed = spark.createDataFrame(
-        [(i, r.name, r.verdict, r.pattern, r.named, len(r.name), t) for i, r in enumerate(rules) for t in (r.tokens or ("",))],
-        "id int, name string, of string, expression string, named boolean, size int, token string",
-    )
+    tokens = F.array_remove(F.array_distinct(F.split(F.lower(where), "[^a-z0-9]+")), "")
+    listed = {i: {"size": len(r.name), "slash": -r.name.find("/") - 1, "id": -i, "name": r.name, "of": r.verdict, "expression": r.pattern, "named": r.named} for i, r in enumerate(rules)}
+    literal = lambda value, kind: F.from_json(F.lit(json.dumps(value)), kind)
+    everywhere = literal([rule for i, rule in listed.items() if not rules[i].tokens], f"array<{RULE}>")
+    filed = spark.createDataFrame([(i, t) for i, r in enumerate(rules) for t in r.tokens], "rule int, token string")
     words = filed.select("token").distinct()
     seen = (
         rows.select(F.explode(tokens).alias("token"))
@@ -144,25 +153,28 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = PRODUCTION, default:
         .groupBy("token")
         .agg(F.count("*").alias("urls"))
     )
-    index = (
-        filed.join(sent(seen), "token", "left")
-        .groupBy("id", "name", "of", "expression", "named", "size")
-        .agg(F.min_by("token", F.struct(F.coalesce("urls", F.lit(0)), "token")).alias("token"))
-    )
-    fits = F.expr("regexp_like(concat(host, path), expression)")
-    best = F.max(
-        F.when(
-            fits & F.col("named"),
-            F.struct("size", (-F.instr("name", "/")).alias("slash"), (-F.col("id")).alias("id"), "name", "of"),
-        )
-    )
-    general = F.min(F.when(fits & ~F.col("named"), F.struct((F.col("of") != "block").alias("milder"), "name", "of")))
+    index = filed.join(sent(seen), "token", "left").groupBy("rule").agg(F.min_by("token", F.struct(F.coalesce("urls", F.lit(0)), "token")).alias("token"))
+    if n_tokens <= MAP_TOKENS:
+        under: dict[str, list] = {}
+        for r in index.collect():  # a row per rule of the list that the caller gave
+            under.setdefault(r.token, []).append(listed[r.rule])
+        held = literal(under, f"map<string, array<{RULE}>>")
+        fetched = F.flatten(F.filter(F.transform(tokens, lambda t: F.try_element_at(held, t)), lambda found: found.isNotNull()))
+        judged = rows.withColumn("fits", _fitting(F.concat(fetched, everywhere), where))
+    else:
+        rows = cut(rows.withColumn("row", F.monotonically_increasing_id()))
+        details = spark.createDataFrame([(i, *(v[k] for k in KEYS)) for i, v in listed.items()], f"rule int, {RULE[7:-1]}".replace(":", ""))
+        filing = sent(index.join(sent(details), "rule").select("token", F.array(F.struct(*KEYS)).alias("held")))
+        fits = rows.withColumn("token", F.explode(tokens)).join(filing, "token").select("row", F.explode(_fitting(F.col("held"), where)).alias("fit"))
+        found = fits.groupBy("row").agg(F.collect_list("fit").alias("found"))
+        judged = rows.join(found, "row", "left").withColumn("found", F.coalesce("found", F.array().cast(f"array<{RULE}>")))
+        judged = judged.withColumn("fits", F.concat("found", _fitting(everywhere, where)))
+    best = F.array_max(F.transform(F.filter("fits", lambda c: c["named"]), lambda c: F.struct(*(c[k].alias(k) for k in ("size", "slash", "id", "name", "of")))))
+    milder = lambda c: F.struct((c["of"] != "block").alias("milder"), c["name"].alias("name"), c["of"].alias("of"))
+    general = F.array_min(F.transform(F.filter("fits", lambda c: ~c["named"]), milder))
     return (
-        rows.withColumn("row", F.monotonically_increasing_id())
-        .withColumn("token", F.explode(F.array_union(tokens, F.array(F.lit("")))))
-        .join(sent(index), "token", "left")
-        .groupBy("row", "page_id", "host", "path")
-        .agg(best.alias("best"), general.alias("general"))
+        judged.withColumn("best", best)
+        .withColumn("general", general)
         .select(
             "page_id",
             "host",
@@ -172,3 +184,13 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = PRODUCTION, default:
             F.when(F.col("best").isNull(), F.col("general.name")).alias("pattern"),
         )
     )
+
+
+#: A rule as it stands beside a URL.
+KEYS = ("size", "slash", "id", "name", "of", "expression", "named")
+RULE = "struct<size: int, slash: int, id: int, name: string, of: string, expression: string, named: boolean>"
+
+
+def _fitting(candidates: Column, where: Column) -> Column:
+    """The candidates whose expression is found in ``where``."""
+    return F.filter(candidates, lambda c: F.regexp_like(where, c["expression"]))

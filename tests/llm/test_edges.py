@@ -200,5 +200,31 @@ def test_candidates_equal_every_rule(spark, monkeypatch):
 
     want = {i: by_all(u) for i, u, _ in urls}
     assert {r.page_id: r.pattern for r in url_filters.judge_urls(pages(spark, urls), rules).collect()} == want
+    monkeypatch.setattr(url_filters, "MAP_TOKENS", 10**6)
+    assert {r.page_id: r.pattern for r in url_filters.judge_urls(pages(spark, urls), rules).collect()} == want
+    monkeypatch.setattr(url_filters, "MAP_TOKENS", 0)
     monkeypatch.setattr(url_filters, "BROADCAST_TOKENS", 0)
     assert {r.page_id: r.pattern for r in url_filters.judge_urls(pages(spark, urls), rules).collect()} == want
+
+
+def test_rules_without_tokens_and_long_urls(spark, monkeypatch):
+    """A rule without a literal token runs on every URL, a URL of a megabyte is judged whole, and no URL is shuffled for a short list."""
+    rules = (*url_filters.PRODUCTION, url_filters.pattern_rule("digits", "block", "[0-9]{9}"), url_filters.pattern_rule("end", "allow", "z+/?$"))
+    urls = {
+        1: "http://a.example/" + "p/" * 500_000 + "ads/x", 2: "http://a.example/" + "p/" * 500_000 + "123456789", 3: None, 4: "", 5: "http:///", 6: "http://a.com/zz/",
+        7: "http://" + "s." * 200_000 + "example.org/es/1", 8: "http://a.example/ok",
+    }
+    df = pages(spark, [(i, u, None) for i, u in urls.items()])
+    want = {
+        1: (None, "block", "ads"), 2: (None, "block", "digits"), 3: (None, "allow", None), 4: (None, "allow", None), 5: (None, "allow", None),
+        6: ("com/", "allow", None) if any(r.name == "com/" for r in rules) else (None, "allow", "end"), 7: ("example.org/es/", "block", None), 8: (None, "allow", None),
+    }
+    out = url_filters.judge_urls(df, rules)
+    assert {r.page_id: (r.rule, r.verdict, r.pattern) for r in out.collect()} == want
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    for tokens in (url_filters.BROADCAST_TOKENS, 0):
+        monkeypatch.setattr(url_filters, "MAP_TOKENS", 0)
+        monkeypatch.setattr(url_filters, "BROADCAST_TOKENS", tokens)
+        assert {r.page_id: (r.rule, r.verdict, r.pattern) for r in url_filters.judge_urls(df, rules).collect()} == want
+    none = url_filters.judge_urls(df, (rules[-1],))
+    assert {r.page_id: r.pattern for r in none.collect() if r.pattern} == {6: "end"}
