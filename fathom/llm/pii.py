@@ -241,7 +241,8 @@ def disclosing(docs: DataFrame, rows: DataFrame, reach: int | None, support: int
         held = said.join(_small(holders), "print").select("print", "n", F.explode("terms").alias("term")).distinct()
         held = cut(held)
         often = cut(held.groupBy("term").agg(F.sum("n").alias("n")).filter(F.col("n") >= support).select("term"))
-    with_term = said.select(F.explode("terms").alias("term")).join(_small(often), "term").groupBy("term").agg(F.count("*").alias("with_term"))
+    # counted before the join, so that what the join gives is a row a term, however many texts hold it
+    with_term = said.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("with_term")).join(_small(often), "term")
     with_term = cut(with_term.filter(F.col("with_term") <= total ** (1 - generalise) * float(most) ** generalise * 1.000001))
     if reach is None:
         met = held.select("print", "term").join(_small(with_term.select("term")), "term").join(named, "print")
