@@ -8,19 +8,26 @@ of up to OVERLAP + 1 words lies whole inside the chunk that owns its first word;
 the phrases that begin at a distinct chunk's own words, weighed by its number, counts
 every occurrence once.
 
-Counting goes in three passes over the dictionary. The first counts hashes of words and
-pairs, the second those of longer phrases whose pairs are all frequent, the third counts
-the phrases themselves whose hash was frequent: hashes only choose what is looked at, so
-two phrases that share one change no result.
+Counting goes in passes over the dictionary. The first counts hashes of words and pairs,
+the second those of longer phrases whose pairs are all frequent; later ones count the
+phrases themselves whose hash was frequent: hashes only choose what is looked at, so two
+phrases that share one change no result.
+
+Where only the first phrases of a language are asked for, words are spelt out first, and
+of the longer phrases those that may be among the first, those around them, which may cover
+them, and their parts. No phrase scores more than its hash's count and the counts of its
+first and last word allow. The score from which on phrases are spelt is a guess; where fewer
+than were asked for reach it, it is lowered for that language, down to all its phrases.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +42,12 @@ TRIGGER, LONGEST = 16, 256
 SLICE_BYTES, HELD = 500_000, 2_000_000
 #: Bits of the filter of frequent phrases that workers get (16 MB), whatever the corpus's size; beyond it only work grows.
 FILTER_BITS = 1 << 27
+#: Bytes of a sketch of counts, and of one part of it that a task fills; where more keys share a byte, more is spelt out.
+SLOTS, BLOCK = 1 << 24, 1 << 18
+#: Phrases spelt at first for each that is asked for, and one in so many whose scores tell where these begin.
+ROOM, EVERY = 6, 64
+#: Counts by level of a sketch, eight to a doubling; 0 is no count, the last level has no upper bound.
+LEVELS = np.concatenate([[0.0], 2.0 ** (np.arange(254) / 8), [np.inf]])
 
 SEPARATOR, BLANK = np.zeros(256, bool), np.zeros(256, bool)
 SEPARATOR[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -216,8 +229,118 @@ def _filter(spark: SparkSession, keys: DataFrame):
     return spark.sparkContext.broadcast(out)
 
 
-def _spelt(dictionary: DataFrame, frequent) -> DataFrame:
-    """(lang, phrase, n): exact counts of the phrases whose hash is in the filter."""
+def _sketch(spark: SparkSession, counts: DataFrame, upper: bool):
+    """A broadcast of SLOTS levels: for each slot the largest count (``n``) of its keys, rounded up, or (not ``upper``) the least, rounded down."""
+    steps = F.log2("n") * 8
+    level = F.least(F.ceil(steps + 1e-6) + 1, F.lit(255)) if upper else F.least(F.greatest(F.floor(steps - 1e-6) + 1, F.lit(1)), F.lit(254))
+    slots = counts.select(F.col("key").bitwiseAND(F.lit(SLOTS - 1)).alias("slot"), level.alias("level"))
+    slots = slots.groupBy("slot").agg((F.max if upper else F.min)("level").alias("level"))
+
+    def filled(group: pa.Table) -> pa.Table:
+        at, out = np.asarray(group["slot"]), np.zeros(BLOCK, np.uint8)
+        out[at % BLOCK] = np.asarray(group["level"])
+        return pa.table({"block": pa.array([int(at[0]) // BLOCK], pa.int64()), "levels": pa.array([out.tobytes()], pa.binary())})
+
+    blocks = slots.groupBy(F.shiftright("slot", BLOCK.bit_length() - 1).alias("block")).applyInArrow(filled, "block long, levels binary")
+    out = np.zeros(SLOTS, np.uint8)
+    for r in blocks.collect():
+        out[r.block * BLOCK : (r.block + 1) * BLOCK] = np.frombuffer(r.levels, np.uint8)
+    return spark.sparkContext.broadcast(out)
+
+
+def _frequent(known: np.ndarray, h: np.ndarray, own: np.ndarray, left: np.ndarray, lang: int, least: int, every: int = 1) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(n, which places, keys) of the phrases of ``least`` words and more in the filter; of pairs and what begins with them, one in ``every``.
+
+    A phrase is as rare as its beginning.
+    """
+    ok = np.arange(len(own))
+    for n in range(least, OVERLAP + 2):
+        ok = ok[left[ok] >= n]
+        keys = _keys(h, own[ok], n, lang)
+        if n == 2 and every > 1:
+            there = keys % np.uint64(every) == 0
+            ok, keys = ok[there], keys[there]
+        there = _has(known, keys)
+        ok = ok[there]
+        yield n, ok, keys[there]
+
+
+def _word_levels(words: np.ndarray, h: np.ndarray, lang: int) -> np.ndarray:
+    """The counts of all words by their sketch."""
+    return LEVELS[words[(_keys(h, np.arange(len(h)), 1, lang) & np.uint64(SLOTS - 1)).astype(np.int64)]]
+
+
+def _reaches(levels: np.ndarray, phrases: np.ndarray, keys: np.ndarray, at: np.ndarray, n: int, floor: float) -> np.ndarray:
+    """Whether the phrases of ``n`` words from the places may score ``floor`` (above 0) by the counts of words and the sketch of phrases'.
+
+    A phrase's parts are as frequent as itself at least: cut after its first word or before
+    its last, it scores no more than if the longer part occurred nowhere else.
+    """
+    first, last = levels[at], levels[at + n - 1]
+    a = LEVELS[phrases[(keys & np.uint64(SLOTS - 1)).astype(np.int64)]]
+    parts = first + last if n == 2 else np.maximum(first, last) + a
+    return (first > 0) & (last > 0) & (2_000_000 * a * (1 + 1e-9) >= floor * parts)
+
+
+def _parts_of(dictionary: DataFrame, frequent, words, phrases, floors: dict[str, float]) -> DataFrame:
+    """(key): hashes of the parts, of two words and more, of all phrases that may score their language's floor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
+        for batch in batches:
+            for (lang,), rows in by_key(batch, ("lang",)):
+                salt, floor = _lang_hash(lang), floors.get(lang, 0)
+                for _, _, _, h, own, left, _ in _phrases(rows) if floor else ():
+                    levels = _word_levels(words.value, h, salt)
+                    for n, ok, keys in _frequent(frequent.value, h, own, left, salt, 2):
+                        if n > 2:
+                            at = own[ok]
+                            at = at[_reaches(levels, phrases.value, keys, at, n, floor)]
+                            found += [np.unique(_keys(h, at + s, k, salt)) for k in range(2, n) for s in (0, n - k)]
+                            held += sum(map(len, found[-2 * (n - 2) :]))
+                    if held >= HELD:
+                        found = [np.unique(np.concatenate(found))]
+                        held = len(found[0])
+                        if held >= HELD // 2:
+                            yield pa.RecordBatch.from_arrays([pa.array(found[0].view(np.int64))], names=["key"])
+                            found, held = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).view(np.int64))], names=["key"])
+
+    return dictionary.mapInArrow(run, "key long").distinct()
+
+
+#: Which of the places' phrases, of given keys and number of words, are spelt out; made for the word hashes of a slice of a language.
+Chosen = Callable[[np.ndarray, int, str], Callable[[np.ndarray, np.ndarray, int], np.ndarray]]
+
+
+def _first(words: Broadcast, phrases: Broadcast, parts: Broadcast, floors: dict[str, float]) -> Chosen:
+    """Phrases that may score their language's floor, parts of such ones, and all that hold such a one."""
+
+    def chosen(h: np.ndarray, salt: int, lang: str) -> Callable[[np.ndarray, np.ndarray, int], np.ndarray]:
+        floor = floors.get(lang, 0)
+        if not floor:
+            return lambda keys, at, n: np.ones(len(keys), bool)
+        levels = _word_levels(words.value, h, salt)
+
+        def which(keys: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+            out = _reaches(levels, phrases.value, keys, at, n, floor)
+            rest = np.flatnonzero(~out)
+            out[rest] = _has(parts.value, keys[rest])
+            for k in range(2, n):
+                for s in range(n - k + 1):
+                    rest = np.flatnonzero(~out)
+                    inner = at[rest] + s
+                    out[rest] = _reaches(levels, phrases.value, _keys(h, inner, k, salt), inner, k, floor)
+            return out
+
+        return which
+
+    return chosen
+
+
+def _spelt(dictionary: DataFrame, frequent, least: int = 1, every: int = 1, chosen: Chosen | None = None) -> DataFrame:
+    """(lang, phrase, n): exact counts of the phrases that ``_frequent`` gives; of these the chosen ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, found, held = frequent.value, {}, 0
@@ -235,9 +358,10 @@ def _spelt(dictionary: DataFrame, frequent) -> DataFrame:
             for (lang,), rows in by_key(batch, ("lang",)):
                 salt = _lang_hash(lang)
                 for part, starts, ends, h, own, left, times in _phrases(rows):
-                    for n in range(1, OVERLAP + 2):
-                        ok = np.flatnonzero(left >= n)
-                        ok = ok[_has(known, _keys(h, own[ok], n, salt))]
+                    which = chosen(h, salt, lang) if chosen is not None else None
+                    for n, ok, keys in _frequent(known, h, own, left, salt, least, every):
+                        if which is not None:
+                            ok = ok[which(keys, own[ok], n)]
                         phrases = gathered(part, starts[own[ok]], ends[own[ok] + n - 1])
                         t = pa.table({"phrase": phrases, "n": pa.array(times[ok])}).group_by("phrase").aggregate([("n", "sum")])
                         found.setdefault(lang, []).append(t.rename_columns({"n_sum": "n"}).select(["phrase", "n"]))
@@ -253,15 +377,70 @@ def _spelt(dictionary: DataFrame, frequent) -> DataFrame:
     return dictionary.mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def phrase_counts(dictionary: DataFrame, least: int = 30) -> DataFrame:
-    """lang, phrase, n: every phrase of up to OVERLAP + 1 words with ``least`` occurrences or more in a language."""
-    spark = dictionary.sparkSession
+def _frequent_keys(dictionary: DataFrame, least: int) -> DataFrame:
+    """(key, n): hashes that ``least`` occurrences or more have, of phrases of up to OVERLAP + 1 words."""
     short = cut(_count(dictionary, (1, 2), None).filter(F.col("n") >= least))
-    pairs = _filter(spark, short)
+    pairs = _filter(dictionary.sparkSession, short)
     long = cut(_count(dictionary, tuple(range(3, OVERLAP + 2)), pairs).filter(F.col("n") >= least))
-    out = cut(_spelt(dictionary, _filter(spark, short.unionAll(long))).filter(F.col("n") >= least))
     pairs.destroy()
-    return out
+    return short.unionAll(long)
+
+
+def phrase_counts(dictionary: DataFrame, least: int = 30) -> DataFrame:
+    """lang, phrase, n: every phrase of up to OVERLAP + 1 words with ``least`` occurrences or more in a language."""
+    frequent = _filter(dictionary.sparkSession, _frequent_keys(dictionary, least))
+    return cut(_spelt(dictionary, frequent).filter(F.col("n") >= least))
+
+
+def _word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, n) of words (lang, phrase, n)."""
+    for batch in batches:
+        for (lang,), rows in by_key(batch, ("lang",)):
+            data, offsets = utf8_buffers(rows.column(1))
+            h = run_hashes(data, offsets[:-1], offsets[1:])
+            keys = _keys(h, np.arange(len(h)), 1, _lang_hash(lang))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), rows.column(2)], names=["key", "n"])
+
+
+def _floors(some: DataFrame, place: int) -> dict[str, float]:
+    """The bound on the score of each language's phrase at that place among ``some``, by bound; languages with fewer have none."""
+    words = some.filter(~F.col("phrase").contains(" ")).select("lang", "phrase", "n")
+    longer = some.filter(F.col("phrase").contains(" ")).select(
+        "lang", F.col("n").alias("a"), F.substring_index("phrase", " ", 1).alias("first"),
+        F.substring_index("phrase", " ", -1).alias("last"), (F.size(F.split("phrase", " ", -1)) == 2).alias("pair"),
+    )
+    longer = longer.join(words.toDF("lang", "first", "l"), ["lang", "first"]).join(words.toDF("lang", "last", "r"), ["lang", "last"])
+    parts = F.when(F.col("pair"), F.col("l").cast("double") + F.col("r")).otherwise(F.greatest("l", "r").cast("double") + F.col("a"))
+    longer = longer.select("lang", (F.lit(2e6) * F.col("a") / parts).alias("bound"))
+    ordered = longer.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("bound"))))
+    return {r.lang: r.bound for r in ordered.filter(F.col("at") == place).select("lang", "bound").collect()}
+
+
+def first_ranked(dictionary: DataFrame, least: int, top: int, covered: int) -> DataFrame:
+    """As ``rank`` of all phrase counts, spelling out only what the first ``top`` of a language need."""
+    spark = dictionary.sparkSession
+    keys = _frequent_keys(dictionary, least)
+    frequent = _filter(spark, keys)
+    some = cut(_spelt(dictionary, frequent, every=EVERY).filter(F.col("n") >= least))
+    spelt = some.filter(~F.col("phrase").contains(" "))
+    room = ROOM
+    floors = _floors(some, -(-room * top // EVERY))
+    if floors:
+        words, phrases = _sketch(spark, spelt.mapInArrow(_word_keys, "key long, n long"), False), _sketch(spark, keys, True)
+    while True:
+        chosen = None
+        if floors:
+            parts = _filter(spark, _parts_of(dictionary, frequent, words, phrases, floors))
+            chosen = _first(words, phrases, parts, floors)
+        longer = cut(_spelt(dictionary, frequent, 2, chosen=chosen).filter(F.col("n") >= least))
+        out = cut(rank(spelt.unionAll(longer), top, covered))
+        reached = out.groupBy("lang").agg(F.count("*").alias("k"), F.min("score").alias("least"))
+        met = {r.lang for r in reached.collect() if r.k >= top and r.least >= floors.get(r.lang, 0)}
+        if floors.keys() <= met:
+            return out
+        room *= 4
+        lower = _floors(some, -(-room * top // EVERY))
+        floors = {lang: floor if lang in met else lower[lang] for lang, floor in floors.items() if lang in met or lang in lower}
 
 
 def _exact(c: Column | str) -> Column:
@@ -274,14 +453,14 @@ def rank(counts: DataFrame, top: int | None = 2000, covered: int = 80) -> DataFr
     lang, rank, phrase, a (its count), l and r (the counts of its parts at the cut that scores
     least, ties to the first) and score, floor(2000000 * a / (l + r)). Phrases inside a longer
     one with ``covered`` percent of their count or more are left out. ``top`` of a language,
-    by score, count and bytes; None: all.
+    by score, count and bytes; None: all. A phrase with a part that has no count is not scored.
     """
     words = F.split("phrase", " ", -1)
     counts = counts.withColumn("words", words)
     size = F.size("words")
     cuts = counts.filter(size > 1).select("lang", "phrase", F.col("n").alias("a"), "words", F.explode(F.sequence(F.lit(1), size - 1)).alias("k"))
     cuts = cuts.select(
-        "lang", "phrase", "a", "k",
+        "lang", "phrase", "a", "k", (size - 1).alias("whole"),
         F.array_join(F.slice("words", F.lit(1), F.col("k")), " ").alias("head"),
         F.array_join(F.slice("words", F.col("k") + 1, size - F.col("k")), " ").alias("tail"),
     )
@@ -289,7 +468,7 @@ def rank(counts: DataFrame, top: int | None = 2000, covered: int = 80) -> DataFr
     cuts = cuts.join(plain.toDF("lang", "head", "l"), ["lang", "head"]).join(plain.toDF("lang", "tail", "r"), ["lang", "tail"])
     score = F.expr("(cast(a as decimal(20,0)) * 2000000bd) div (cast(l as decimal(20,0)) + cast(r as decimal(20,0)))")
     least = F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut")
-    scored = cuts.groupBy("lang", "phrase", "a").agg(least).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
+    scored = cuts.groupBy("lang", "phrase", "a", "whole").agg(least, F.count("*").alias("found")).filter(F.col("found") == F.col("whole")).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
     # phrases inside each longer one, with the largest count of what holds them
     inner = F.explode(
         F.flatten(
@@ -318,5 +497,5 @@ def collocations(docs: DataFrame, least: int = 30, top: int | None = 2000, cover
     """
     dictionary = stored(parse(docs), "chunks")
     sizes = dictionary.groupBy("lang").agg(F.sum(F.col("owned").cast("long") * F.col("times")).alias("n"))
-    ranked = rank(phrase_counts(dictionary, least), top, covered)
+    ranked = rank(phrase_counts(dictionary, least), None, covered) if top is None else first_ranked(dictionary, least, top, covered)
     return ranked.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -95,6 +95,29 @@ def test_ranks_equal_plain_ones(spark):
     assert got == plain_ranks(rows, 5, 40)
 
 
+@pytest.mark.parametrize(("seed", "room"), [(5, 0.01), (6, 1), (7, 3)])
+def test_few_phrases_are_spelt_and_ranks_stay(spark, monkeypatch, seed, room):
+    rng = random.Random(seed)
+    words = [f"v{i}" for i in range(60)]
+    rows = invented(seed, 200)
+    rows += [("en", " ".join(x for i in rng.choices(range(60), [60 / (k + 1) for k in range(60)], k=30) for x in words[i : i + rng.choice([1, 1, 3])])) for _ in range(400)]
+    plain, given = C.rank, []
+    monkeypatch.setattr(C, "rank", lambda counts, top, covered: given.append(counts) or plain(counts, top, covered))
+    monkeypatch.setattr(C, "ROOM", room)
+    got = {tuple(r) for r in C.collocations(frame(spark, rows), least=5, top=25).collect()}
+    assert got == plain_ranks(rows, 5, 25)
+    f = {k: n for k, n in plain_counts(rows).items() if n >= 5}
+    assert given[0].filter("lang = 'en'").count() < 0.8 * sum(lang == "en" for lang, _ in f)
+    assert all(f[r.lang, r.phrase] == r.n for counts in given for r in counts.collect())
+    assert room >= 1 or len(given) > 1
+
+
+def test_phrases_without_all_parts_are_not_ranked(spark):
+    f = [("a", 50), ("b", 50), ("c", 50), ("a b", 40), ("a b c", 31)]
+    rows = C.rank(spark.createDataFrame([("en", p, n) for p, n in f], "lang string, phrase string, n long")).collect()
+    assert [(r.phrase, r.score) for r in rows] == [("a b", 800_000)]
+
+
 def test_a_full_filter_changes_nothing(spark, monkeypatch):
     rows = invented(4, 60)
     want = {tuple(r) for r in C.collocations(frame(spark, rows), least=4).collect()}
