@@ -118,21 +118,23 @@ def smooth(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
 
 
 def despike(
-    df: DataFrame, keys: Sequence[str], order: str, value: str, half: int = 10, multiplier: float = 15.0, cycles: int = 3, out: str = "valid"
+    df: DataFrame, keys: Sequence[str], order: str, value: str, half: int = 10, multiplier: float = 15.0, cycles: int = 3, out: str = "valid",
+    positive: bool = True, at_least: int = 5,
 ) -> DataFrame:
     """Adds whether each value holds against a running median.
 
     A cycle fills gaps, smooths, and rejects rows whose residual exceeds the greatest of
     ``multiplier`` times the residuals' running interquartile range, 5 per cent of the
     value and 0.1. The first cycle sees non-positive values, later ones only what holds.
-    Groups with fewer than five positive values are not filtered. ``order`` is a row
-    number within the group or any distinct number.
+    Groups with fewer than ``at_least`` positive values are not filtered. Without ``positive``
+    zero and negative values may hold and count like any other. ``order`` is a row number
+    within the group or any distinct number.
     """
     group = Window.partitionBy(*keys)
     d = finite(F.col(value))
     rows = df.withColumn("__place", F.row_number().over(group.orderBy(order)).cast("double"))
-    rows = rows.withColumn("__valid", d.isNotNull() & (d > 0)).withColumn("__work", d)
-    rows = rows.withColumn("__enough", F.count_if("__valid").over(group) >= 5)
+    rows = rows.withColumn("__valid", d.isNotNull() & (d > 0) if positive else d.isNotNull()).withColumn("__work", d)
+    rows = rows.withColumn("__enough", F.count_if("__valid").over(group) >= at_least)
     width = max(3, 2 * (half // 2) + 1)
     rows = rows.withColumn("__go", F.col("__enough"))
     for _ in range(max(1, cycles)):

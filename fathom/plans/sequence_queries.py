@@ -46,7 +46,7 @@ def running_median(spark, sf_dir):
        SELECT event_id, user_id, NOT (abs(res) > greatest(coalesce(CASE WHEN c >= 4 THEN 1.5 * iqr END, 0), 0.05 * abs(value), 0.1)) AS valid FROM q"""
 )
 def despike_once(spark, sf_dir):
-    out = sequence.despike(events(spark, sf_dir), ["user_id"], "event_id", "value", multiplier=1.5, cycles=1)
+    out = sequence.despike(events(spark, sf_dir), ["user_id"], "event_id", "value", multiplier=1.5, cycles=1, positive=False, at_least=1)
     return out.select("event_id", "user_id", "valid")
 
 
