@@ -25,3 +25,11 @@ def with_zeros():
 def test_despike_counts_zeros_and_small_groups(spark, tmp_path):
     got, want = both(spark, tmp_path, "despike_once", with_zeros())
     assert got == want and any(v for _, u, v in want if u < 3) and not all(v for _, u, v in want if u > 4)
+
+
+def test_a_rise_of_just_the_tolerance_is_none(spark, tmp_path):
+    steps = [v / 100 for v in range(0, 3000, 7)]
+    values = [x for v in steps for x in (v, round(v + 50, 2))]
+    assert any(b - a > 50 for a, b in zip(values[::2], values[1::2]))
+    got, want = both(spark, tmp_path, "monotonic_check", [(i, 1, v) for i, v in enumerate([*values, 10.0, 60.01])])
+    assert got == want == [(len(values), 1, 50.01)]
