@@ -87,10 +87,16 @@ def interval_weights(df: DataFrame, keys: Sequence[str], order: Sequence[str], x
     return rows.withColumn(out, weight).drop("__step", "__half", "__cap")
 
 
-def unit_discharge_weights(df: DataFrame, keys: Sequence[str], order: Sequence[str], x: str, y: str, depth: str, out: str = "weight") -> DataFrame:
-    """Adds the interval weight times the depth, where a missing depth is the group's median."""
+def unit_discharge_weights(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], x: str, y: str, depth: str, out: str = "weight", positive: bool = True
+) -> DataFrame:
+    """Adds the interval weight times the depth, where a missing depth is the group's median.
+
+    With ``positive`` a depth of zero or less is missing too, else it counts as it is.
+    """
     rows = interval_weights(df, keys, order, x, y, "__interval")
-    d = F.when(finite(F.col(depth)) > 0, finite(F.col(depth)))
+    d = finite(F.col(depth))
+    d = F.when(d > 0, d) if positive else d
     middle = F.percentile(d, F.lit(0.5)).over(Window.partitionBy(*keys))
     return rows.withColumn(out, F.col("__interval") * F.coalesce(d, middle)).drop("__interval")
 

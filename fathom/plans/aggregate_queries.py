@@ -136,7 +136,7 @@ def interval_weights(spark, sf_dir):
 def unit_discharge_weights(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
     rows = rows.withColumn("depth", F.when(F.col("event_id") % 11 != 0, F.col("value")))
-    out = agg.unit_discharge_weights(rows, ["user_id"], ["event_id"], "value", "event_id", "depth")
+    out = agg.unit_discharge_weights(rows, ["user_id"], ["event_id"], "value", "event_id", "depth", positive=False)
     return fixed_all(out, "weight").select("event_id", "user_id", "weight")
 
 

@@ -33,3 +33,8 @@ def test_a_rise_of_just_the_tolerance_is_none(spark, tmp_path):
     assert any(b - a > 50 for a, b in zip(values[::2], values[1::2]))
     got, want = both(spark, tmp_path, "monotonic_check", [(i, 1, v) for i, v in enumerate([*values, 10.0, 60.01])])
     assert got == want == [(len(values), 1, 50.01)]
+
+
+def test_a_depth_of_zero_weighs_nothing(spark, tmp_path):
+    got, want = both(spark, tmp_path, "unit_discharge_weights", [r for r in with_zeros() if r[1] < 6])
+    assert got == want and sum(w == 0 for *_, w in want) >= 5
