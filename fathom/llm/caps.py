@@ -36,6 +36,8 @@ FILTERS_PER_VECTOR, FILTERS_AT_LEAST = (32, 48, 64, 96, 128, 192, 256), 32
 MISSED, PROBES = 0.003, 1000
 #: Rows of a filter that one task compares at once; a larger one is dealt into cells.
 CELL_ROWS = 1024
+#: Pairs of directions, products of a half, shared filters and bytes of listed rows that a worker holds at once.
+PAIRS_AT_ONCE, PRODUCTS_AT_ONCE, NAMES_AT_ONCE, BYTES_AT_ONCE = 500_000, 1_000_000, 2048, 4_000_000
 #: Crowded filters up to which they are broadcast (16 bytes each).
 BROADCAST_FILTERS = 1_000_000
 
@@ -63,27 +65,51 @@ class ProductCode:
     def decode(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, filter) for every filter that a row's unit vector reaches, its best ones at least, by row and filter."""
         one, two = self.products(units)
-        most = min(self.directions, 40)
-        while True:
-            left = np.argpartition(-one, most - 1, axis=1)[:, :most]
-            right = np.argpartition(-two, most - 1, axis=1)[:, :most]
-            a, b = np.take_along_axis(one, left, 1), np.take_along_axis(two, right, 1)
-            # the directions left out reach nothing with the best of the other half
-            full = (a.min(1) + b.max(1) < self.threshold) & (a.max(1) + b.min(1) < self.threshold)
-            if full.all() or most == self.directions:
-                break
-            most = min(self.directions, 2 * most)
-        sums = a[:, :, None] + b[:, None, :]
-        hit = sums >= self.threshold
-        few = np.flatnonzero(hit.sum(axis=(1, 2)) < FILTERS_AT_LEAST)
-        if len(few):  # the best sums are of the best directions of both halves
-            flat = sums[few].reshape(len(few), -1)
-            least = min(FILTERS_AT_LEAST, flat.shape[1])
-            hit[few] = sums[few] >= -np.partition(-flat, least - 1, axis=1)[:, least - 1, None, None]
-        r, i, j = np.nonzero(hit)
-        f = left[r, i].astype(np.int64) * self.directions + right[r, j]
-        order = np.lexsort((f, r))
-        return r[order], f[order]
+        # a direction that reaches nothing with the best of the other half is in no filter; the others are paired row by row
+        first, left = np.nonzero(one + two.max(axis=1, keepdims=True) >= self.threshold)
+        second, right = np.nonzero(two + one.max(axis=1, keepdims=True) >= self.threshold)
+        begin = np.searchsorted(second, np.arange(len(units) + 1))
+        width = np.diff(begin)[first]
+        upto = np.append(0, np.cumsum(width))
+        found = []
+        s = 0
+        while s < len(first):
+            e = max(s + 1, int(np.searchsorted(upto, upto[s] + PAIRS_AT_ONCE, "right")) - 1)
+            n = width[s:e]
+            k = np.repeat(np.arange(s, e), n)
+            r = first[k]
+            at = begin[r] + np.arange(len(k)) - np.repeat(upto[s:e] - upto[s], n)
+            hit = one[r, left[k]] + two[r, right[at]] >= self.threshold
+            found.append((r[hit], left[k[hit]] * self.directions + right[at[hit]]))
+            s = e
+        rows, filters = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (zip(*found) if found else ((), ())))
+        few = np.bincount(rows, minlength=len(units)) < FILTERS_AT_LEAST
+        if few.any():
+            best = self._best(one[few], two[few], np.flatnonzero(few))
+            kept = ~few[rows]
+            rows, filters = np.append(rows[kept], best[0]), np.append(filters[kept], best[1])
+        order = np.lexsort((filters, rows))
+        return rows[order], filters[order]
+
+    def _best(self, one: np.ndarray, two: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, filter) of the FILTERS_AT_LEAST filters that each row is nearest to, and of what ties with the last of them."""
+        most = min(self.directions, FILTERS_AT_LEAST)
+        # the pair of the p-th and the q-th best has p times q pairs that are as good
+        i, j = np.nonzero(np.outer(np.arange(1, most + 1), np.arange(1, most + 1)) <= FILTERS_AT_LEAST)
+        least = min(FILTERS_AT_LEAST, len(i))
+        found = []
+        for s in range(0, len(one), 500):
+            ranked = []
+            for side in (one[s : s + 500], two[s : s + 500]):
+                top = np.argpartition(-side, most - 1, axis=1)[:, :most]
+                value = np.take_along_axis(side, top, 1)
+                order = np.lexsort((top, -value))
+                ranked.append((np.take_along_axis(top, order, 1), np.take_along_axis(value, order, 1)))
+            (left, a), (right, b) = ranked
+            sums = a[:, i] + b[:, j]
+            r, c = np.nonzero(sums >= -np.partition(-sums, least - 1, axis=1)[:, least - 1, None])
+            found.append((names[s + r], left[r, i[c]] * self.directions + right[r, j[c]]))
+        return tuple(np.concatenate(c) for c in zip(*found))
 
 
 def _units(x: np.ndarray) -> np.ndarray:
@@ -161,7 +187,7 @@ class Filters:
         if width not in self.codes:
             self.codes[width] = ProductCode(width, directions, threshold)
         rows, filters = [], []
-        step = min(2000, max(1, 20_000_000 // max(1600, directions * 4)))
+        step = max(1, PRODUCTS_AT_ONCE // max(1000, directions))
         for s in range(0, len(x), step):
             r, f = self.codes[width].decode(_units(x[s : s + step]))
             rows.append(r + s)
@@ -179,7 +205,10 @@ def compare(
     an earlier filter are counted there.
     """
     norm = np.linalg.norm(x, axis=1)
-    close = x @ x.T / norm[:, None] / norm[None, :] >= least
+    close = x @ x.T
+    close /= norm[:, None]
+    close /= norm[None, :]
+    close = close >= least
     np.fill_diagonal(close, False)
     if not first.all():
         close &= first[:, None] != first[None, :]
@@ -190,10 +219,20 @@ def compare(
         return count, root
     rows, held = filters.of(x[near])
     early = held < this
-    names, column = np.unique(held[early], return_inverse=True)
-    member = np.zeros((len(near), len(names)), np.float32)
-    member[rows[early], column] = 1
-    new = close[np.ix_(near, near)] & (member @ member.T == 0)
+    rows, held = rows[early], held[early]
+    _, column, holders = np.unique(held, return_inverse=True, return_counts=True)
+    new = close[np.ix_(near, near)]
+    several = holders > 1  # a filter with one row parts no pair
+    number = np.cumsum(several) - 1
+    of_some = several[column]
+    rows, column = rows[of_some], number[column[of_some]]
+    order = np.argsort(column, kind="stable")
+    rows, column = rows[order], column[order]
+    for s in range(0, int(several.sum()), NAMES_AT_ONCE):
+        a, b = np.searchsorted(column, (s, s + NAMES_AT_ONCE))
+        member = np.zeros((len(near), NAMES_AT_ONCE), np.float32)
+        member[rows[a:b], column[a:b] - s] = 1
+        new &= member @ member.T == 0
     count[near] = new @ copies[near]
     label = np.arange(len(near))
     while True:
@@ -243,12 +282,15 @@ def near_duplicates(
                 for part in np.array_split(np.flatnonzero(width == w), max(1, len(raw) // 1000)):
                     if not len(part):
                         continue
-                    r, f = filters.of(matrix([raw[i] for i in part], kind))
-                    taken = pa.array(part[r])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(f), pa.array(np.full(len(f), w)), *(batch.column(c).take(taken) for c in (1, 2, 0))],
-                        names=["filter", "width", "node", "copies", "vector"],
-                    )
+                    every, all_filters = filters.of(matrix([raw[i] for i in part], kind))
+                    some = max(1, BYTES_AT_ONCE // (w * size + 32))
+                    for s in range(0, len(every), some):
+                        r, f = every[s : s + some], all_filters[s : s + some]
+                        taken = pa.array(part[r])
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(f), pa.array(np.full(len(f), w)), *(batch.column(c).take(taken) for c in (1, 2, 0))],
+                            names=["filter", "width", "node", "copies", "vector"],
+                        )
 
     schema = "filter long, width long, node long, copies long, vector binary"
     members = groups.select("vector", "node", "copies").mapInArrow(listed, schema)
