@@ -79,6 +79,13 @@ def on_merged_axis(profiles: DataFrame, merged: DataFrame, directions: DataFrame
     return profiles.join(axis, list(keys)).withColumn("s_m", s).drop("__x", "__y", "__t")
 
 
+def _fitting(cell: float, sections: DataFrame, segments: DataFrame) -> float:
+    """Twice the mean length of the segments, a sixteenth of the sections' at least and ``cell`` at most; results are the same by any."""
+    size = lambda rows, c: rows.agg(F.avg(aggregates.finite(c))).first()[0] or 0.0
+    long = size(sections, F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")))
+    return min(cell, max(2 * size(segments, F.col("length")), long / 16) or cell)
+
+
 def relocated(merged: DataFrame, edges: DataFrame, keys: Sequence[str], segments: DataFrame, line: str, cell: float = 250.0) -> DataFrame:
     """Where each merged section lies on the river of its group: line, chainage, distance and method.
 
@@ -96,13 +103,17 @@ def relocated(merged: DataFrame, edges: DataFrame, keys: Sequence[str], segments
         *keys, F.col(line).alias("__own"),
         along(lo, "east").alias("ax"), along(lo, "north").alias("ay"), along(hi, "east").alias("bx"), along(hi, "north").alias("by"),
     ))
+    segments = cut(segments)
+    cell = _fitting(cell, sections, segments)
     middle = sections.select(*keys, "__own", ((F.col("ax") + F.col("bx")) / 2).alias("x"), ((F.col("ay") + F.col("by")) / 2).alias("y"))
-    middle = middle.join(segments.select(F.col(line).alias("__own")).distinct().withColumn("__there", F.lit(True)), "__own", "left")
+    middle = cut(middle.join(segments.select(F.col(line).alias("__own")).distinct().withColumn("__there", F.lit(True)), "__own", "left"))
     own = reference.on_declared(middle.filter("__there").withColumnRenamed("__own", line), keys, segments, line, cell)
     free = middle.filter("__there is null")
     near = joins.nearest_segments(free, keys, segments.withColumn("__order", F.col(line)), line, "__order", cell=cell)
-    foot = own.select(*keys, line, "distance", "chainage").unionByName(near.select(*keys, line, "distance", "chainage"))
-    met = joins.crossings(sections, keys, segments.withColumnRenamed(line, "line"), cell).withColumnRenamed("line", line)
+    foot = cut(own.select(*keys, line, "distance", "chainage").unionByName(near.select(*keys, line, "distance", "chainage")))
+    # only crossings with the line on which the middle lies count
+    sections = sections.drop("__own").join(foot.select(*keys, F.col(line).alias("line")), list(keys))
+    met = joins.crossings(sections, keys, segments.withColumnRenamed(line, "line"), cell, own=True).withColumnRenamed("line", line)
     met = met.join(middle.select(*keys, "x", "y"), list(keys)).withColumn("__d", F.hypot(F.col("px") - F.col("x"), F.col("py") - F.col("y")))
     met = met.groupBy(*keys, line).agg(F.min(F.struct("__d", "chainage")).alias("__c"))
     rows = foot.join(met, [*keys, line], "left")

@@ -6,6 +6,7 @@ them; a broadcast is taken where the caller knows that side to be small.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 
 from fathom.functions.materialise import cut
 
+#: Pairs of rows that one task of a join by cells looks at, and tasks of such a join at most.
+PAIRS_A_TASK, TASKS = 1_000_000, 2000
+
 
 def band_join(points: DataFrame, s: str, step: float, half: float, node: str = "node") -> DataFrame:
     """A row per point and grid node ``k * step`` within ``half`` of it, both ends included; adds ``node`` (k).
@@ -100,7 +104,7 @@ def nearest_segments(
     while done is None or not asked.isEmpty():
         around = lambda c: F.sequence(F.floor(F.col(c) / cell) - 1, F.floor(F.col(c) / cell) + 1)  # noqa: B023, E731
         wide = asked.withColumn("cx", F.explode(around("x"))).withColumn("cy", F.explode(around("y")))
-        met = wide.join(cells_along(segments, cell), by).drop("cx", "cy")
+        met = met_in_cells(wide, cells_along(segments, cell), by).drop("cx", "cy")
         found = cut(_ranked(met, key, line, order, k))
         near = found.filter((F.col("rank") == k) & (F.col("distance") <= cell)).select(*key)
         found = found.join(near, list(key), "left_semi")
@@ -110,6 +114,28 @@ def nearest_segments(
     return done
 
 
+def met_in_cells(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The inner join of two tables by their cells, spread over tasks by the pairs that it makes and not by its bytes.
+
+    Where a cell makes more than PAIRS_A_TASK pairs, its rows on the left are dealt over as
+    many tasks and those on the right go to each of them.
+    """
+    here, there = left.groupBy(*by).agg(F.count("*").alias("__n")), right.groupBy(*by).agg(F.count("*").alias("__m"))
+    parts = F.ceil(F.col("__n") * F.col("__m") / PAIRS_A_TASK)
+    counts = here.join(there, list(by)).select(*by, (F.col("__n") * F.col("__m")).alias("__pairs"), parts.cast("int").alias("__parts"))
+    counts = cut(counts)
+    pairs = counts.agg(F.sum("__pairs")).first()[0] or 0
+    if pairs <= PAIRS_A_TASK:
+        return left.join(right, list(by))
+    tasks = min(TASKS, max(8, math.ceil(2 * pairs / PAIRS_A_TASK)))
+    crowded = F.broadcast(counts.filter("__parts > 1").select(*by, "__parts"))
+    one = left.withColumn("__hash", F.xxhash64(*left.columns)).join(crowded, list(by), "left")
+    one = one.withColumn("__part", F.coalesce(F.pmod("__hash", "__parts"), F.lit(0)).cast("int")).drop("__hash", "__parts")
+    two = right.join(crowded, list(by), "left").withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1)))
+    keys = [*by, "__part"]
+    return one.repartition(tasks, *keys).join(two.drop("__parts").repartition(tasks, *keys), keys).drop("__part")
+
+
 def cells_along(segments: DataFrame, cell: float) -> DataFrame:
     """A row per segment and grid cell that it goes through: adds ``cx``, ``cy``.
 
@@ -130,16 +156,17 @@ def cells_along(segments: DataFrame, cell: float) -> DataFrame:
     return rows.withColumn("cy", F.explode(F.sequence(F.floor(F.least(bottom, top) / cell), F.floor(top / cell))))
 
 
-def crossings(sections: DataFrame, key: Sequence[str], segments: DataFrame, cell: float) -> DataFrame:
+def crossings(sections: DataFrame, key: Sequence[str], segments: DataFrame, cell: float, own: bool = False) -> DataFrame:
     """Places where sections (ax, ay, bx, by) and segments cross: px, py, chainage and the share along the section.
 
     Both sides are cut into cells and joined on them; a crossing found in several cells
-    is kept once. Collinear overlaps give the middle of the overlap.
+    is kept once. Collinear overlaps give the middle of the overlap. With ``own`` a section
+    has a column ``line`` too and meets that line only.
     """
     one = cells_along(
         sections.withColumnsRenamed({"ax": "x0", "ay": "y0", "bx": "x1", "by": "y1"}), cell
     ).withColumnsRenamed({"x0": "ax", "y0": "ay", "x1": "bx", "y1": "by"})
-    met = one.join(cells_along(segments, cell), ["cx", "cy"]).drop("cx", "cy").dropDuplicates([*key, "line", "seg_no"])
+    met = met_in_cells(one, cells_along(segments, cell), ["cx", "cy", "line"] if own else ["cx", "cy"])
     rx, ry = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
     qx, qy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
     wx, wy = F.col("x0") - F.col("ax"), F.col("y0") - F.col("ay")
@@ -153,7 +180,7 @@ def crossings(sections: DataFrame, key: Sequence[str], segments: DataFrame, cell
     lo, hi = F.greatest(F.lit(0.0), F.least(e0, e1)), F.least(F.lit(1.0), F.greatest(e0, e1))
     lying = (det == 0) & (F.abs(wx * ry - wy * rx) <= 1e-9 * size) & (lo <= hi)
     share = F.when(hit, t).when(lying, (lo + hi) / 2)
-    rows = met.withColumn("share", share).filter("share is not null")
+    rows = met.withColumn("share", share).filter("share is not null").dropDuplicates([*key, "line", "seg_no"])
     px, py = F.col("ax") + F.col("share") * rx, F.col("ay") + F.col("share") * ry
     chainage = F.col("s0") + F.hypot(px - F.col("x0"), py - F.col("y0"))
     return rows.select(*key, "line", "seg_no", px.alias("px"), py.alias("py"), chainage.alias("chainage"), "share")
