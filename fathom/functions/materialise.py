@@ -21,3 +21,12 @@ def cut(df: DataFrame) -> DataFrame:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="fathom-checkpoint-"))
     return df.checkpoint(eager=True)
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete what ``cut`` has written for ``df``, which nothing may read any more."""
+    spark = df.sparkSession
+    file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if file.isDefined():
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file.get())
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
