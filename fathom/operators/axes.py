@@ -52,109 +52,110 @@ def _ranked(darts: DataFrame, most: int) -> DataFrame:
     return state
 
 
-def _codes(columns: list[np.ndarray]) -> np.ndarray:
-    """A number for every row, equal for equal rows."""
-    code = np.zeros(len(columns[0]), np.int64)
-    for c in columns:
-        one = np.unique(c, return_inverse=True)[1].ravel()
-        code = np.unique(code * (one.max(initial=0) + 1) + one, return_inverse=True)[1].ravel()
-    return code
-
-
-def _fields(places: pa.StructArray) -> list[np.ndarray]:
-    """The fields of places as columns of numbers that are equal for equal values, nulls included."""
-    out = []
-    for field in places.flatten():
-        if pa.types.is_floating(field.type) and not field.null_count:
-            out.append(field.to_numpy(zero_copy_only=False) + 0.0)
-        else:
-            out.append(field.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64))
-    return out
-
-
-def _ranks(follow: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(next, last, hops, least) of darts followed by others (-1: none), as ``_ranked`` gives them."""
-    following, last, hops, least = follow.copy(), np.arange(len(follow)), np.zeros(len(follow), np.int64), np.arange(len(follow))
-    for _ in range(max(1, math.ceil(math.log2(max(most, 2)))) + 1):
-        d = np.flatnonzero(following >= 0)
-        if not len(d):
-            break
-        to = following[d]
-        following[d], last[d], hops[d], least[d] = following[to], last[to], hops[d] + hops[to] + 1, np.minimum(least[d], least[to])
-    return following, last, hops, least
-
-
-def _merge(river: np.ndarray, first: list[np.ndarray], last: list[np.ndarray]) -> tuple[np.ndarray, ...]:
-    """(row, line, place, backward, closed) of parts sorted by river and part; ``line`` is the row of the line's least part.
+def _within_tasks(at_once: int):
+    """What merges whole rivers in a worker, about ``at_once`` parts at a time; its functions are sent by value."""
+
+    def codes(columns: list[np.ndarray]) -> np.ndarray:
+        """A number for every row, equal for equal rows."""
+        code = np.zeros(len(columns[0]), np.int64)
+        for c in columns:
+            one = np.unique(c, return_inverse=True)[1].ravel()
+            code = np.unique(code * (one.max(initial=0) + 1) + one, return_inverse=True)[1].ravel()
+        return code
+
+    def fields(places: pa.StructArray) -> list[np.ndarray]:
+        """The fields of places as columns of numbers that are equal for equal values, nulls included."""
+        out = []
+        for field in places.flatten():
+            if pa.types.is_floating(field.type) and not field.null_count:
+                out.append(field.to_numpy(zero_copy_only=False) + 0.0)
+            else:
+                out.append(field.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64))
+        return out
 
-    Dart 2k + w is part k the way w, so darts are in the order of their parts and ways.
-    """
-    n = len(river)
-    ends = _codes([np.concatenate([river, river]), *(np.concatenate(pair) for pair in zip(first, last))])
-    a = np.stack([ends[:n], ends[n:]], axis=1).ravel()
-    b = np.stack([ends[n:], ends[:n]], axis=1).ravel()
-    darts, back = np.arange(2 * n), np.arange(2 * n) ^ 1
-    order = np.argsort(a, kind="stable")
-    begin = np.searchsorted(a[order], np.arange(ends.max() + 2))
-    two = np.diff(begin)[b] == 2
-    one, other = order[np.minimum(begin[b], 2 * n - 1)], order[np.minimum(begin[b] + 1, 2 * n - 1)]
-    follow = np.where(two, np.where(one == back, other, one), -1)
-    closed = a == b
-    follow[closed | (follow == darts)] = -1
-    most = int(np.bincount(river).max())
-    following, end, hops, least = _ranks(follow, most)
-    ring = following >= 0
-    if ring.any():  # a ring is opened before its least part, in both directions
-        begins = 2 * (least // 2)
-        opens = ring & ((follow == begins) | (darts == begins + 1))
-        _, again, hops_again, _ = _ranks(np.where(opens | ~ring, -1, follow), most)
-        end, hops = np.where(ring, again, end), np.where(ring, hops_again, hops)
-    _, of, size = np.unique(end, return_inverse=True, return_counts=True)
-    lead = np.full(len(size), 2 * n)
-    np.minimum.at(lead, of, darts)
-    forward = np.bincount(of, weights=darts % 2 == 0)
-    flat = np.zeros(len(size), bool)
-    np.logical_or.at(flat, of, closed)
-    # of a line's two lists, the one that most parts run along
-    ranked = np.lexsort((lead % 2, -forward, lead // 2))
-    kept = np.zeros(len(size), bool)
-    kept[ranked[np.append(True, np.diff(lead[ranked] // 2) != 0)]] = True
-    d = np.flatnonzero(kept[of])
-    of = of[d]
-    return d // 2, lead[of] // 2, size[of] - 1 - hops[d], d % 2 == 1, flat[of]
-
-
-def _merged_small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parts (river, part, first, last, length) sorted by river and part to the rows of ``merged_parts``, some whole rivers at a time."""
-    held: list[pa.RecordBatch] = []
-
-    def merged(parts: pa.Table, begins: np.ndarray) -> pa.RecordBatch:
-        river, part, first, last, length = (c.combine_chunks() for c in parts.columns)
-        starts = np.zeros(len(river), np.int64)
-        starts[begins[1:]] = 1
-        row, line, place, backward, closed = _merge(np.cumsum(starts), _fields(first), _fields(last))
-        at = pa.array(row)
-        out = [river.take(at), part.take(at), part.take(pa.array(line)), pa.array(place), pa.array(backward), pa.array(closed), length.take(at)]
-        return pa.RecordBatch.from_arrays(out, names=["river", "part", "line", "place", "backward", "closed", "length"])
-
-    def whole(last: bool) -> Iterator[pa.RecordBatch]:
-        parts = pa.Table.from_batches(held)
-        held.clear()
-        river = parts.column(0).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
-        begins = np.append(0, np.flatnonzero(np.diff(river)) + 1)
-        end = parts.num_rows if last else int(begins[-1])  # the last river may go on
-        if end:
-            yield merged(parts.slice(0, end), begins[begins < end])
-        if end < parts.num_rows:
-            held.extend(parts.slice(end).combine_chunks().to_batches())
-
-    for batch in batches:
-        if batch.num_rows:
-            held.append(batch)
-            if sum(b.num_rows for b in held) >= PARTS_AT_ONCE:
-                yield from whole(False)
-    if held:
-        yield from whole(True)
+    def ranks(follow: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(next, last, hops, least) of darts followed by others (-1: none), as ``_ranked`` gives them."""
+        following, last, hops, least = follow.copy(), np.arange(len(follow)), np.zeros(len(follow), np.int64), np.arange(len(follow))
+        for _ in range(max(1, math.ceil(math.log2(max(most, 2)))) + 1):
+            d = np.flatnonzero(following >= 0)
+            if not len(d):
+                break
+            to = following[d]
+            following[d], last[d], hops[d], least[d] = following[to], last[to], hops[d] + hops[to] + 1, np.minimum(least[d], least[to])
+        return following, last, hops, least
+
+    def merge(river: np.ndarray, first: list[np.ndarray], last: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        """(row, line, place, backward, closed) of parts sorted by river and part; ``line`` is the row of the line's least part.
+
+        Dart 2k + w is part k the way w, so darts are in the order of their parts and ways.
+        """
+        n = len(river)
+        ends = codes([np.concatenate([river, river]), *(np.concatenate(pair) for pair in zip(first, last))])
+        a = np.stack([ends[:n], ends[n:]], axis=1).ravel()
+        b = np.stack([ends[n:], ends[:n]], axis=1).ravel()
+        darts, back = np.arange(2 * n), np.arange(2 * n) ^ 1
+        order = np.argsort(a, kind="stable")
+        begin = np.searchsorted(a[order], np.arange(ends.max() + 2))
+        two = np.diff(begin)[b] == 2
+        one, other = order[np.minimum(begin[b], 2 * n - 1)], order[np.minimum(begin[b] + 1, 2 * n - 1)]
+        follow = np.where(two, np.where(one == back, other, one), -1)
+        closed = a == b
+        follow[closed | (follow == darts)] = -1
+        most = int(np.bincount(river).max())
+        following, end, hops, least = ranks(follow, most)
+        ring = following >= 0
+        if ring.any():  # a ring is opened before its least part, in both directions
+            begins = 2 * (least // 2)
+            opens = ring & ((follow == begins) | (darts == begins + 1))
+            _, again, hops_again, _ = ranks(np.where(opens | ~ring, -1, follow), most)
+            end, hops = np.where(ring, again, end), np.where(ring, hops_again, hops)
+        _, of, size = np.unique(end, return_inverse=True, return_counts=True)
+        lead = np.full(len(size), 2 * n)
+        np.minimum.at(lead, of, darts)
+        forward = np.bincount(of, weights=darts % 2 == 0)
+        flat = np.zeros(len(size), bool)
+        np.logical_or.at(flat, of, closed)
+        # of a line's two lists, the one that most parts run along
+        ranked = np.lexsort((lead % 2, -forward, lead // 2))
+        kept = np.zeros(len(size), bool)
+        kept[ranked[np.append(True, np.diff(lead[ranked] // 2) != 0)]] = True
+        d = np.flatnonzero(kept[of])
+        of = of[d]
+        return d // 2, lead[of] // 2, size[of] - 1 - hops[d], d % 2 == 1, flat[of]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Parts (river, part, first, last, length) sorted by river and part to the rows of ``merged_parts``, some whole rivers at a time."""
+        held: list[pa.RecordBatch] = []
+
+        def merged(parts: pa.Table, begins: np.ndarray) -> pa.RecordBatch:
+            river, part, first, last, length = (c.combine_chunks() for c in parts.columns)
+            starts = np.zeros(len(river), np.int64)
+            starts[begins[1:]] = 1
+            row, line, place, backward, closed = merge(np.cumsum(starts), fields(first), fields(last))
+            at = pa.array(row)
+            out = [river.take(at), part.take(at), part.take(pa.array(line)), pa.array(place), pa.array(backward), pa.array(closed), length.take(at)]
+            return pa.RecordBatch.from_arrays(out, names=["river", "part", "line", "place", "backward", "closed", "length"])
+
+        def whole(last: bool) -> Iterator[pa.RecordBatch]:
+            parts = pa.Table.from_batches(held)
+            held.clear()
+            river = parts.column(0).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            begins = np.append(0, np.flatnonzero(np.diff(river)) + 1)
+            end = parts.num_rows if last else int(begins[-1])  # the last river may go on
+            if end:
+                yield merged(parts.slice(0, end), begins[begins < end])
+            if end < parts.num_rows:
+                held.extend(parts.slice(end).combine_chunks().to_batches())
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                if sum(b.num_rows for b in held) >= at_once:
+                    yield from whole(False)
+        if held:
+            yield from whole(True)
+
+    return run
 
 
 def merged_parts(parts: DataFrame) -> DataFrame:
@@ -172,7 +173,7 @@ def merged_parts(parts: DataFrame) -> DataFrame:
     dealt = whole.select("river", "part", "first", "last", "length").repartition("river").sortWithinPartitions("river", "part")
     types = dict(parts.dtypes)
     schema = f"river {types['river']}, part {types['part']}, line {types['part']}, place long, backward boolean, closed boolean, length {types['length']}"
-    out = dealt.mapInArrow(_merged_small, schema)
+    out = dealt.mapInArrow(_within_tasks(PARTS_AT_ONCE), schema)
     if large.isEmpty():
         return out
     some = parts.join(F.broadcast(large), "river", "left_semi")
