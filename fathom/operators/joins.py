@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathom.functions.materialise import cut
+from fathom.functions.materialise import cut, dropped
 
 #: Pairs of rows that one task of a join by cells looks at, and tasks of such a join at most.
 PAIRS_A_TASK, TASKS = 1_000_000, 2000
@@ -126,6 +126,7 @@ def met_in_cells(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFr
     counts = cut(counts)
     pairs = counts.agg(F.sum("__pairs")).first()[0] or 0
     if pairs <= PAIRS_A_TASK:
+        dropped(counts)
         return left.join(right, list(by))
     tasks = min(TASKS, max(8, math.ceil(2 * pairs / PAIRS_A_TASK)))
     crowded = F.broadcast(counts.filter("__parts > 1").select(*by, "__parts"))
